@@ -8,6 +8,7 @@ p(t|d) = (tf + mu * p_bg) / (|d| + mu).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,30 +82,37 @@ class CandidateModels:
     """Document and background models of every query's candidate set.
 
     Built once and shared by all scorers: documents are tokenised once each,
-    however many queries list them.
+    however many queries list them. The three model tables are persisted
+    (memory and disk; lost blocks are recomputed from lineage), so every
+    scorer plans against them instead of re-deriving the token chain.
     """
 
     def __init__(self, candidates: DataFrame, collection: DataFrame, fields, params: Params = Params()):
         self.params = params
-        cset = candidate_set(candidates)
+        cset = candidate_set(candidates).persist(StorageLevel.MEMORY_AND_DISK)
         docs = candidate_documents(cset, collection, params)
         doc_tok = document_tokens(docs, fields, params)
-        self.doc_len = doc_lengths(doc_tok)
-        self.doc_tf = doc_term_freq(doc_tok)
-        # inner joins: candidates whose document is missing are dropped (JOIN-3)
-        self.cand_len = cset.join(self.doc_len, "doc_id")
-        self.cand_tf = cset.join(self.doc_tf, "doc_id")
-        self.bg = background(self.cand_tf, self.cand_len, params)
         self.doc_tokens = doc_tok
         self.cset = cset
+        # inner joins: candidates whose document is missing are dropped (JOIN-3)
+        self.cand_len = cset.join(doc_lengths(doc_tok), "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
+        self.cand_tf = (
+            cset.join(doc_term_freq(doc_tok), "doc_id")
+            .join(self.cand_len, ["qid", "doc_id"])
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        self.bg = background(self.cand_tf, self.cand_len, params).persist(StorageLevel.MEMORY_AND_DISK)
 
     def missing_documents(self) -> DataFrame:
         """Candidates whose document is not in the collection (D15 report)."""
-        return self.cset.join(self.doc_len, "doc_id", "left_anti")
+        return self.cset.join(self.cand_len, ["qid", "doc_id"], "left_anti")
 
     def term_probs(self, mu=None) -> DataFrame:
         """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d."""
         mu = self.params.mu if mu is None else mu
-        t = self.cand_tf.join(self.cand_len.select("qid", "doc_id", "doc_len"), ["qid", "doc_id"])
-        t = t.join(self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
+        t = self.cand_tf.join(self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
         return t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
+
+    def unpersist(self) -> None:
+        for df in (self.bg, self.cand_tf, self.cand_len, self.cset):
+            df.unpersist()

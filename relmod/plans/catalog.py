@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relmod.functions import text as T
+from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import top_k
@@ -260,3 +261,50 @@ def feedback_model(spark, sf_dir):
 def rerank_feedback(spark, sf_dir):
     run = P.rerank_feedback(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
     return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# embedding expansion (ML-2, ML-3) and Score B (PIPE-2/3)
+# ---------------------------------------------------------------------------
+@register(
+    "query_centroid",
+    O.with_ctes("SELECT qid, CAST(i - 1 AS INTEGER) AS pos, round(s, 6) AS value FROM cent", "cent"),
+)
+def query_centroid(spark, sf_dir):
+    c = ex.centroids(query_term_freq(X.queries(spark, sf_dir)), X.vectors(spark, sf_dir))
+    return c.select("qid", F.posexplode("c").alias("pos", "value")).select(
+        "qid", F.col("pos").cast("int"), r6("value").alias("value")
+    )
+
+
+@register(
+    "expansions",
+    O.with_ctes("SELECT qid, rk, term, round(sim, 6) AS sim FROM exps", "exps"),
+)
+def expansions(spark, sf_dir):
+    e = P.expansions_from_vectors(X.queries(spark, sf_dir), X.vectors(spark, sf_dir))
+    return e.select("qid", "rk", "term", r6("sim").alias("sim"))
+
+
+@register(
+    "expansion_model",
+    O.with_ctes("SELECT qid, term, round(r, 6) AS r FROM rm", "rm"),
+)
+def expansion_model(spark, sf_dir):
+    qs, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS)
+    qtf = query_term_freq(qs)
+    vec = X.vectors(spark, sf_dir)
+    exps = ex.expand(vec, ex.centroids(qtf, vec), Params().top_k)
+    rm = ex.relevance_model(ex.expansion_model(exps, qtf, m), Params().lam)
+    return rm.select("qid", "term", r6("r").alias("r"))
+
+
+@register(
+    "rerank_embeddings",
+    O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b"),
+)
+def rerank_embeddings(spark, sf_dir):
+    run, _ = P.rerank_embeddings(
+        X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir), X.vectors(spark, sf_dir)
+    )
+    return run.select("qid", "doc_id", "rank", r6("score").alias("score"))

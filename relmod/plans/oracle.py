@@ -194,6 +194,94 @@ cte(
 )
 
 
+# ---- embedding expansion and Score B (Tasks 2.1 / 2.2) ----------------------
+cte("qvec", "SELECT q.qid, q.qtf, v.vec FROM qtf q JOIN vectors v USING (term)", "qtf", "vectors")
+cte(
+    "cent",
+    "SELECT qid, i, sum(qtf * vec[i]) AS s FROM ("
+    " SELECT qid, qtf, vec, unnest(range(1, len(vec) + 1)) AS i FROM qvec) GROUP BY qid, i",
+    "qvec",
+)
+cte("centv", "SELECT qid, list(s ORDER BY i) AS c FROM cent GROUP BY qid", "cent")
+cte(
+    "exps",
+    "SELECT qid, CAST(rk AS INTEGER) AS rk, term, sim FROM ("
+    " SELECT qid, term, sim, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, term) AS rk FROM ("
+    "  SELECT c.qid, v.term, round(list_dot_product(v.vec, c.c), 9) AS sim FROM vectors v CROSS JOIN centv c))"
+    " WHERE rk <= " + str(K),
+    "vectors",
+    "centv",
+)
+cte(
+    "ex0",
+    "SELECT e.qid, e.rk, CASE WHEN b.term IS NULL THEN '<UNK>' ELSE e.term END AS term,"
+    " CASE WHEN sum(e.sim) OVER (PARTITION BY e.qid) <> 0 THEN e.sim / sum(e.sim) OVER (PARTITION BY e.qid) END AS w"
+    " FROM exps e JOIN (SELECT DISTINCT qid FROM cset) cq ON cq.qid = e.qid"
+    " LEFT JOIN bg b ON b.qid = e.qid AND b.term = e.term",
+    "exps",
+    "bg",
+    "cset",
+)
+cte(
+    "ex1",
+    "SELECT qid, term, arg_max(w, rk) AS w FROM ex0 GROUP BY qid, term",
+    "ex0",
+)
+cte(
+    "exf",
+    "SELECT qid, term, CASE WHEN sum(w) OVER (PARTITION BY qid) <> 0 THEN w / sum(w) OVER (PARTITION BY qid) END AS e"
+    " FROM ex1",
+    "ex1",
+)
+cte(
+    "orig",
+    "SELECT qid, term, CAST(c AS DOUBLE) / sum(c) OVER (PARTITION BY qid) AS o FROM ("
+    " SELECT t.qid, CASE WHEN b.term IS NULL THEN '<UNK>' ELSE t.term END AS term, sum(t.qtf) AS c"
+    " FROM qtf t LEFT JOIN bg b ON b.qid = t.qid AND b.term = t.term"
+    " WHERE t.qid IN (SELECT qid FROM cset) GROUP BY 1, 2)",
+    "qtf",
+    "bg",
+    "cset",
+)
+cte(
+    "em",
+    "SELECT coalesce(x.qid, o.qid) AS qid, coalesce(x.term, o.term) AS term, x.e, o.o"
+    " FROM exf x FULL OUTER JOIN orig o ON x.qid = o.qid AND x.term = o.term",
+    "exf",
+    "orig",
+)
+cte(
+    "rm",
+    "SELECT qid, term, lam_eff * coalesce(e, 0) + (1.0 - lam_eff) * coalesce(o, 0) AS r FROM ("
+    " SELECT *, CASE WHEN max(CASE WHEN e IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1"
+    f" THEN CAST({LAM} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS lam_eff FROM em)",
+    "em",
+)
+cte(
+    "supp",
+    f"SELECT rm.qid, rm.term, rm.r, b.p_bg FROM rm JOIN bg b USING (qid, term) WHERE rm.r > 0 AND {MU} * b.p_bg > 0",
+    "rm",
+    "bg",
+)
+cte(
+    "score_b",
+    "SELECT c.qid, c.doc_id, 1 - coalesce(sum(s.r * log10(s.r / ((coalesce(t.tf, 0) + "
+    f"{MU} * s.p_bg) / (c.doc_len + {MU})))), 0) AS score"
+    " FROM clen c LEFT JOIN supp s ON s.qid = c.qid"
+    " LEFT JOIN ctf t ON t.qid = c.qid AND t.doc_id = c.doc_id AND t.term = s.term"
+    " GROUP BY c.qid, c.doc_id",
+    "clen",
+    "supp",
+    "ctf",
+)
+cte(
+    "run_b",
+    "SELECT qid, doc_id, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id)"
+    " AS INTEGER) AS rank, score FROM score_b",
+    "score_b",
+)
+
+
 def with_ctes(select: str, *roots: str) -> str:
     """``WITH`` clause holding ``roots`` and everything they depend on, then ``select``."""
     order: list[str] = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import rank_within
@@ -44,3 +45,34 @@ def rerank_feedback(
     lik = fb.query_likelihood(qtf, models)
     p_rm = fb.feedback_model(lik, models)
     return rank_run(fb.score_a(p_rm, models)).select("qid", "doc_id", "rank", "score")
+
+
+def _embedding_models(queries, candidates, collection, params):
+    candidates = candidates.join(queries.select("qid"), "qid", "left_semi")
+    models = CandidateModels(candidates, collection, EMBEDDING_FIELDS, params)
+    return models, query_term_freq(queries, params)
+
+
+def expansions_from_vectors(queries: DataFrame, vectors: DataFrame, params: Params = Params()) -> DataFrame:
+    """(qid, rk, term, sim): top-K expansion words of every query from a vector table (ML-2)."""
+    qtf = query_term_freq(queries, params)
+    return ex.expand(vectors, ex.centroids(qtf, vectors, params), params.top_k)
+
+
+def rerank_embeddings(
+    queries: DataFrame,
+    candidates: DataFrame,
+    collection: DataFrame,
+    vectors: DataFrame,
+    params: Params = Params(),
+) -> tuple[DataFrame, DataFrame]:
+    """Tasks 2.1 / 2.2 (PIPE-2, 3): expansion from given word vectors, then Score B.
+
+    ``vectors`` is (term, vec array<double|float>) from ``read_embeddings`` (GloVe
+    or word2vec text) or any table. Returns (run, expansions).
+    """
+    models, qtf = _embedding_models(queries, candidates, collection, params)
+    exps = ex.expand(vectors, ex.centroids(qtf, vectors, params), params.top_k)
+    rm = ex.relevance_model(ex.expansion_model(exps, qtf, models), params.lam)
+    run = rank_run(ex.score_b(rm, models)).select("qid", "doc_id", "rank", "score")
+    return run, exps
