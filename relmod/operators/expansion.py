@@ -125,6 +125,7 @@ def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateMode
     A query whose expansion mass is 0 or undefined (D8) has e = NULL.
     """
     vocab = models.bg.select("qid", "term", F.lit(True).alias("in_v"))
+    expansions = expansions.join(models.cset.select("qid").distinct(), "qid", "left_semi")
     total = expansions.groupBy("qid").agg(F.sum("sim").alias("tot"))
     ex = (
         expansions.join(total, "qid")
@@ -176,26 +177,32 @@ def _by_keys(df: DataFrame):
     return Window.partitionBy(*keys)
 
 
-def score_b(rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
-    """(keys..., doc_id, score): 1 - sum_{r>0} r log10(r / p(t|d)) per candidate (AGG-12, FLT-4).
+def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> DataFrame:
+    """(keys..., qid, doc_id, score): 1 - sum_{r>0} r log10(r / p(t|d)) per candidate (AGG-12, FLT-4).
 
-    ``rm`` is (keys..., qid, term, r[, mu]); keys may include ``setting_id``.
-    Terms whose smoothed probability is 0 for every document (an empty <UNK>
-    bucket, D7) are left out of the sum.
+    ``rm`` is (qid, term, r) or, in a sweep, (setting_id, mu, qid, term, r) with
+    ``settings`` the list of (setting_id, mu). Terms whose smoothed probability
+    is 0 for every document (an empty <UNK> bucket, D7) are left out.
     """
-    keys = [c for c in ("setting_id",) if c in rm.columns]
-    mu_col = F.col("mu") if "mu" in rm.columns else F.lit(float(models.params.mu if mu is None else mu))
+    mu = float(models.params.mu if mu is None else mu)
+    base = models.cand_len.select("qid", "doc_id", "doc_len")
+    if settings:
+        keys = ["setting_id"]
+        grid = F.array(*[F.struct(F.lit(i).alias("setting_id"), F.lit(float(m)).alias("mu")) for i, m in settings])
+        base = base.select("*", F.explode(grid).alias("_s")).select("_s.setting_id", "_s.mu", "qid", "doc_id", "doc_len")
+    else:
+        keys = []
+        base = base.withColumn("mu", F.lit(mu))
+        rm = rm.withColumn("mu", F.lit(mu))
     supp = (
         rm.filter((F.col("r") > 0) & ~F.isnan("r"))
         .join(models.bg.select("qid", "term", "p_bg"), ["qid", "term"])
-        .withColumn("mu", mu_col)
         .withColumn("mpb", F.col("mu") * F.col("p_bg"))
         .filter(F.col("mpb") > 0)
     )
     per_q = supp.groupBy(*keys, "qid").agg(
         F.sum(F.col("r") * F.log10(F.col("r") / F.col("mpb"))).alias("cq"),
         F.sum("r").alias("rq"),
-        F.first("mu").alias("mu_q"),
     )
     hits = (
         models.cand_tf.select("qid", "doc_id", "term", "tf")
@@ -203,11 +210,6 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
         .groupBy(*keys, "qid", "doc_id")
         .agg(F.sum(F.col("r") * F.log10((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
-    base = models.cand_len.select("qid", "doc_id", "doc_len")
-    if keys:
-        settings = rm.select(*keys, "qid").distinct()
-        base = base.join(settings, "qid")
-    mu_default = F.lit(float(models.params.mu if mu is None else mu))
     return (
         base.join(per_q, [*keys, "qid"], "left")
         .join(hits, [*keys, "qid", "doc_id"], "left")
@@ -219,7 +221,7 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
                 F.lit(1.0)
                 - F.coalesce("cq", F.lit(0.0))
                 + F.coalesce("h", F.lit(0.0))
-                - F.coalesce("rq", F.lit(0.0)) * F.log10(F.col("doc_len") + F.coalesce("mu_q", mu_default))
+                - F.coalesce("rq", F.lit(0.0)) * F.log10(F.col("doc_len") + F.col("mu"))
             ).alias("score"),
         )
     )

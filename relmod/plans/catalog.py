@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relmod.functions import text as T
+from relmod.operators import evaluate as ev
 from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
 from relmod.operators.lm import CandidateModels, query_term_freq
@@ -308,3 +309,90 @@ def rerank_embeddings(spark, sf_dir):
         X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir), X.vectors(spark, sf_dir)
     )
     return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# evaluation (PIPE-4, PIPE-5) and sweeps (PIPE-6, PIPE-7)
+# ---------------------------------------------------------------------------
+MU_SWEEP = [(100, 0.2), (200, 0.2), (350, 0.2), (500, 0.2)]
+LAMBDA_SWEEP = [(800, 0.2), (800, 0.5), (800, 0.7)]
+
+
+def _feedback_run(spark, sf_dir):
+    return P.rerank_feedback(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
+
+
+@register(
+    "dcg",
+    O.with_ctes("SELECT qid, CAST(cutoff AS INTEGER) AS cutoff, round(dcg, 6) AS dcg FROM dcg_before", "dcg_before"),
+)
+def dcg(spark, sf_dir):
+    """AGG-18, WIN-3, JOIN-13: DCG of the candidate lists in stored order."""
+    d = ev.candidates_dcg(X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    return d.select("qid", "cutoff", r6("dcg").alias("dcg"))
+
+
+@register(
+    "ideal_dcg",
+    O.with_ctes("SELECT qid, CAST(cutoff AS INTEGER) AS cutoff, round(idcg, 6) AS idcg FROM idcg", "idcg"),
+)
+def ideal_dcg(spark, sf_dir):
+    d = ev.ideal_dcg(X.qrels(spark, sf_dir))
+    return d.select("qid", "cutoff", r6("idcg").alias("idcg"))
+
+
+@register(
+    "ndcg_per_query",
+    O.with_ctes("SELECT qid, stage, cutoff, round(ndcg, 6) AS ndcg FROM perq", "perq", extra=O.run_of("run_a")),
+)
+def ndcg_per_query(spark, sf_dir):
+    per_q, _ = P.evaluate(_feedback_run(spark, sf_dir), X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    return per_q.select("qid", "stage", "cutoff", r6("ndcg").alias("ndcg"))
+
+
+@register(
+    "ndcg_mean",
+    O.with_ctes("SELECT stage, cutoff, round(ndcg, 6) AS ndcg FROM meanq", "meanq", extra=O.run_of("run_a")),
+)
+def ndcg_mean(spark, sf_dir):
+    _, mean = P.evaluate(_feedback_run(spark, sf_dir), X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    return mean.select("stage", "cutoff", r6("ndcg").alias("ndcg"))
+
+
+@register(
+    "ndcg_trec_order",
+    O.with_ctes("SELECT qid, cutoff, round(ndcg, 6) AS ndcg FROM trec", "trec", extra=O.run_of("run_a")),
+)
+def ndcg_trec_order(spark, sf_dir):
+    t = ev.evaluate_trec(_feedback_run(spark, sf_dir), X.qrels(spark, sf_dir))
+    return t.select("qid", "cutoff", r6("ndcg").alias("ndcg"))
+
+
+def _sweep(spark, sf_dir, settings):
+    m = P.sweep_embeddings(
+        X.queries(spark, sf_dir),
+        X.candidates(spark, sf_dir),
+        X.collection(spark, sf_dir),
+        X.vectors(spark, sf_dir),
+        X.qrels(spark, sf_dir),
+        settings,
+    )
+    return m.select("setting_id", "mu", "lam", "stage", "cutoff", r6("ndcg").alias("ndcg"))
+
+
+_SWEEP_SELECT = (
+    "SELECT m.setting_id, s.mu, s.lam, m.stage, m.cutoff, round(m.ndcg, 6) AS ndcg"
+    " FROM meanq m JOIN settings s USING (setting_id)"
+)
+
+
+@register("sweep_mu", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra=O.sweep_of(MU_SWEEP)))
+def sweep_mu(spark, sf_dir):
+    """PIPE-6: mu in {100, 200, 350, 500} for Task 2.1 in one job."""
+    return _sweep(spark, sf_dir, MU_SWEEP)
+
+
+@register("sweep_lambda", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra=O.sweep_of(LAMBDA_SWEEP)))
+def sweep_lambda(spark, sf_dir):
+    """PIPE-7: lambda in {0.2, 0.5, 0.7} for Task 2.2 in one job."""
+    return _sweep(spark, sf_dir, LAMBDA_SWEEP)

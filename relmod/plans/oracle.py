@@ -282,14 +282,135 @@ cte(
 )
 
 
-def with_ctes(select: str, *roots: str) -> str:
-    """``WITH`` clause holding ``roots`` and everything they depend on, then ``select``."""
+# ---- evaluation (score.py semantics) over a run CTE named run_x -------------
+# run_x: (setting_id, qid, doc_id, rank[, score]); settings_ids: (setting_id)
+cte("cuts", "SELECT * FROM (VALUES (5), (10), (50)) t(cutoff)")
+cte("gold", "SELECT DISTINCT qid FROM qrels", "qrels")
+cte(
+    "idcg",
+    "SELECT i.qid, c.cutoff, sum(CASE WHEN i.pos <= c.cutoff THEN i.rel / log2(i.pos + 1) ELSE 0 END) AS idcg"
+    " FROM (SELECT qid, CAST(relevance AS DOUBLE) AS rel,"
+    "  row_number() OVER (PARTITION BY qid ORDER BY relevance DESC, doc_id) AS pos FROM qrels) i"
+    " CROSS JOIN cuts c GROUP BY i.qid, c.cutoff",
+    "qrels",
+    "cuts",
+)
+cte(
+    "before_pos",
+    "SELECT c.qid, row_number() OVER (PARTITION BY c.qid ORDER BY c.pos) AS pos,"
+    " CAST(coalesce(g.relevance, 0) AS DOUBLE) AS rel FROM cand c LEFT JOIN qrels g ON g.qid = c.qid AND g.doc_id = c.doc_id",
+    "cand",
+    "qrels",
+)
+cte(
+    "dcg_before",
+    "SELECT b.qid, c.cutoff, sum(CASE WHEN b.pos <= c.cutoff THEN b.rel / log2(b.pos + 1) ELSE 0 END) AS dcg"
+    " FROM before_pos b CROSS JOIN cuts c GROUP BY b.qid, c.cutoff",
+    "before_pos",
+    "cuts",
+)
+cte(
+    "after_pos",
+    "SELECT r.setting_id, r.qid, row_number() OVER (PARTITION BY r.setting_id, r.qid ORDER BY r.rank) AS pos,"
+    " CAST(coalesce(g.relevance, 0) AS DOUBLE) AS rel FROM run_x r LEFT JOIN qrels g ON g.qid = r.qid AND g.doc_id = r.doc_id",
+    "run_x",
+    "qrels",
+)
+cte(
+    "evq",
+    "SELECT DISTINCT setting_id, qid FROM run_x WHERE qid IN (SELECT qid FROM gold) AND qid IN (SELECT qid FROM cand)",
+    "run_x",
+    "gold",
+    "cand",
+)
+cte(
+    "perq",
+    "SELECT d.setting_id, d.qid, d.stage, CAST(d.cutoff AS INTEGER) AS cutoff,"
+    " CASE WHEN i.idcg > 0 THEN d.dcg / i.idcg ELSE 0.0 END AS ndcg FROM ("
+    "  SELECT a.setting_id, a.qid, 'after' AS stage, c.cutoff,"
+    "   sum(CASE WHEN a.pos <= c.cutoff THEN a.rel / log2(a.pos + 1) ELSE 0 END) AS dcg"
+    "  FROM after_pos a JOIN evq e ON e.setting_id = a.setting_id AND e.qid = a.qid CROSS JOIN cuts c"
+    "  GROUP BY a.setting_id, a.qid, c.cutoff"
+    "  UNION ALL SELECT e.setting_id, b.qid, 'before' AS stage, b.cutoff, b.dcg FROM dcg_before b JOIN evq e USING (qid)"
+    " ) d LEFT JOIN idcg i ON i.qid = d.qid AND i.cutoff = d.cutoff",
+    "after_pos",
+    "evq",
+    "cuts",
+    "dcg_before",
+    "idcg",
+)
+cte(
+    "meanq",
+    "SELECT s.setting_id, st.stage, CAST(c.cutoff AS INTEGER) AS cutoff, avg(coalesce(p.ndcg, 0.0)) AS ndcg"
+    " FROM gold g CROSS JOIN (VALUES ('before'), ('after')) st(stage) CROSS JOIN cuts c CROSS JOIN settings_ids s"
+    " LEFT JOIN perq p ON p.setting_id = s.setting_id AND p.qid = g.qid AND p.stage = st.stage AND p.cutoff = c.cutoff"
+    " GROUP BY s.setting_id, st.stage, c.cutoff",
+    "gold",
+    "cuts",
+    "settings_ids",
+    "perq",
+)
+cte(
+    "trec",
+    "SELECT d.qid, CAST(d.cutoff AS INTEGER) AS cutoff, CASE WHEN i.idcg > 0 THEN d.dcg / i.idcg ELSE 0.0 END AS ndcg FROM ("
+    " SELECT a.qid, c.cutoff, sum(CASE WHEN c.cutoff = 0 OR a.pos <= c.cutoff THEN a.rel / log2(a.pos + 1) ELSE 0 END) AS dcg"
+    " FROM (SELECT r.qid, row_number() OVER (PARTITION BY r.qid ORDER BY round(r.score, 4) DESC,"
+    "   CAST(r.doc_id AS VARCHAR) DESC) AS pos, CAST(coalesce(g.relevance, 0) AS DOUBLE) AS rel"
+    "   FROM run_x r LEFT JOIN qrels g ON g.qid = r.qid AND g.doc_id = r.doc_id) a"
+    " CROSS JOIN (VALUES (0), (5), (10), (50)) c(cutoff) GROUP BY a.qid, c.cutoff) d"
+    " LEFT JOIN (SELECT i.qid, c.cutoff, sum(CASE WHEN c.cutoff = 0 OR i.pos <= c.cutoff THEN i.rel / log2(i.pos + 1) ELSE 0 END) AS idcg"
+    "  FROM (SELECT qid, CAST(relevance AS DOUBLE) AS rel, row_number() OVER (PARTITION BY qid ORDER BY relevance DESC, doc_id) AS pos"
+    "   FROM qrels WHERE relevance > 0) i CROSS JOIN (VALUES (0), (5), (10), (50)) c(cutoff) GROUP BY i.qid, c.cutoff) i"
+    " ON i.qid = d.qid AND i.cutoff = d.cutoff WHERE d.qid IN (SELECT qid FROM gold)",
+    "run_x",
+    "qrels",
+    "gold",
+)
+
+# ---- sweeps: Score B per (mu, lambda) setting --------------------------------
+cte(
+    "em_flag",
+    "SELECT *, max(CASE WHEN e IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY qid) AS has_e FROM em",
+    "em",
+)
+cte(
+    "rm_s",
+    "SELECT s.setting_id, s.mu, f.qid, f.term, CASE WHEN f.has_e = 1 THEN s.lam ELSE 0.0 END * coalesce(f.e, 0)"
+    " + (1.0 - CASE WHEN f.has_e = 1 THEN s.lam ELSE 0.0 END) * coalesce(f.o, 0) AS r"
+    " FROM em_flag f CROSS JOIN settings s",
+    "em_flag",
+    "settings",
+)
+cte(
+    "score_s",
+    "SELECT c.setting_id, c.qid, c.doc_id, 1 - coalesce(sum(s.r * log10(s.r / ((coalesce(t.tf, 0) + c.mu * s.p_bg)"
+    " / (c.doc_len + c.mu)))), 0) AS score"
+    " FROM (SELECT st.setting_id, st.mu, cl.* FROM clen cl CROSS JOIN settings st) c"
+    " LEFT JOIN (SELECT rm_s.*, b.p_bg FROM rm_s JOIN bg b USING (qid, term) WHERE rm_s.r > 0 AND rm_s.mu * b.p_bg > 0) s"
+    "  ON s.setting_id = c.setting_id AND s.qid = c.qid"
+    " LEFT JOIN ctf t ON t.qid = c.qid AND t.doc_id = c.doc_id AND t.term = s.term"
+    " GROUP BY c.setting_id, c.qid, c.doc_id",
+    "clen",
+    "settings",
+    "rm_s",
+    "bg",
+    "ctf",
+)
+
+
+def with_ctes(select: str, *roots: str, extra: dict | None = None) -> str:
+    """``WITH`` clause holding ``roots`` and everything they depend on, then ``select``.
+
+    ``extra`` adds or overrides CTEs for this statement only (name -> (sql, deps)).
+    """
+    table = dict(CTE)
+    table.update(extra or {})
     order: list[str] = []
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for d in CTE[n][1]:
+        for d in table[n][1]:
             visit(d)
         order.append(n)
 
@@ -297,4 +418,26 @@ def with_ctes(select: str, *roots: str) -> str:
         visit(r)
     if not order:
         return select
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n][0]})" for n in order) + "\n" + select
+    return "WITH " + ",\n".join(f"{n} AS ({table[n][0]})" for n in order) + "\n" + select
+
+
+def run_of(cte_name: str) -> dict:
+    """``run_x`` / ``settings_ids`` for evaluating a single (non-sweep) run CTE."""
+    return {
+        "run_x": (f"SELECT 0 AS setting_id, qid, doc_id, rank, score FROM {cte_name}", (cte_name,)),
+        "settings_ids": ("SELECT 0 AS setting_id", ()),
+    }
+
+
+def sweep_of(settings) -> dict:
+    """``settings`` / ``run_x`` / ``settings_ids`` for a sweep over (mu, lam) pairs."""
+    rows = ", ".join(f"({i}, CAST({float(m)} AS DOUBLE), CAST({float(l)} AS DOUBLE))" for i, (m, l) in enumerate(settings))
+    return {
+        "settings": (f"SELECT * FROM (VALUES {rows}) t(setting_id, mu, lam)", ()),
+        "settings_ids": ("SELECT setting_id FROM settings", ("settings",)),
+        "run_x": (
+            "SELECT setting_id, qid, doc_id, CAST(row_number() OVER (PARTITION BY setting_id, qid"
+            " ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS rank, score FROM score_s",
+            ("score_s",),
+        ),
+    }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relmod.operators import expansion as ex
+from relmod.operators import evaluate as ev
 from relmod.operators import feedback as fb
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import rank_within
@@ -76,3 +77,52 @@ def rerank_embeddings(
     rm = ex.relevance_model(ex.expansion_model(exps, qtf, models), params.lam)
     run = rank_run(ex.score_b(rm, models)).select("qid", "doc_id", "rank", "score")
     return run, exps
+
+
+def evaluate(run: DataFrame, candidates: DataFrame, qrels: DataFrame, cutoffs=ev.CUTOFFS):
+    """PIPE-4: (per_query, mean) NDCG before and after re-ranking."""
+    return ev.evaluate(run, candidates, qrels, cutoffs=cutoffs)
+
+
+def sweep_from_expansions(
+    queries: DataFrame,
+    candidates: DataFrame,
+    collection: DataFrame,
+    expansions: DataFrame,
+    qrels: DataFrame,
+    settings,
+    params: Params = Params(),
+    cutoffs=ev.CUTOFFS,
+) -> DataFrame:
+    """PIPE-6/7: NDCG means for every (mu, lambda) setting in one Spark job.
+
+    ``settings`` is a list of (mu, lam). Expansions do not depend on mu or
+    lambda and are computed once; the setting id is a grouping key next to
+    qid everywhere downstream. Returns (setting_id, mu, lam, stage, cutoff, ndcg).
+    """
+    settings = [(float(m), float(l)) for m, l in settings]
+    models, qtf = _embedding_models(queries, candidates, collection, params)
+    em = ex.expansion_model(expansions, qtf, models)
+    grid = F.array(
+        *[F.struct(F.lit(i).alias("setting_id"), F.lit(m).alias("mu"), F.lit(l).alias("lam")) for i, (m, l) in enumerate(settings)]
+    )
+    ems = em.select("*", F.explode(grid).alias("_s")).select("_s.setting_id", "_s.mu", "_s.lam", "qid", "term", "e", "o")
+    rm = ex.relevance_model(ems, F.col("lam"))
+    scores = ex.score_b(rm, models, settings=[(i, m) for i, (m, _) in enumerate(settings)])
+    run = rank_run(scores, keys=("setting_id", "qid"))
+    _, mean = ev.evaluate(run, candidates, qrels, keys=["setting_id"], cutoffs=cutoffs, settings=[(i,) for i in range(len(settings))])
+    info = F.array(*[F.struct(F.lit(m).alias("mu"), F.lit(l).alias("lam")) for m, l in settings])
+    return mean.select(
+        "setting_id",
+        F.element_at(info, F.col("setting_id") + 1)["mu"].alias("mu"),
+        F.element_at(info, F.col("setting_id") + 1)["lam"].alias("lam"),
+        "stage",
+        "cutoff",
+        "ndcg",
+    )
+
+
+def sweep_embeddings(queries, candidates, collection, vectors, qrels, settings, params: Params = Params()) -> DataFrame:
+    """PIPE-6 (mu over Task 2.1) and PIPE-7 (lambda over Task 2.2) with given vectors."""
+    exps = expansions_from_vectors(queries, vectors, params)
+    return sweep_from_expansions(queries, candidates, collection, exps, qrels, settings, params)
