@@ -17,7 +17,8 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relmod.operators.lm import CandidateModels
@@ -122,37 +123,34 @@ def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateMode
     """(qid, term, e, o): folded expansion and original-query shares over V_q + <UNK> (ML-3).
 
     ``e`` and ``o`` are each normalised to 1 per query; r = lam e + (1 - lam) o.
-    A query whose expansion mass is 0 or undefined (D8) has e = NULL.
+    A query whose expansion mass is 0 or undefined (D8) has e = NULL. All
+    tables here hold at most K + |q| rows per query; the vocabulary test
+    filters the big background table by their keys (``in_vocabulary``).
     """
-    vocab = models.bg.select("qid", "term", F.lit(True).alias("in_v"))
-    expansions = expansions.join(models.cset.select("qid").distinct(), "qid", "left_semi")
-    total = expansions.groupBy("qid").agg(F.sum("sim").alias("tot"))
+    qids = models.cset.select("qid").distinct()
+    expansions = models.attach(expansions, qids, "qid", "left_semi")
+    by_q = Window.partitionBy("qid")
     ex = (
-        expansions.join(total, "qid")
-        .join(vocab, ["qid", "term"], "left")
+        models.in_vocabulary(expansions)
         .select(
             "qid",
             "rk",
             F.when(F.col("in_v"), F.col("term")).otherwise(F.lit(UNK)).alias("term"),  # JOIN-9
-            F.try_divide(F.col("sim"), F.col("tot")).alias("w"),
+            F.try_divide(F.col("sim"), F.sum("sim").over(by_q)).alias("w"),
         )
         # assignment semantics: of several <UNK> rows the last (highest rk) survives (AGG-16, D6)
         .groupBy("qid", "term")
         .agg(F.max_by("w", "rk").alias("w"))
     )
-    ex_tot = ex.groupBy("qid").agg(F.sum("w").alias("ex_tot"))
-    ex = ex.join(ex_tot, "qid").select(
-        "qid", "term", F.when(F.col("ex_tot") != 0, F.col("w") / F.col("ex_tot")).alias("e")
-    )
+    ex_tot = F.sum("w").over(by_q)
+    ex = ex.select("qid", "term", F.when(ex_tot != 0, F.col("w") / ex_tot).alias("e"))
     orig = (
-        qtf.join(models.cset.select("qid").distinct(), "qid", "left_semi")
-        .join(vocab, ["qid", "term"], "left")
+        models.in_vocabulary(models.attach(qtf, qids, "qid", "left_semi"))
         .select("qid", F.when(F.col("in_v"), F.col("term")).otherwise(F.lit(UNK)).alias("term"), "qtf")
         .groupBy("qid", "term")
         .agg(F.sum("qtf").alias("c"))
     )
-    o_tot = orig.groupBy("qid").agg(F.sum("c").alias("o_tot"))
-    orig = orig.join(o_tot, "qid").select("qid", "term", (F.col("c") / F.col("o_tot")).alias("o"))
+    orig = orig.select("qid", "term", (F.col("c") / F.sum("c").over(by_q)).alias("o"))
     return ex.join(orig, ["qid", "term"], "full")  # JOIN-10
 
 
@@ -171,8 +169,6 @@ def relevance_model(em: DataFrame, lam) -> DataFrame:
 
 
 def _by_keys(df: DataFrame):
-    from pyspark.sql import Window
-
     keys = [c for c in ("setting_id", "qid") if c in df.columns]
     return Window.partitionBy(*keys)
 
@@ -194,25 +190,24 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
         keys = []
         base = base.withColumn("mu", F.lit(mu))
         rm = rm.withColumn("mu", F.lit(mu))
+    pos = rm.filter((F.col("r") > 0) & ~F.isnan("r"))  # FLT-4
     supp = (
-        rm.filter((F.col("r") > 0) & ~F.isnan("r"))
-        .join(models.bg.select("qid", "term", "p_bg"), ["qid", "term"])
+        models.attach(models.bg.select("qid", "term", "p_bg"), pos, ["qid", "term"])
         .withColumn("mpb", F.col("mu") * F.col("p_bg"))
         .filter(F.col("mpb") > 0)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     per_q = supp.groupBy(*keys, "qid").agg(
         F.sum(F.col("r") * F.log10(F.col("r") / F.col("mpb"))).alias("cq"),
         F.sum("r").alias("rq"),
     )
     hits = (
-        models.cand_tf.select("qid", "doc_id", "term", "tf")
-        .join(supp.select(*keys, "qid", "term", "r", "mpb"), ["qid", "term"])
+        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), supp.select(*keys, "qid", "term", "r", "mpb"), ["qid", "term"])
         .groupBy(*keys, "qid", "doc_id")
         .agg(F.sum(F.col("r") * F.log10((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
     return (
-        base.join(per_q, [*keys, "qid"], "left")
-        .join(hits, [*keys, "qid", "doc_id"], "left")
+        models.attach(models.attach(base, per_q, [*keys, "qid"], "left"), hits, [*keys, "qid", "doc_id"], "left")
         .select(
             *keys,
             "qid",

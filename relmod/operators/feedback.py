@@ -12,7 +12,8 @@ products. With a_d = w_d / (|d| + mu):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relmod.operators.lm import CandidateModels
@@ -20,79 +21,74 @@ from relmod.operators.lm import CandidateModels
 
 def in_vocabulary(qtf: DataFrame, models: CandidateModels) -> DataFrame:
     """Query terms found in the candidates, with their background probability (JOIN-5/9)."""
-    return qtf.join(models.bg.select("qid", "term", "p_bg"), ["qid", "term"])
+    return models.attach(models.bg.select("qid", "term", "p_bg"), qtf, ["qid", "term"])
 
 
 def oov_tokens(qtf: DataFrame, models: CandidateModels) -> DataFrame:
     """Query terms that occur in no candidate (D4): skipped by Task 0, counted here."""
-    return qtf.join(models.bg.select("qid", "term"), ["qid", "term"], "left_anti")
+    flagged = models.in_vocabulary(qtf)
+    return flagged.filter(~F.col("in_v")).drop("in_v")
 
 
 def query_likelihood(qtf: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
-    """(qid, doc_id, ll, w): log query likelihood and its normalised weight (AGG-8, 9)."""
+    """(qid, doc_id, doc_len, ll, w): log query likelihood and its normalised weight (AGG-8, 9)."""
     mu = float(models.params.mu if mu is None else mu)
     qv = in_vocabulary(qtf, models).withColumn("mpb", F.lit(mu) * F.col("p_bg"))
     qconst = qv.groupBy("qid").agg(
         F.sum(F.col("qtf") * F.log(F.col("mpb"))).alias("a"), F.sum("qtf").alias("qn")
     )
     hits = (
-        models.cand_tf.join(qv, ["qid", "term"])
+        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), qv.select("qid", "term", "qtf", "mpb"), ["qid", "term"])
         .groupBy("qid", "doc_id")
         .agg(F.sum(F.col("qtf") * F.log((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
-    ll = (
-        models.cand_len.join(qconst, "qid", "left")
-        .join(hits, ["qid", "doc_id"], "left")
-        .select(
-            "qid",
-            "doc_id",
-            "doc_len",
-            (
-                F.coalesce("a", F.lit(0.0))
-                - F.coalesce("qn", F.lit(0)) * F.log(F.col("doc_len") + F.lit(mu))
-                + F.coalesce("h", F.lit(0.0))
-            ).alias("ll"),
-        )
+    ll = models.attach(models.attach(models.cand_len, qconst, "qid", "left"), hits, ["qid", "doc_id"], "left").select(
+        "qid",
+        "doc_id",
+        "doc_len",
+        (
+            F.coalesce("a", F.lit(0.0))
+            - F.coalesce("qn", F.lit(0)) * F.log(F.col("doc_len") + F.lit(mu))
+            + F.coalesce("h", F.lit(0.0))
+        ).alias("ll"),
+    )
+    # softmax per query over its candidate list; ll is qid-partitioned, so the
+    # window needs no shuffle. Persisted: the feedback model reads it twice.
+    by_q = Window.partitionBy("qid")
+    e = ll.withColumn("e", F.exp(F.col("ll") - F.max("ll").over(by_q)))
+    return (
+        e.select("qid", "doc_id", "doc_len", "ll", (F.col("e") / F.sum("e").over(by_q)).alias("w"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    mx = ll.groupBy("qid").agg(F.max("ll").alias("mx"))
-    e = ll.join(mx, "qid").withColumn("e", F.exp(F.col("ll") - F.col("mx")))
-    z = e.groupBy("qid").agg(F.sum("e").alias("z"))
-    return e.join(z, "qid").select("qid", "doc_id", "doc_len", "ll", (F.col("e") / F.col("z")).alias("w"))
 
 
 def feedback_model(lik: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     """(qid, term, p_rm) over V_q plus <UNK> (AGG-10), sparse form."""
     mu = float(models.params.mu if mu is None else mu)
     a = lik.select("qid", "doc_id", (F.col("w") / (F.col("doc_len") + F.lit(mu))).alias("a"))
-    s = a.groupBy("qid").agg(F.sum("a").alias("s"))
+    s = a.groupBy("qid").agg(F.sum("a").alias("s"))  # one row per query
     direct = (
-        models.cand_tf.join(a, ["qid", "doc_id"])
+        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), a, ["qid", "doc_id"])
         .groupBy("qid", "term")
         .agg(F.sum(F.col("tf") * F.col("a")).alias("direct"))
     )
-    return (
-        models.bg.select("qid", "term", "p_bg")
-        .join(s, "qid")
-        .join(direct, ["qid", "term"], "left")
-        .select(
-            "qid",
-            "term",
-            (F.coalesce("direct", F.lit(0.0)) + F.lit(mu) * F.col("p_bg") * F.col("s")).alias("p_rm"),
-        )
+    base = models.attach(models.bg.select("qid", "term", "p_bg"), s, "qid")
+    return models.colocated(base, direct, ["qid", "term"], "left").select(
+        "qid",
+        "term",
+        (F.coalesce("direct", F.lit(0.0)) + F.lit(mu) * F.col("p_bg") * F.col("s")).alias("p_rm"),
     )
 
 
 def score_a(p_rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     """(qid, doc_id, score): 1 - KL(document || feedback model), natural log (AGG-11)."""
-    tp = models.term_probs(mu)
+    tp = models.term_probs(mu).select("qid", "doc_id", "term", "p")
     kl = (
-        tp.join(p_rm, ["qid", "term"])
+        models.colocated(tp, p_rm, ["qid", "term"])
         .groupBy("qid", "doc_id")
         .agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("p_rm"))).alias("kl"))
     )
     # start from the candidates: empty documents have no terms and score 1 (D10)
-    return (
-        models.cand_len.select("qid", "doc_id")
-        .join(kl, ["qid", "doc_id"], "left")
-        .select("qid", "doc_id", (F.lit(1.0) - F.coalesce("kl", F.lit(0.0))).alias("score"))
+    return models.attach(models.cand_len.select("qid", "doc_id"), kl, ["qid", "doc_id"], "left").select(
+        "qid", "doc_id", (F.lit(1.0) - F.coalesce("kl", F.lit(0.0))).alias("score")
     )

@@ -47,6 +47,15 @@ def doc_term_freq(doc_tok: DataFrame) -> DataFrame:
     )
 
 
+def doc_term_freq_len(doc_tok: DataFrame) -> DataFrame:
+    """(doc_id, term, tf, doc_len): term counts with the document length carried along."""
+    return (
+        doc_tok.select("doc_id", F.size("tokens").cast("long").alias("doc_len"), F.explode("tokens").alias("term"))
+        .groupBy("doc_id", "term")
+        .agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"))
+    )
+
+
 def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     """(qid, term, qtf): query token histogram (AGG-13)."""
     return (
@@ -56,7 +65,7 @@ def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params()) -> DataFrame:
+def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(), models=None) -> DataFrame:
     """(qid, term, cf, n, p_bg) over V_q plus <UNK> (AGG-5, 6, 7, SET-3, SCL-8).
 
     ``cand_tf`` is (qid, doc_id, term, tf), ``cand_len`` is (qid, doc_id, doc_len).
@@ -65,11 +74,9 @@ def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(
     cf = cand_tf.groupBy("qid", "term").agg(F.sum("tf").alias("cf"))
     unk_share = params.unk_pct / 100.0
     unk = n.select("qid", F.lit(UNK).alias("term"), F.floor(F.lit(unk_share) * F.col("n")).cast("long").alias("cf"))
-    return (
-        cf.unionByName(unk)
-        .join(n, "qid")
-        .withColumn("p_bg", F.try_divide(F.col("cf").cast("double"), F.col("n").cast("double")))
-    )
+    both = cf.unionByName(unk)
+    joined = models.attach(both, n, "qid") if models is not None else both.join(n, "qid")
+    return joined.withColumn("p_bg", F.try_divide(F.col("cf").cast("double"), F.col("n").cast("double")))
 
 
 def dirichlet(tf: Column, doc_len: Column, p_bg: Column, mu) -> Column:
@@ -82,26 +89,76 @@ class CandidateModels:
     """Document and background models of every query's candidate set.
 
     Built once and shared by all scorers: documents are tokenised once each,
-    however many queries list them. The three model tables are persisted
-    (memory and disk; lost blocks are recomputed from lineage), so every
-    scorer plans against them instead of re-deriving the token chain.
+    however many queries list them.
+
+    Physical design. The (qid, doc, term) table is hash-partitioned by ``qid``
+    once and persisted (memory and disk; lost blocks are recomputed from
+    lineage), and so are the tables derived from it. Every later join or
+    aggregation is keyed by ``qid`` plus something, so with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` they run
+    partition-local: aggregations need no exchange, and joins between two
+    qid-partitioned tables are shuffled-hash joins without a shuffle
+    (``colocated``). Per-candidate tables (one row per query-document pair)
+    are broadcast when a count of the pairs proves them small (``attach``),
+    else joined co-located. A query's share of a partition is bounded by its
+    candidate list (a top-k input).
     """
 
     def __init__(self, candidates: DataFrame, collection: DataFrame, fields, params: Params = Params()):
+        spark = candidates.sparkSession
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        self.partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.params = params
-        cset = candidate_set(candidates).persist(StorageLevel.MEMORY_AND_DISK)
-        docs = candidate_documents(cset, collection, params)
+        cset = candidate_set(candidates).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        self.n_pairs = cset.count()
+        self.small = self.n_pairs <= params.broadcast_rows
+        self.cset = cset
+        ids = cset.select("doc_id").distinct()
+        docs = collection.join(F.broadcast(ids) if self.small else ids, "doc_id", "left_semi")  # JOIN-1
         doc_tok = document_tokens(docs, fields, params)
         self.doc_tokens = doc_tok
-        self.cset = cset
+        dtf = doc_term_freq_len(doc_tok)
         # inner joins: candidates whose document is missing are dropped (JOIN-3)
-        self.cand_len = cset.join(doc_lengths(doc_tok), "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
-        self.cand_tf = (
-            cset.join(doc_term_freq(doc_tok), "doc_id")
-            .join(self.cand_len, ["qid", "doc_id"])
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        dlen = doc_lengths(doc_tok)
+        self.cand_len = (
+            dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")
+        ).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        # the expansion is shuffled once; it is materialised only until the
+        # model table that carries p_bg has been built from it
+        tf = self._expand(cset, dtf).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        self.bg = background(tf, self.cand_len, params, self).persist(StorageLevel.MEMORY_AND_DISK)
+        self.cand_tf = self.colocated(tf, self.bg.select("qid", "term", "p_bg"), ["qid", "term"]).persist(
+            StorageLevel.MEMORY_AND_DISK
         )
-        self.bg = background(self.cand_tf, self.cand_len, params).persist(StorageLevel.MEMORY_AND_DISK)
+        self.cand_tf.count()
+        tf.unpersist()
+
+    def _expand(self, cset: DataFrame, dtf: DataFrame) -> DataFrame:
+        """(qid, doc_id, term, tf, doc_len): every candidate pair with its document's counts."""
+        return dtf.join(F.broadcast(cset) if self.small else cset, "doc_id")
+
+    def attach(self, big: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
+        """Join a per-candidate or per-query table (qid-partitioned): broadcast when the
+        pair count proves it small, else partition-local."""
+        if self.small:
+            return big.join(F.broadcast(small), keys, how)
+        return big.join(small.hint("shuffle_hash"), keys, how)
+
+    def in_vocabulary(self, small: DataFrame, keys=("qid", "term")) -> DataFrame:
+        """``small`` with a boolean ``in_v``: is (qid, term) in V_q (incl. <UNK>)? (JOIN-9)
+
+        The big vocabulary table is filtered by the small key set first, so the
+        left join that keeps every row of ``small`` is between small tables.
+        """
+        keys = list(keys)
+        wanted = small.select(*keys).distinct()
+        found = self.attach(self.bg.select(*keys), wanted, keys, "left_semi").withColumn("in_v", F.lit(True))
+        return small.join(found, keys, "left").withColumn("in_v", F.coalesce("in_v", F.lit(False)))
+
+    @staticmethod
+    def colocated(big: DataFrame, other: DataFrame, keys, how: str = "inner") -> DataFrame:
+        """Join two qid-partitioned tables partition-locally (shuffled-hash, build side ``other``)."""
+        return big.join(other.hint("shuffle_hash"), keys, how)
 
     def missing_documents(self) -> DataFrame:
         """Candidates whose document is not in the collection (D15 report)."""
@@ -110,9 +167,8 @@ class CandidateModels:
     def term_probs(self, mu=None) -> DataFrame:
         """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d."""
         mu = self.params.mu if mu is None else mu
-        t = self.cand_tf.join(self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
-        return t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
+        return self.cand_tf.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
 
     def unpersist(self) -> None:
-        for df in (self.bg, self.cand_tf, self.cand_len, self.cset):
+        for df in (self.cand_tf, self.bg, self.cand_len, self.cset):
             df.unpersist()
