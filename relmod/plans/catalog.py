@@ -16,11 +16,12 @@ from relmod.operators import evaluate as ev
 from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
 from relmod.operators.lm import CandidateModels, query_term_freq
-from relmod.operators.ordering import top_k
+from relmod.operators.ordering import last_wins, top_k
 from relmod.params import Params
 from relmod.plans import oracle as O
 from relmod.plans import pipelines as P
 from relmod.sources import fixtures as X
+from relmod.sources import textfiles as TF
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -396,3 +397,133 @@ def sweep_mu(spark, sf_dir):
 def sweep_lambda(spark, sf_dir):
     """PIPE-7: lambda in {0.2, 0.5, 0.7} for Task 2.2 in one job."""
     return _sweep(spark, sf_dir, LAMBDA_SWEEP)
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks (SRC-*, SNK-*, AGG-17)
+# ---------------------------------------------------------------------------
+@register(
+    "run_lines",
+    O.with_ctes("SELECT qid, rank, printf('%d Q0 %d %d %.4f runid1', qid, doc_id, rank, score) AS line FROM run_a", "run_a"),
+)
+def run_lines(spark, sf_dir):
+    """SNK-1 / PRJ-4: the Task 0 run as output lines."""
+    return TF.run_lines(_feedback_run(spark, sf_dir))
+
+
+@register(
+    "expansion_lines",
+    O.with_ctes(
+        "SELECT qid, CAST(qid AS VARCHAR) || ': ' || string_agg(term, ', ' ORDER BY rk) AS line FROM exps GROUP BY qid",
+        "exps",
+    ),
+)
+def expansion_lines(spark, sf_dir):
+    """SNK-2: expansion words per query, best first."""
+    return TF.expansion_lines(P.expansions_from_vectors(X.queries(spark, sf_dir), X.vectors(spark, sf_dir)))
+
+
+@register(
+    "last_wins",
+    "SELECT user_id, s.event_type AS event_type, s.value AS value FROM ("
+    " SELECT user_id, arg_max({'event_type': event_type, 'value': value}, event_id) AS s FROM events"
+    " WHERE user_id IS NOT NULL GROUP BY user_id)",
+)
+def last_wins_events(spark, sf_dir):
+    """AGG-17 on ``events``: per user, the fields of the event with the highest event_id."""
+    ev_ = X.table(spark, sf_dir, "events").filter(F.col("user_id").isNotNull())
+    return last_wins(ev_.select("user_id", "event_type", "value", "event_id"), "user_id", "event_id")
+
+
+_SANITIZE = r"[\t\n\r]"
+
+
+def _clean_sql(expr: str) -> str:
+    return f"regexp_replace(coalesce({expr}, ''), '{_SANITIZE}', ' ', 'g')"
+
+
+def _strip_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, '^{O.WHITESPACE_CLASS}|{O.WHITESPACE_CLASS}$', '', 'g')"
+
+
+@register(
+    "text_roundtrip",
+    O.with_ctes(
+        "SELECT 'queries' AS file, count(*) AS n_rows FROM benchmark"
+        f" WHERE {_strip_sql(_clean_sql('text'))} <> ''"
+        " UNION ALL SELECT 'candidates', count(*) FROM cand"
+        f" UNION ALL SELECT 'docs', count(*) FROM documents WHERE {_strip_sql(_clean_sql('text'))} <> ''"
+        " UNION ALL SELECT 'qrels', count(*) FROM qrels"
+        " UNION ALL SELECT 'run', count(*) FROM cand",
+        "cand",
+        "qrels",
+    ),
+)
+def text_roundtrip(spark, sf_dir):
+    """SRC-1..6, FLT-1..3, SNK-1: write the fixtures in the text formats, read them back, count.
+
+    Tabs and line breaks inside text fields are replaced by spaces first (the
+    formats cannot hold them). Files go to a fresh folder under the shared
+    checkpoint directory.
+    """
+    from relmod.session import scratch_dir
+
+    base = scratch_dir(spark, "roundtrip")
+    clean = lambda c: F.regexp_replace(F.col(c), _SANITIZE, " ")
+    qs = X.queries(spark, sf_dir).select("qid", clean("text").alias("text"))
+    cands = X.candidates(spark, sf_dir).persist()
+    docs = X.table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("url"), F.lit("").alias("title"), clean("text").alias("body"))
+    qrels = X.qrels(spark, sf_dir).withColumn("run", F.lit(0))
+    TF.write_tsv(qs, ["qid", "text"], f"{base}/queries.tsv", header="[query_id]\ttext")
+    TF.write_tsv(cands, ["qid", "doc_id", "score"], f"{base}/top100docs.tsv", header="[query_id]\tdoc_id\tscore", order=["qid", "pos"])
+    TF.write_tsv(docs, ["doc_id", "url", "title", "body"], f"{base}/docs.tsv")
+    qrels.select(F.concat_ws(" ", "qid", "doc_id", "relevance", "run").alias("value")).write.mode("overwrite").text(f"{base}/qrels.tsv")
+    TF.write_run(cands.select("qid", "doc_id", F.col("pos").alias("rank"), "score"), f"{base}/run")
+    counts = [
+        ("queries", TF.read_queries(spark, f"{base}/queries.tsv")),
+        ("candidates", TF.read_candidates(spark, f"{base}/top100docs.tsv")),
+        ("docs", TF.read_collection(spark, f"{base}/docs.tsv")),
+        ("qrels", TF.read_qrels(spark, f"{base}/qrels.tsv")),
+        ("run", TF.read_run(spark, f"{base}/run")),
+    ]
+    out = None
+    for name, df in counts:
+        c = df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("file"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register(
+    "vector_file_scan",
+    O.with_ctes(
+        "SELECT f.fmt, term, CAST(len(vec) AS INTEGER) AS dim, round(list_sum(vec), 6) AS vsum FROM vectors"
+        " CROSS JOIN (VALUES ('glove'), ('word2vec')) f(fmt)",
+        "vectors",
+    ),
+)
+def vector_file_scan(spark, sf_dir):
+    """SRC-7, SRC-8, SCL-15: vectors written as GloVe and word2vec text, read back."""
+    from relmod.session import scratch_dir
+
+    base = scratch_dir(spark, "vectors")
+    vec = X.vectors(spark, sf_dir).persist()
+    body = vec.select(
+        F.concat_ws(" ", "term", F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")).alias("value")
+    )
+    body.write.mode("overwrite").text(f"{base}/glove")
+    n, dim = vec.select(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    head = spark.createDataFrame([(f"{n} {dim}",)], "value string").withColumn("_o", F.lit(0))
+    head.unionByName(body.withColumn("_o", F.lit(1))).repartitionByRange("_o").sortWithinPartitions("_o").select(
+        "value"
+    ).write.mode("overwrite").text(f"{base}/w2v")
+    out = None
+    for fmt, sub in (("glove", "glove"), ("word2vec", "w2v")):
+        e = TF.read_embeddings(spark, f"{base}/{sub}", fmt)
+        e = e.select(
+            F.lit(fmt).alias("fmt"),
+            "term",
+            F.size("vec").cast("int").alias("dim"),
+            r6(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)).alias("vsum"),
+        )
+        out = e if out is None else out.unionByName(e)
+    return out
