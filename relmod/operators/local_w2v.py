@@ -1,0 +1,161 @@
+"""Local word vectors trained per query on its candidates (ML-1) and their expansions (Task 1).
+
+Spark groups each query's candidate token lists (one sentence per document)
+with its query tokens (``cogroup`` on qid) and runs one seeded trainer per
+group inside ``applyInPandas``; groups are independent, so queries train in
+parallel across the cluster. The group size is the query's candidate list.
+
+Trainer: skip-gram with negative sampling, mini-batched in numpy. Vocabulary
+sorted by frequency desc, term asc (min_count 1); for every position a
+reduced window ``window - b`` with ``b`` uniform in [0, window); no
+subsampling; learning rate decays linearly over one epoch; noise words drawn
+from the unigram distribution to the power 0.75. Vectors are the input
+(word) vectors. Same seed and same input give the same vectors.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from relmod.operators.expansion import SIM_DIGITS
+
+
+@dataclass(frozen=True)
+class W2VParams:
+    dim: int = 300
+    window: int = 20
+    negative: int = 2
+    epochs: int = 1
+    alpha: float = 0.025
+    min_alpha: float = 0.0001
+    batch: int = 8192
+    seed: int = 1
+
+
+def _vocab(sentences: list) -> tuple[np.ndarray, dict, np.ndarray]:
+    counts: dict[str, int] = {}
+    for s in sentences:
+        for t in s:
+            counts[t] = counts.get(t, 0) + 1
+    terms = sorted(counts, key=lambda t: (-counts[t], t))
+    index = {t: i for i, t in enumerate(terms)}
+    return np.array(terms, dtype=object), index, np.array([counts[t] for t in terms], dtype=np.float64)
+
+
+def _pairs(ids: list, window: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    cs, xs = [], []
+    for s in ids:
+        n = len(s)
+        if n < 2:
+            continue
+        eff = window - rng.integers(0, window, size=n)
+        for off in range(1, min(window, n - 1) + 1):
+            i = np.arange(n - off)
+            j = i + off
+            m1 = off <= eff[i]
+            cs.append(s[i[m1]])
+            xs.append(s[j[m1]])
+            m2 = off <= eff[j]
+            cs.append(s[j[m2]])
+            xs.append(s[i[m2]])
+    if not cs:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(cs), np.concatenate(xs)
+
+
+def _scatter_add(mat: np.ndarray, rows: np.ndarray, vals: np.ndarray, dims: np.ndarray) -> None:
+    """mat[rows] += vals, repeated rows accumulated (1-D ufunc.at on the flat view)."""
+    flat = (rows[:, None] * mat.shape[1] + dims).ravel()
+    np.add.at(mat.reshape(-1), flat, vals.reshape(-1))
+
+
+def train(sentences: list, p: W2VParams = W2VParams()) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, vectors float32[V, dim]) for a list of token lists."""
+    terms, index, counts = _vocab(sentences)
+    v = len(terms)
+    rng = np.random.default_rng(p.seed)
+    w_in = ((rng.random((v, p.dim), dtype=np.float32) - 0.5) / p.dim).astype(np.float32)
+    w_out = np.zeros((v, p.dim), dtype=np.float32)
+    if v == 0:
+        return terms, w_in
+    noise = np.cumsum(counts**0.75)
+    noise /= noise[-1]
+    ids = [np.fromiter((index[t] for t in s), dtype=np.int64, count=len(s)) for s in sentences]
+    dims = np.arange(p.dim)
+    for epoch in range(p.epochs):
+        centers, contexts = _pairs(ids, p.window, rng)
+        order = rng.permutation(len(centers))
+        centers, contexts = centers[order], contexts[order]
+        total = len(centers) * p.epochs
+        done = epoch * len(centers)
+        for start in range(0, len(centers), p.batch):
+            c = centers[start : start + p.batch]
+            o = contexts[start : start + p.batch]
+            lr = np.float32(max(p.min_alpha, p.alpha - (p.alpha - p.min_alpha) * (done + start) / max(total, 1)))
+            neg = np.searchsorted(noise, rng.random((len(c), p.negative)))
+            tgt = np.concatenate([o[:, None], neg], axis=1)
+            h = w_in[c]
+            u = w_out[tgt]
+            score = np.einsum("bd,bkd->bk", h, u)
+            label = np.zeros_like(score)
+            label[:, 0] = 1.0
+            g = (label - 1.0 / (1.0 + np.exp(-score))) * lr
+            dh = np.einsum("bk,bkd->bd", g, u)
+            _scatter_add(w_out, tgt.ravel(), (g[..., None] * h[:, None, :]).reshape(-1, p.dim), dims)
+            _scatter_add(w_in, c, dh, dims)
+    return terms, w_in
+
+
+def _group_expansions(k: int, p: W2VParams):
+    def run(docs: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+        if docs.empty:
+            return pd.DataFrame({"qid": [], "rk": [], "term": [], "sim": []})
+        qid = docs["qid"].iloc[0]
+        docs = docs.sort_values("doc_id")
+        terms, vecs = train([list(t) for t in docs["tokens"]], p)
+        index = {t: i for i, t in enumerate(terms)}
+        cent = np.zeros(p.dim, dtype=np.float64)
+        for t, n in zip(query["term"], query["qtf"]):
+            i = index.get(t)
+            if i is not None:
+                cent += n * vecs[i].astype(np.float64)
+        if not cent.any():  # no query token in the local vocabulary (D8): no expansion
+            return pd.DataFrame({"qid": [], "rk": [], "term": [], "sim": []})
+        sims = np.round(vecs.astype(np.float64) @ cent, SIM_DIGITS)
+        kk = min(k, len(terms))
+        order = np.lexsort((np.argsort(np.argsort(terms.astype(str))), -sims))[:kk]
+        return pd.DataFrame({"qid": qid, "rk": np.arange(1, kk + 1, dtype=np.int32), "term": terms[order].astype(str), "sim": sims[order]})
+
+    return run
+
+
+def local_expansions(cand_tokens: DataFrame, qtf: DataFrame, k: int, p: W2VParams = W2VParams()) -> DataFrame:
+    """(qid, rk, term, sim): top-k words by inner product with the query centroid, per query.
+
+    ``cand_tokens`` is (qid, doc_id, tokens) for every candidate of a query,
+    ``qtf`` the query histogram (qid, term, qtf).
+    """
+    qtype = cand_tokens.schema["qid"].dataType.simpleString()
+    return (
+        cand_tokens.groupBy("qid")
+        .cogroup(qtf.groupBy("qid"))
+        .applyInPandas(_group_expansions(k, p), f"qid {qtype}, rk int, term string, sim double")
+    )
+
+
+def local_embeddings(cand_tokens: DataFrame, p: W2VParams = W2VParams()) -> DataFrame:
+    """(qid, term, vec array<float>): the trained local vectors of every query (ML-1)."""
+    qtype = cand_tokens.schema["qid"].dataType.simpleString()
+
+    def run(docs: pd.DataFrame) -> pd.DataFrame:
+        qid = docs["qid"].iloc[0]
+        docs = docs.sort_values("doc_id")
+        terms, vecs = train([list(t) for t in docs["tokens"]], p)
+        return pd.DataFrame({"qid": qid, "term": terms.astype(str), "vec": list(vecs)})
+
+    return cand_tokens.groupBy("qid").applyInPandas(run, f"qid {qtype}, term string, vec array<float>")

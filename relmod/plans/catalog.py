@@ -527,3 +527,12 @@ def vector_file_scan(spark, sf_dir):
         )
         out = e if out is None else out.unionByName(e)
     return out
+
+
+# ---------------------------------------------------------------------------
+# Task 1: local vectors (ML-1, PIPE-1); training has no SQL form -> rows-only
+# ---------------------------------------------------------------------------
+@register("rerank_local")
+def rerank_local(spark, sf_dir):
+    run, _ = P.rerank_local(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
+    return run.select("qid", "doc_id", "rank", r6("score").alias("score"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from relmod.operators import expansion as ex
 from relmod.operators import evaluate as ev
 from relmod.operators import feedback as fb
+from relmod.operators import local_w2v as lw
+from relmod.operators.local_w2v import W2VParams
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import rank_within
 from relmod.params import Params
@@ -126,3 +128,30 @@ def sweep_embeddings(queries, candidates, collection, vectors, qrels, settings,
     """PIPE-6 (mu over Task 2.1) and PIPE-7 (lambda over Task 2.2) with given vectors."""
     exps = expansions_from_vectors(queries, vectors, params)
     return sweep_from_expansions(queries, candidates, collection, exps, qrels, settings, params)
+
+
+def rerank_local(
+    queries: DataFrame,
+    candidates: DataFrame,
+    collection: DataFrame,
+    params: Params = Params(),
+    w2v: W2VParams = W2VParams(),
+) -> tuple[DataFrame, DataFrame]:
+    """Task 1 (PIPE-1): vectors trained per query on its candidates, expansion, Score B.
+
+    Returns (run, expansions). Training is seeded, so a run repeats exactly.
+    """
+    models, qtf = _embedding_models(queries, candidates, collection, params)
+    cand_tokens = models.attach(models.cset, models.doc_tokens, "doc_id")
+    exps = lw.local_expansions(cand_tokens, qtf, params.top_k, w2v).persist()
+    rm = ex.relevance_model(ex.expansion_model(exps, qtf, models), params.lam)
+    run = rank_run(ex.score_b(rm, models)).select("qid", "doc_id", "rank", "score")
+    return run, exps
+
+
+def sweep_local(queries, candidates, collection, qrels, settings, params: Params = Params(), w2v: W2VParams = W2VParams()):
+    """PIPE-6 for Task 1: local expansions trained once, then every (mu, lambda) setting."""
+    models, qtf = _embedding_models(queries, candidates, collection, params)
+    cand_tokens = models.attach(models.cset, models.doc_tokens, "doc_id")
+    exps = lw.local_expansions(cand_tokens, qtf, params.top_k, w2v).persist()
+    return sweep_from_expansions(queries, candidates, collection, exps, qrels, settings, params)
