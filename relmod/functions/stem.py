@@ -1,0 +1,208 @@
+"""English Snowball (Porter2) stemming as a vocabulary lexicon (SCL-4).
+
+Stemming runs on distinct words only: the distinct whitespace words of the
+texts are stemmed in Arrow batches (``pandas_udf``) and the (word, stem)
+lexicon is joined back to the word stream, which keeps positions and is
+reassembled per document. The stemmer below follows the published Porter2
+algorithm (snowballstem.org, "English stemmer").
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from relmod.functions.text import normalize, split_tokens
+from relmod.params import WHITESPACE_CLASS, TextOptions
+from relmod.session import broadcast_if_small
+
+# Fixed values of the algorithm.
+VOWELS = "aeiouy"
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+LI_ENDINGS = "cdeghkmnrt"
+R1_PREFIXES = ("gener", "commun", "arsen")
+EXCEPTIONS = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+    "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
+    "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
+    "cosmos": "cosmos", "bias": "bias", "andes": "andes",
+}
+AFTER_1A = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
+STEP2 = (
+    ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"),
+    ("iveness", "ive"), ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"),
+    ("entli", "ent"), ("ation", "ate"), ("alism", "al"), ("aliti", "al"), ("ousli", "ous"),
+    ("iviti", "ive"), ("fulli", "ful"), ("enci", "ence"), ("anci", "ance"), ("abli", "able"),
+    ("izer", "ize"), ("ator", "ate"), ("alli", "al"), ("bli", "ble"), ("ogi", "og"), ("li", ""),
+)
+STEP3 = (
+    ("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
+    ("ative", ""), ("ical", "ic"), ("ness", ""), ("ful", ""),
+)
+STEP4 = (
+    "ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous",
+    "ive", "ize", "ion", "al", "er", "ic",
+)
+
+
+def _is_vowel(w: str, i: int) -> bool:
+    return w[i] in VOWELS
+
+
+def _region(w: str, start: int) -> int:
+    for i in range(start + 1, len(w)):
+        if not _is_vowel(w, i) and _is_vowel(w, i - 1):
+            return i + 1
+    return len(w)
+
+
+def _short_syllable_end(w: str) -> bool:
+    n = len(w)
+    if n == 2:
+        return _is_vowel(w, 0) and not _is_vowel(w, 1)
+    if n >= 3:
+        return (
+            not _is_vowel(w, n - 3)
+            and _is_vowel(w, n - 2)
+            and not _is_vowel(w, n - 1)
+            and w[n - 1] not in "wxY"
+        )
+    return False
+
+
+def stem_word(word: str) -> str:
+    """Porter2 stem of one lower-case word."""
+    if len(word) <= 2:
+        return word
+    if word in EXCEPTIONS:
+        return EXCEPTIONS[word]
+    w = word[1:] if word.startswith("'") else word
+    chars = list(w)
+    for i, ch in enumerate(chars):
+        if ch == "y" and (i == 0 or chars[i - 1] in VOWELS):
+            chars[i] = "Y"
+    w = "".join(chars)
+    r1 = next((len(p) for p in R1_PREFIXES if w.startswith(p)), None)
+    if r1 is None:
+        r1 = _region(w, 0)
+    r2 = _region(w, r1)
+
+    # step 0
+    for suf in ("'s'", "'s", "'"):
+        if w.endswith(suf):
+            w = w[: -len(suf)]
+            break
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ied") or w.endswith("ies"):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif w.endswith("us") or w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        if any(c in VOWELS for c in w[:-2]):
+            w = w[:-1]
+    if w in AFTER_1A:
+        return w
+    # step 1b
+    for suf in ("eedly", "eed"):
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                w = w[: -len(suf)] + "ee"
+            break
+    else:
+        for suf in ("ingly", "edly", "ing", "ed"):
+            if w.endswith(suf):
+                stem = w[: -len(suf)]
+                if any(c in VOWELS for c in stem):
+                    w = stem
+                    if w.endswith(("at", "bl", "iz")):
+                        w += "e"
+                    elif w.endswith(DOUBLES):
+                        w = w[:-1]
+                    elif _short_syllable_end(w) and r1 >= len(w):
+                        w += "e"
+                break
+    # step 1c
+    if len(w) > 2 and w[-1] in "yY" and w[-2] not in VOWELS:
+        w = w[:-1] + "i"
+    # step 2
+    for suf, rep in STEP2:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ogi":
+                    if w[-4:-3] == "l":
+                        w = w[:-3] + rep
+                elif suf == "li":
+                    if w[-3:-2] and w[-3] in LI_ENDINGS:
+                        w = w[:-2]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 3
+    for suf, rep in STEP3:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ative":
+                    if len(w) - len(suf) >= r2:
+                        w = w[:-5]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 4
+    for suf in STEP4:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r2:
+                if suf == "ion":
+                    if w[-4:-3] in ("s", "t"):
+                        w = w[:-3]
+                else:
+                    w = w[: -len(suf)]
+            break
+    # step 5
+    if w.endswith("e"):
+        if len(w) - 1 >= r2 or (len(w) - 1 >= r1 and not _short_syllable_end(w[:-1])):
+            w = w[:-1]
+    elif w.endswith("l"):
+        if len(w) - 1 >= r2 and w[-2:-1] == "l":
+            w = w[:-1]
+    return w.replace("Y", "y")
+
+
+def _stem_batch(words: pd.Series) -> pd.Series:
+    return words.map(stem_word)
+
+
+def stem_lexicon(words: DataFrame, col: str = "word") -> DataFrame:
+    """(word, stem) for the distinct values of ``col`` (one stem call per distinct word)."""
+    distinct = words.select(F.col(col).alias("word")).distinct()
+    stem_udf = F.pandas_udf(_stem_batch, StringType())
+    return distinct.select("word", stem_udf("word").alias("stem"))
+
+
+def stemmed_tokens(df: DataFrame, id_col: str, text_col: str, opts: TextOptions = TextOptions(stemming=True), max_lexicon_rows: int = 5_000_000) -> DataFrame:
+    """(id, tokens) with the full chain including stemming (SCL-7 with the stemming switch).
+
+    normalise -> whitespace words (with positions) -> stem through the lexicon
+    -> stop-words -> join by a space per document -> delimiter tokenizer. The
+    lexicon is broadcast when its size is proven small; otherwise the join
+    shuffles on the word (AQE splits skewed words).
+    """
+    words = df.select(
+        id_col, F.posexplode(F.split(normalize(text_col, opts), WHITESPACE_CLASS)).alias("pos", "word")
+    ).filter(F.col("word") != "")
+    words = words.persist(StorageLevel.MEMORY_AND_DISK)
+    lex = broadcast_if_small(stem_lexicon(words), max_lexicon_rows)
+    stemmed = words.join(lex, "word")
+    if opts.stopwords:
+        stemmed = stemmed.filter(~F.col("stem").isin(list(opts.stop_words)))
+    per_doc = stemmed.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("s"))
+    joined = F.array_join(F.transform("s", lambda x: x["stem"]), " ")
+    out = per_doc.select(id_col, split_tokens(joined).alias("tokens"))
+    # documents with no word left keep an empty token list
+    return df.select(id_col).join(out, id_col, "left").select(
+        id_col, F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
+    )

@@ -29,7 +29,14 @@ def candidate_documents(candidates: DataFrame, collection: DataFrame, params: Pa
 
 
 def document_tokens(docs: DataFrame, fields, params: Params = Params()) -> DataFrame:
-    """(doc_id, tokens) of the given text fields joined by a space (PRJ-1, SCL-7)."""
+    """(doc_id, tokens) of the given text fields joined by a space (PRJ-1, SCL-7).
+
+    With the stemming switch on, words go through the stem lexicon (SCL-4).
+    """
+    if params.text.stemming:
+        from relmod.functions.stem import stemmed_tokens
+
+        return stemmed_tokens(docs.select("doc_id", fields_text(*fields).alias("_text")), "doc_id", "_text", params.text)
     return docs.select("doc_id", tokens(fields_text(*fields), params.text).alias("tokens"))
 
 
@@ -58,8 +65,14 @@ def doc_term_freq_len(doc_tok: DataFrame) -> DataFrame:
 
 def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     """(qid, term, qtf): query token histogram (AGG-13)."""
+    if params.text.stemming:
+        from relmod.functions.stem import stemmed_tokens
+
+        toks = stemmed_tokens(queries, "qid", "text", params.text)
+    else:
+        toks = queries.select("qid", tokens("text", params.text).alias("tokens"))
     return (
-        queries.select("qid", F.explode(tokens("text", params.text)).alias("term"))
+        toks.select("qid", F.explode("tokens").alias("term"))
         .groupBy("qid", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )

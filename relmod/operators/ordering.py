@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +36,17 @@ def dense_index(df: DataFrame, order: list[Column], index_col: str = "idx") -> D
     counts (one row per partition: bounded by the partition count) give the
     offsets. ``order`` must be a total order for the result to be deterministic.
     """
+    # An explicit partition count keeps AQE from coalescing the range shuffle,
+    # so the counting branch and the indexing branch see the same partitions;
+    # persisted so the range shuffle (and its sampling) runs once.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", 33))
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

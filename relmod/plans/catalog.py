@@ -536,3 +536,17 @@ def vector_file_scan(spark, sf_dir):
 def rerank_local(spark, sf_dir):
     run, _ = P.rerank_local(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
     return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# stemming (SCL-4): no stemmer exists in the SQL engine -> rows-only
+# ---------------------------------------------------------------------------
+@register("stem_lexicon")
+def stem_lexicon(spark, sf_dir):
+    """(word, stem) for every distinct normalised whitespace word of the documents."""
+    from relmod.functions.stem import stem_lexicon as lexicon
+    from relmod.params import WHITESPACE_CLASS
+
+    d = X.table(spark, sf_dir, "documents")
+    words = d.select(F.explode(F.split(T.normalize("text"), WHITESPACE_CLASS)).alias("word")).filter(F.col("word") != "")
+    return lexicon(words)

@@ -77,3 +77,20 @@ def test_trainer_deterministic():
     assert list(t1) == list(t2) and np.array_equal(v1, v2)
     assert v1.shape == (4, 16) and np.isfinite(v1).all()
     assert list(t1)[0] == "alpha"  # frequency desc, term asc
+
+
+def test_dense_index_is_a_permutation(spark):
+    from relmod.operators.ordering import dense_index
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        df = spark.range(0, 50_000).select((F.col("id") * 7919 % 50_000).alias("k"), (F.col("id") % 13).alias("g"))
+        out = dense_index(df, [F.desc("g"), F.asc("k")], "idx")
+        rows = out.select("g", "k", "idx").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(rows) == 50_000
+    assert sorted(r.idx for r in rows) == list(range(50_000))
+    expect = sorted(rows, key=lambda r: (-r.g, r.k))
+    assert all(r.idx == i for i, r in enumerate(expect))

@@ -1,0 +1,27 @@
+"""Stemming (SCL-4): Porter2 examples and the lexicon path through the chain."""
+
+import pytest
+
+from relmod.functions.stem import stem_word, stemmed_tokens
+from relmod.params import TextOptions
+
+EXAMPLES = {
+    "caresses": "caress", "ponies": "poni", "ties": "tie", "running": "run", "hopping": "hop",
+    "hoping": "hope", "generously": "generous", "relational": "relat", "conditional": "condit",
+    "digitizer": "digit", "radically": "radic", "vileness": "vile", "hopefulness": "hope",
+    "sensibility": "sensibl", "electricity": "electr", "adjustment": "adjust", "adoption": "adopt",
+    "effective": "effect", "controll": "control", "consignment": "consign", "agreed": "agre",
+    "cry": "cri", "say": "say", "skies": "sky", "dying": "die", "news": "news", "inning": "inning",
+    "communicate": "communic", "national": "nation", "studies": "studi", "quickly": "quick",
+}
+
+
+@pytest.mark.parametrize("word,stem", EXAMPLES.items())
+def test_examples(word, stem):
+    assert stem_word(word) == stem
+
+
+def test_stemmed_chain(spark):
+    df = spark.createDataFrame([(1, "The Runners were running quickly, 3 times"), (2, "")], "id long, t string")
+    out = {r.id: r.tokens for r in stemmed_tokens(df, "id", "t", TextOptions(stemming=True)).collect()}
+    assert out == {1: ["runner", "run", "quick", "<num>", "time"], 2: []}
