@@ -73,19 +73,29 @@ def feedback_model(lik: DataFrame, models: CandidateModels, mu=None) -> DataFram
         .agg(F.sum(F.col("tf") * F.col("a")).alias("direct"))
     )
     base = models.attach(models.bg.select("qid", "term", "p_bg"), s, "qid")
+    # p_bg is carried along: Score A then needs one join with the model table
     return models.colocated(base, direct, ["qid", "term"], "left").select(
         "qid",
         "term",
         (F.coalesce("direct", F.lit(0.0)) + F.lit(mu) * F.col("p_bg") * F.col("s")).alias("p_rm"),
+        "p_bg",
     )
 
 
 def score_a(p_rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
-    """(qid, doc_id, score): 1 - KL(document || feedback model), natural log (AGG-11)."""
-    tp = models.term_probs(mu).select("qid", "doc_id", "term", "p")
+    """(qid, doc_id, score): 1 - KL(document || feedback model), natural log (AGG-11).
+
+    ``p_rm`` is (qid, term, p_rm[, p_bg]); with ``p_bg`` present (as produced by
+    ``feedback_model``) the document probabilities need no second join.
+    """
+    mu = float(models.params.mu if mu is None else mu)
+    if "p_bg" in p_rm.columns:
+        t = models.colocated(models.cand_tf.select("qid", "doc_id", "term", "tf", "doc_len"), p_rm, ["qid", "term"])
+        tp = t.withColumn("p", (F.col("tf") + F.lit(mu) * F.col("p_bg")) / (F.col("doc_len") + F.lit(mu)))
+    else:
+        tp = models.colocated(models.term_probs(mu).select("qid", "doc_id", "term", "p"), p_rm, ["qid", "term"])
     kl = (
-        models.colocated(tp, p_rm, ["qid", "term"])
-        .groupBy("qid", "doc_id")
+        tp.groupBy("qid", "doc_id")
         .agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("p_rm"))).alias("kl"))
     )
     # start from the candidates: empty documents have no terms and score 1 (D10)

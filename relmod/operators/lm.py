@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from relmod.functions.text import fields_text, tokens
 from relmod.params import UNK, Params
-from relmod.session import broadcast_if_small
+from relmod.session import broadcast_if_small, spread
 
 
 def candidate_set(candidates: DataFrame) -> DataFrame:
@@ -128,7 +128,9 @@ class CandidateModels:
         self.cset = cset
         ids = cset.select("doc_id").distinct()
         docs = collection.join(F.broadcast(ids) if self.small else ids, "doc_id", "left_semi")  # JOIN-1
-        doc_tok = document_tokens(docs, fields, params)
+        # token arrays of the candidate documents: read for lengths, term counts
+        # and (Task 1) training, so they are tokenised once and kept
+        doc_tok = document_tokens(spread(docs), fields, params).persist(StorageLevel.MEMORY_AND_DISK)
         self.doc_tokens = doc_tok
         dtf = doc_term_freq_len(doc_tok)
         # inner joins: candidates whose document is missing are dropped (JOIN-3)
@@ -136,15 +138,9 @@ class CandidateModels:
         self.cand_len = (
             dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")
         ).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
-        # the expansion is shuffled once; it is materialised only until the
-        # model table that carries p_bg has been built from it
-        tf = self._expand(cset, dtf).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
-        self.bg = background(tf, self.cand_len, params, self).persist(StorageLevel.MEMORY_AND_DISK)
-        self.cand_tf = self.colocated(tf, self.bg.select("qid", "term", "p_bg"), ["qid", "term"]).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        self.cand_tf.count()
-        tf.unpersist()
+        # (qid, doc_id, term, tf, doc_len): the expansion is shuffled once, by qid
+        self.cand_tf = self._expand(cset, dtf).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        self.bg = background(self.cand_tf, self.cand_len, params, self).persist(StorageLevel.MEMORY_AND_DISK)
 
     def _expand(self, cset: DataFrame, dtf: DataFrame) -> DataFrame:
         """(qid, doc_id, term, tf, doc_len): every candidate pair with its document's counts."""
@@ -178,10 +174,14 @@ class CandidateModels:
         return self.cset.join(self.cand_len, ["qid", "doc_id"], "left_anti")
 
     def term_probs(self, mu=None) -> DataFrame:
-        """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d."""
+        """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d (JOIN-4/5/7).
+
+        A partition-local shuffled-hash join of the two qid-partitioned tables.
+        """
         mu = self.params.mu if mu is None else mu
-        return self.cand_tf.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
+        t = self.colocated(self.cand_tf, self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
+        return t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
 
     def unpersist(self) -> None:
-        for df in (self.cand_tf, self.bg, self.cand_len, self.cset):
+        for df in (self.cand_tf, self.bg, self.cand_len, self.cset, self.doc_tokens):
             df.unpersist()

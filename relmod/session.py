@@ -64,3 +64,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition before CPU-heavy text work when the input has
+    fewer partitions than the cluster has task slots (e.g. a single Parquet
+    row group); inputs that are already split are left alone."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from relmod.functions.text import tokens
 from relmod.operators.ordering import dense_index, top_k
 from relmod.params import Params
-from relmod.session import broadcast_if_small
+from relmod.session import broadcast_if_small, spread
 
 GRAM = 5
 SHARE_NUM, SHARE_DEN = 3, 10  # 30 %
@@ -45,7 +45,8 @@ def query_tokens(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tokens("text", params.text).alias("tokens"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", tokens("text", params.text).alias("tokens"))
 
 
 def shared_terms(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
