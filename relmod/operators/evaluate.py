@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relmod.operators.ordering import rank_within, top_k
+from relmod.operators.ordering import rank_within, rank_within_large, top_k
 from relmod.params import CUTOFFS
 
 FULL_DEPTH = 0  # cutoff value that stands for "all positions"
@@ -44,7 +44,8 @@ def ideal_dcg(qrels: DataFrame, cutoffs=CUTOFFS, positive_only: bool = False) ->
     j = qrels.filter(F.col("relevance") > 0) if positive_only else qrels
     order = [F.desc("relevance"), F.asc("doc_id")]
     if FULL_DEPTH in cutoffs:
-        ranked = rank_within(j, "qid", order, "pos")
+        # every judged document counts: judged sets are not bounded like candidate lists
+        ranked = rank_within_large(j, "qid", order, "pos")
     else:
         ranked = top_k(j, "qid", order, max(cutoffs), "pos")  # only the best max(k) matter
     t = ranked.select("qid", "pos", F.col("relevance").cast("double").alias("rel"))

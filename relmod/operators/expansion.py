@@ -92,6 +92,9 @@ def expand(
     as the final pick, so nothing that belongs to the final top k is lost);
     a final ``row_number() <= k`` picks from at most k x nvb rows per query.
     """
+    # both inputs are counted (block sizing) and then read again: keep them
+    cents = cents.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     n_q = cents.count()
     n_v = vectors.count()
     nqb = max(1, math.ceil(n_q / query_block))

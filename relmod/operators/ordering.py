@@ -88,3 +88,21 @@ def last_wins(df: DataFrame, keys, order_col: str) -> DataFrame:
     packed = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None)
     out = df.groupBy(*keys).agg(F.max_by(packed, F.col(order_col)).alias("_last"))
     return out.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
+
+
+def rank_within_large(df: DataFrame, group: str, order: list[Column], rank_col: str = "rank", max_groups_broadcast: int = 1_000_000) -> DataFrame:
+    """1-based position per group for groups of any size (no group in one task).
+
+    One global range-partitioned order on (group, order...) spreads even a
+    group holding a third of the rows over many tasks (``dense_index``); a
+    row's position is its global index minus its group's first index (a
+    partially aggregated ``min``; that per-group table is broadcast when a
+    count proves it small).
+    """
+    idx = dense_index(df, [F.asc(group), *order], "_gidx")
+    first = idx.groupBy(group).agg(F.min("_gidx").alias("_first"))
+    n = first.count()
+    first = F.broadcast(first) if n <= max_groups_broadcast else first
+    return idx.join(first, group).withColumn(rank_col, (F.col("_gidx") - F.col("_first") + 1).cast("int")).drop(
+        "_gidx", "_first"
+    )

@@ -94,3 +94,14 @@ def test_dense_index_is_a_permutation(spark):
     assert sorted(r.idx for r in rows) == list(range(50_000))
     expect = sorted(rows, key=lambda r: (-r.g, r.k))
     assert all(r.idx == i for i, r in enumerate(expect))
+
+
+def test_rank_within_large_matches_window(spark):
+    from pyspark.sql import Window
+
+    from relmod.operators.ordering import rank_within_large
+
+    df = spark.range(0, 20_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 37 % 20_000).alias("v"))
+    a = rank_within_large(df, "g", [F.desc("v")], "r")
+    b = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    assert sorted(map(tuple, a.select("g", "v", "r").collect())) == sorted(map(tuple, b.select("g", "v", "r").collect()))
