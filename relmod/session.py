@@ -70,5 +70,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition before CPU-heavy text work when the input has
     fewer partitions than the cluster has task slots (e.g. a single Parquet
     row group); inputs that are already split are left alone."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df if have >= n else df.repartition(n)

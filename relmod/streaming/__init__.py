@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The re-ranking method reads all of its inputs (queries, candidate lists,
+collection, vectors, judgements) before the first query is ranked; it has no
+stream, watermark, window over time or per-key state. Every operator is a
+batch DataFrame operator in ``relmod.operators``.
+"""

@@ -137,3 +137,12 @@ def test_oov_tokens(spark):
     m = CandidateModels(c, coll, P.FEEDBACK_FIELDS)
     oov = fb.oov_tokens(query_term_freq(q), m).collect()
     assert {r.term for r in oov} == {"zulu"}
+
+
+def test_feedback_model_sums_to_one(spark):
+    queries, cands, docs = corpus(seed=3)
+    q, c, coll = frames(spark, queries, cands, docs)
+    m = CandidateModels(c, coll, P.FEEDBACK_FIELDS)
+    p_rm = fb.feedback_model(fb.query_likelihood(query_term_freq(q), m), m)
+    sums = {r.qid: r.s for r in p_rm.filter(f"term != '{UNK}'").groupBy("qid").agg({"p_rm": "sum"}).withColumnRenamed("sum(p_rm)", "s").collect()}
+    assert sums and all(abs(v - 1.0) < 1e-12 for v in sums.values())
