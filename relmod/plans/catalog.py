@@ -43,10 +43,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _models(spark, sf_dir, fields=P.FEEDBACK_FIELDS, params=Params()):
-    qs = X.queries(spark, sf_dir)
-    cands = X.candidates(spark, sf_dir).join(qs.select("qid"), "qid", "left_semi")
-    return qs, CandidateModels(cands, X.collection(spark, sf_dir), fields, params)
+def _models(spark, sf_dir, fields=P.FEEDBACK_FIELDS, params=Params(), fx=None):
+    fx = fx or X.Fixtures(spark, sf_dir)
+    qs = fx.queries()
+    cands = fx.candidates().join(qs.select("qid"), "qid", "left_semi")
+    return qs, CandidateModels(cands, fx.collection(), fields, params)
 
 
 # ---------------------------------------------------------------------------
@@ -293,9 +294,10 @@ def expansions(spark, sf_dir):
     O.with_ctes("SELECT qid, term, round(r, 6) AS r FROM rm", "rm"),
 )
 def expansion_model(spark, sf_dir):
-    qs, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS)
+    fx = X.Fixtures(spark, sf_dir)
+    qs, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS, fx=fx)
     qtf = query_term_freq(qs)
-    vec = X.vectors(spark, sf_dir)
+    vec = fx.vectors()
     exps = ex.expand(vec, ex.centroids(qtf, vec), Params().top_k)
     rm = ex.relevance_model(ex.expansion_model(exps, qtf, m), Params().lam)
     return rm.select("qid", "term", r6("r").alias("r"))
@@ -306,9 +308,8 @@ def expansion_model(spark, sf_dir):
     O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b"),
 )
 def rerank_embeddings(spark, sf_dir):
-    run, _ = P.rerank_embeddings(
-        X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir), X.vectors(spark, sf_dir)
-    )
+    fx = X.Fixtures(spark, sf_dir)
+    run, _ = P.rerank_embeddings(fx.queries(), fx.candidates(), fx.collection(), fx.vectors())
     return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
 
 
@@ -319,8 +320,9 @@ MU_SWEEP = [(100, 0.2), (200, 0.2), (350, 0.2), (500, 0.2)]
 LAMBDA_SWEEP = [(800, 0.2), (800, 0.5), (800, 0.7)]
 
 
-def _feedback_run(spark, sf_dir):
-    return P.rerank_feedback(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
+def _feedback_run(spark, sf_dir, fx=None):
+    fx = fx or X.Fixtures(spark, sf_dir)
+    return P.rerank_feedback(fx.queries(), fx.candidates(), fx.collection())
 
 
 @register(
@@ -329,7 +331,8 @@ def _feedback_run(spark, sf_dir):
 )
 def dcg(spark, sf_dir):
     """AGG-18, WIN-3, JOIN-13: DCG of the candidate lists in stored order."""
-    d = ev.candidates_dcg(X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    fx = X.Fixtures(spark, sf_dir)
+    d = ev.candidates_dcg(fx.candidates(), fx.qrels())
     return d.select("qid", "cutoff", r6("dcg").alias("dcg"))
 
 
@@ -347,7 +350,8 @@ def ideal_dcg(spark, sf_dir):
     O.with_ctes("SELECT qid, stage, cutoff, round(ndcg, 6) AS ndcg FROM perq", "perq", extra=O.run_of("run_a")),
 )
 def ndcg_per_query(spark, sf_dir):
-    per_q, _ = P.evaluate(_feedback_run(spark, sf_dir), X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    fx = X.Fixtures(spark, sf_dir)
+    per_q, _ = P.evaluate(_feedback_run(spark, sf_dir, fx), fx.candidates(), fx.qrels())
     return per_q.select("qid", "stage", "cutoff", r6("ndcg").alias("ndcg"))
 
 
@@ -356,7 +360,8 @@ def ndcg_per_query(spark, sf_dir):
     O.with_ctes("SELECT stage, cutoff, round(ndcg, 6) AS ndcg FROM meanq", "meanq", extra=O.run_of("run_a")),
 )
 def ndcg_mean(spark, sf_dir):
-    _, mean = P.evaluate(_feedback_run(spark, sf_dir), X.candidates(spark, sf_dir), X.qrels(spark, sf_dir))
+    fx = X.Fixtures(spark, sf_dir)
+    _, mean = P.evaluate(_feedback_run(spark, sf_dir, fx), fx.candidates(), fx.qrels())
     return mean.select("stage", "cutoff", r6("ndcg").alias("ndcg"))
 
 
@@ -365,19 +370,14 @@ def ndcg_mean(spark, sf_dir):
     O.with_ctes("SELECT qid, cutoff, round(ndcg, 6) AS ndcg FROM trec", "trec", extra=O.run_of("run_a")),
 )
 def ndcg_trec_order(spark, sf_dir):
-    t = ev.evaluate_trec(_feedback_run(spark, sf_dir), X.qrels(spark, sf_dir))
+    fx = X.Fixtures(spark, sf_dir)
+    t = ev.evaluate_trec(_feedback_run(spark, sf_dir, fx), fx.qrels())
     return t.select("qid", "cutoff", r6("ndcg").alias("ndcg"))
 
 
 def _sweep(spark, sf_dir, settings):
-    m = P.sweep_embeddings(
-        X.queries(spark, sf_dir),
-        X.candidates(spark, sf_dir),
-        X.collection(spark, sf_dir),
-        X.vectors(spark, sf_dir),
-        X.qrels(spark, sf_dir),
-        settings,
-    )
+    fx = X.Fixtures(spark, sf_dir)
+    m = P.sweep_embeddings(fx.queries(), fx.candidates(), fx.collection(), fx.vectors(), fx.qrels(), settings)
     return m.select("setting_id", "mu", "lam", "stage", "cutoff", r6("ndcg").alias("ndcg"))
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,3 +116,72 @@ def vectors(spark: SparkSession, sf_dir: str, params: Params = Params()) -> Data
     ranked = dense_index(term_cf(spark, sf_dir, params), [F.desc("cf"), F.asc("term")], "vec_id")
     emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
     return ranked.join(emb, "vec_id").select("term", "vec")
+
+
+class Fixtures:
+    """The derived inputs of one test-table folder, sharing their common parts.
+
+    Document tokens and the shared-term table are computed once and persisted
+    (memory and disk), then feed the candidate lists, the judgements and the
+    vector assignment.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = Params()):
+        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        self._cache: dict = {}
+
+    def _get(self, key, build):
+        if key not in self._cache:
+            self._cache[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._cache[key]
+
+    def queries(self) -> DataFrame:
+        return queries(self.spark, self.sf_dir)
+
+    def collection(self) -> DataFrame:
+        return collection(self.spark, self.sf_dir)
+
+    def doc_tokens(self) -> DataFrame:
+        return self._get("doc_tokens", lambda: doc_tokens(self.spark, self.sf_dir, self.params))
+
+    def shared(self) -> DataFrame:
+        def build():
+            qt = query_tokens(self.spark, self.sf_dir, self.params).select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
+            nq = qt.groupBy("qid").agg(F.count(F.lit(1)).alias("n_qterms"))
+            dt = self.doc_tokens().select("doc_id", F.explode(F.array_distinct("tokens")).alias("term"))
+            pairs = dt.join(broadcast_if_small(qt, self.params.broadcast_rows), "term")
+            return pairs.groupBy("qid", "doc_id").agg(F.count(F.lit(1)).alias("n_shared")).join(nq, "qid")
+
+        return self._get("shared", build)
+
+    def candidates(self, depth: int = 100) -> DataFrame:
+        def build():
+            ranked = top_k(self.shared(), "qid", [F.desc("n_shared"), F.asc("doc_id")], depth, rank_col="pos")
+            return ranked.select("qid", "doc_id", F.col("n_shared").cast("double").alias("score"), F.col("pos").cast("int"))
+
+        return self._get(("candidates", depth), build)
+
+    def qrels(self) -> DataFrame:
+        def build():
+            qg = (
+                query_tokens(self.spark, self.sf_dir, self.params)
+                .filter(F.size("tokens") >= GRAM)
+                .select("qid", F.explode(F.array_distinct(_grams("tokens", GRAM))).alias("gram"))
+            )
+            dg = self.doc_tokens().filter(F.size("tokens") >= GRAM).select("doc_id", F.explode(_grams("tokens", GRAM)).alias("gram"))
+            grade2 = dg.join(broadcast_if_small(qg, self.params.broadcast_rows), "gram").select("qid", "doc_id").distinct()
+            grade1 = self.shared().filter(F.col("n_shared") * SHARE_DEN >= F.col("n_qterms") * SHARE_NUM).select("qid", "doc_id")
+            g2 = grade2.withColumn("relevance", F.lit(2))
+            g1 = grade1.join(grade2, ["qid", "doc_id"], "left_anti").withColumn("relevance", F.lit(1))
+            return g2.unionByName(g1)
+
+        return self._get("qrels", build)
+
+    def vectors(self) -> DataFrame:
+        def build():
+            cf = self.doc_tokens().select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+            ranked = dense_index(cf, [F.desc("cf"), F.asc("term")], "vec_id")
+            emb = table(self.spark, self.sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+            return ranked.join(emb, "vec_id").select("term", "vec")
+
+        return self._get("vectors", build)
