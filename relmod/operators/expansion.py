@@ -195,7 +195,7 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
         rm = rm.withColumn("mu", F.lit(mu))
     pos = rm.filter((F.col("r") > 0) & ~F.isnan("r"))  # FLT-4
     supp = (
-        models.attach(models.bg.select("qid", "term", "p_bg"), pos, ["qid", "term"])
+        models.attach(models.bg.select("qid", "term", "tid", "p_bg"), pos, ["qid", "term"])
         .withColumn("mpb", F.col("mu") * F.col("p_bg"))
         .filter(F.col("mpb") > 0)
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -205,7 +205,7 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
         F.sum("r").alias("rq"),
     )
     hits = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), supp.select(*keys, "qid", "term", "r", "mpb"), ["qid", "term"])
+        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), supp.select(*keys, "qid", "tid", "r", "mpb"), ["qid", "tid"])
         .groupBy(*keys, "qid", "doc_id")
         .agg(F.sum(F.col("r") * F.log10((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )

@@ -16,12 +16,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relmod.operators.lm import CandidateModels
+from relmod.operators.lm import CandidateModels, term_id
 
 
 def in_vocabulary(qtf: DataFrame, models: CandidateModels) -> DataFrame:
     """Query terms found in the candidates, with their background probability (JOIN-5/9)."""
-    return models.attach(models.bg.select("qid", "term", "p_bg"), qtf, ["qid", "term"])
+    return models.attach(models.bg.select("qid", "term", "tid", "p_bg"), qtf, ["qid", "term"])
 
 
 def oov_tokens(qtf: DataFrame, models: CandidateModels) -> DataFrame:
@@ -38,7 +38,7 @@ def query_likelihood(qtf: DataFrame, models: CandidateModels, mu=None) -> DataFr
         F.sum(F.col("qtf") * F.log(F.col("mpb"))).alias("a"), F.sum("qtf").alias("qn")
     )
     hits = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), qv.select("qid", "term", "qtf", "mpb"), ["qid", "term"])
+        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), qv.select("qid", "tid", "qtf", "mpb"), ["qid", "tid"])
         .groupBy("qid", "doc_id")
         .agg(F.sum(F.col("qtf") * F.log((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
@@ -68,15 +68,16 @@ def feedback_model(lik: DataFrame, models: CandidateModels, mu=None) -> DataFram
     a = lik.select("qid", "doc_id", (F.col("w") / (F.col("doc_len") + F.lit(mu))).alias("a"))
     s = a.groupBy("qid").agg(F.sum("a").alias("s"))  # one row per query
     direct = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), a, ["qid", "doc_id"])
-        .groupBy("qid", "term")
+        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), a, ["qid", "doc_id"])
+        .groupBy("qid", "tid")
         .agg(F.sum(F.col("tf") * F.col("a")).alias("direct"))
     )
-    base = models.attach(models.bg.select("qid", "term", "p_bg"), s, "qid")
+    base = models.attach(models.bg.select("qid", "tid", "term", "p_bg"), s, "qid")
     # p_bg is carried along: Score A then needs one join with the model table
-    return models.colocated(base, direct, ["qid", "term"], "left").select(
+    return models.colocated(base, direct, ["qid", "tid"], "left").select(
         "qid",
         "term",
+        "tid",
         (F.coalesce("direct", F.lit(0.0)) + F.lit(mu) * F.col("p_bg") * F.col("s")).alias("p_rm"),
         "p_bg",
     )
@@ -89,11 +90,14 @@ def score_a(p_rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     ``feedback_model``) the document probabilities need no second join.
     """
     mu = float(models.params.mu if mu is None else mu)
+    if "tid" not in p_rm.columns:
+        p_rm = p_rm.withColumn("tid", term_id("term"))
     if "p_bg" in p_rm.columns:
-        t = models.colocated(models.cand_tf.select("qid", "doc_id", "term", "tf", "doc_len"), p_rm, ["qid", "term"])
+        rm = p_rm.select("qid", "tid", "p_rm", "p_bg")
+        t = models.colocated(models.cand_tf.select("qid", "doc_id", "tid", "tf", "doc_len"), rm, ["qid", "tid"])
         tp = t.withColumn("p", (F.col("tf") + F.lit(mu) * F.col("p_bg")) / (F.col("doc_len") + F.lit(mu)))
     else:
-        tp = models.colocated(models.term_probs(mu).select("qid", "doc_id", "term", "p"), p_rm, ["qid", "term"])
+        tp = models.colocated(models.term_probs(mu).select("qid", "doc_id", "tid", "p"), p_rm.select("qid", "tid", "p_rm"), ["qid", "tid"])
     kl = (
         tp.groupBy("qid", "doc_id")
         .agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("p_rm"))).alias("kl"))

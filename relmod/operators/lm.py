@@ -78,16 +78,29 @@ def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(), models=None) -> DataFrame:
-    """(qid, term, cf, n, p_bg) over V_q plus <UNK> (AGG-5, 6, 7, SET-3, SCL-8).
+def term_id(c) -> Column:
+    """64-bit key of a term: the (qid, doc, term) table is joined and grouped on it."""
+    return F.xxhash64(c)
 
-    ``cand_tf`` is (qid, doc_id, term, tf), ``cand_len`` is (qid, doc_id, doc_len).
+
+def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(), models=None, vocab: DataFrame | None = None) -> DataFrame:
+    """(qid, tid, term, cf, n, p_bg) over V_q plus <UNK> (AGG-5, 6, 7, SET-3, SCL-8).
+
+    ``cand_tf`` is (qid, doc_id, tid, tf) keyed by term id, ``cand_len`` is
+    (qid, doc_id, doc_len), ``vocab`` the (tid, term) dictionary that turns the
+    ids of the aggregated table back into strings.
     """
     n = cand_len.groupBy("qid").agg(F.sum("doc_len").alias("n"))
-    cf = cand_tf.groupBy("qid", "term").agg(F.sum("tf").alias("cf"))
+    cf = cand_tf.groupBy("qid", "tid").agg(F.sum("tf").alias("cf"))
+    cf = cf.join(vocab, "tid") if vocab is not None else cf
     unk_share = params.unk_pct / 100.0
-    unk = n.select("qid", F.lit(UNK).alias("term"), F.floor(F.lit(unk_share) * F.col("n")).cast("long").alias("cf"))
-    both = cf.unionByName(unk)
+    unk = n.select(
+        "qid",
+        term_id(F.lit(UNK)).alias("tid"),
+        F.lit(UNK).alias("term"),
+        F.floor(F.lit(unk_share) * F.col("n")).cast("long").alias("cf"),
+    )
+    both = cf.select("qid", "tid", "term", "cf").unionByName(unk)
     joined = models.attach(both, n, "qid") if models is not None else both.join(n, "qid")
     return joined.withColumn("p_bg", F.try_divide(F.col("cf").cast("double"), F.col("n").cast("double")))
 
@@ -132,18 +145,34 @@ class CandidateModels:
         # and (Task 1) training, so they are tokenised once and kept
         doc_tok = document_tokens(spread(docs), fields, params).persist(StorageLevel.MEMORY_AND_DISK)
         self.doc_tokens = doc_tok
-        dtf = doc_term_freq_len(doc_tok)
+        dtf = doc_term_freq_len(doc_tok).withColumn("tid", term_id("term"))
+        # dictionary of the candidate vocabulary; term ids must not collide in it
+        vocab = dtf.select("tid", "term").distinct().unionByName(
+            spark.createDataFrame([(UNK,)], "term string").select(term_id("term").alias("tid"), "term")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        if vocab.groupBy("tid").count().filter("count > 1").limit(1).count():
+            raise RuntimeError("64-bit term id collision in the candidate vocabulary")
+        self.vocab = vocab
+        n_vocab = vocab.count()
         # inner joins: candidates whose document is missing are dropped (JOIN-3)
         dlen = doc_lengths(doc_tok)
         self.cand_len = (
             dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")
         ).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
         # (qid, doc_id, term, tf, doc_len): the expansion is shuffled once, by qid
-        self.cand_tf = self._expand(cset, dtf).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
-        self.bg = background(self.cand_tf, self.cand_len, params, self).persist(StorageLevel.MEMORY_AND_DISK)
+        self.cand_tf = (
+            self._expand(cset, dtf.drop("term")).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        # the dictionary is broadcast when a count proves it small; otherwise the
+        # join shuffles and the background table is re-partitioned by qid
+        vb = F.broadcast(vocab) if n_vocab <= params.broadcast_rows else vocab
+        bg = background(self.cand_tf, self.cand_len, params, self, vb)
+        if n_vocab > params.broadcast_rows:
+            bg = bg.repartition(self.partitions, "qid")
+        self.bg = bg.persist(StorageLevel.MEMORY_AND_DISK)
 
     def _expand(self, cset: DataFrame, dtf: DataFrame) -> DataFrame:
-        """(qid, doc_id, term, tf, doc_len): every candidate pair with its document's counts."""
+        """(qid, doc_id, tid, tf, doc_len): every candidate pair with its document's counts."""
         return dtf.join(F.broadcast(cset) if self.small else cset, "doc_id")
 
     def attach(self, big: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -179,9 +208,9 @@ class CandidateModels:
         A partition-local shuffled-hash join of the two qid-partitioned tables.
         """
         mu = self.params.mu if mu is None else mu
-        t = self.colocated(self.cand_tf, self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
+        t = self.colocated(self.cand_tf, self.bg.select("qid", "tid", "term", "p_bg"), ["qid", "tid"])
         return t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
 
     def unpersist(self) -> None:
-        for df in (self.cand_tf, self.bg, self.cand_len, self.cset, self.doc_tokens):
+        for df in (self.cand_tf, self.bg, self.cand_len, self.cset, self.doc_tokens, self.vocab):
             df.unpersist()
