@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relmod.operators.ordering import rank_within, rank_within_large, top_k
+from relmod.operators.ordering import rank_within_auto, rank_within_large, top_k
 from relmod.params import CUTOFFS
 
 FULL_DEPTH = 0  # cutoff value that stands for "all positions"
@@ -56,13 +56,21 @@ def run_dcg(run: DataFrame, qrels: DataFrame, keys=(), cutoffs=CUTOFFS, order=No
     """(keys..., qid, cutoff, dcg) of a run in rank order (WIN-2, WIN-6, AGG-18)."""
     keys = list(keys)
     order = order or [F.asc("rank")]
-    ranked = rank_within(run, [*keys, "qid"], order, "pos")
+    ranked = _positions(run, [*keys, "qid"], order, cutoffs)
     return _dcg(_with_rel(ranked, qrels), keys, cutoffs)
 
 
+def _positions(df: DataFrame, group: list, order, cutoffs) -> DataFrame:
+    """1-based positions; with finite cutoffs only the first max(k) are kept
+    (WindowGroupLimit pre-filters before the shuffle), else every position."""
+    if FULL_DEPTH in cutoffs:
+        return rank_within_auto(df, group, order, "pos")
+    return top_k(df, group, order, max(cutoffs), "pos")
+
+
 def candidates_dcg(candidates: DataFrame, qrels: DataFrame, cutoffs=CUTOFFS) -> DataFrame:
     """(qid, cutoff, dcg) of the candidate lists in their stored order (WIN-3); duplicates kept."""
-    ranked = rank_within(candidates, "qid", [F.asc("pos")], "_p").drop("pos").withColumnRenamed("_p", "pos")
+    ranked = _positions(candidates.withColumnRenamed("pos", "_order"), ["qid"], [F.asc("_order")], cutoffs).drop("_order")
     return _dcg(_with_rel(ranked, qrels), [], cutoffs)
 
 

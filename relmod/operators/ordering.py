@@ -106,3 +106,20 @@ def rank_within_large(df: DataFrame, group: str, order: list[Column], rank_col:
     return idx.join(first, group).withColumn(rank_col, (F.col("_gidx") - F.col("_first") + 1).cast("int")).drop(
         "_gidx", "_first"
     )
+
+
+def rank_within_auto(df: DataFrame, group, order: list[Column], rank_col: str = "rank", max_group_rows: int = 2_000_000) -> DataFrame:
+    """``rank_within`` when the largest group is proven small, else ``rank_within_large``.
+
+    One partially aggregated count per group measures the largest group, so a
+    group holding a third of all rows is never sorted inside one task.
+    """
+    group = [group] if isinstance(group, str) else list(group)
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if largest <= max_group_rows:
+        return rank_within(df, group, order, rank_col)
+    if len(group) == 1:
+        return rank_within_large(df, group[0], order, rank_col)
+    key = F.to_json(F.struct(*[F.col(g) for g in group]))
+    out = rank_within_large(df.withColumn("_grp", key), "_grp", order, rank_col)
+    return out.drop("_grp")

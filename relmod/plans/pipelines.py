@@ -11,7 +11,7 @@ from relmod.operators import feedback as fb
 from relmod.operators import local_w2v as lw
 from relmod.operators.local_w2v import W2VParams
 from relmod.operators.lm import CandidateModels, query_term_freq
-from relmod.operators.ordering import rank_within
+from relmod.operators.ordering import rank_within_auto
 from relmod.params import Params
 
 # Task 0 reads url, title and body; the embedding tasks read title and body (PRJ-1).
@@ -24,7 +24,7 @@ RANK_DIGITS = 9
 
 def rank_run(scores: DataFrame, keys=("qid",)) -> DataFrame:
     """(keys..., doc_id, rank, score): best first, 1-based (WIN-1)."""
-    return rank_within(
+    return rank_within_auto(
         scores, list(keys), [F.desc(F.round("score", RANK_DIGITS)), F.asc("doc_id")], "rank"
     ).withColumn("rank", F.col("rank").cast("int"))
 

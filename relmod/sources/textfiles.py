@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relmod.operators.ordering import last_wins, with_line_order
+from relmod.operators.ordering import last_wins, rank_within_auto, with_line_order
 from relmod.params import WHITESPACE_CLASS
 
 HEADER = "[query_id]"
@@ -66,10 +66,7 @@ def read_candidates(spark: SparkSession, path: str, scoring: bool = False) -> Da
     f = _ws_fields(lines, 3) if scoring else _tab_fields(lines, 3)
     qid = F.col("f")[0].cast("int") if scoring else F.col("f")[0]
     rows = f.select(qid.alias("qid"), F.col("f")[1].alias("doc_id"), F.col("f")[2].try_cast("double").alias("score"), "line_no")
-    from pyspark.sql import Window
-
-    pos = F.row_number().over(Window.partitionBy("qid").orderBy("line_no"))
-    return rows.withColumn("pos", pos.cast("int")).drop("line_no")
+    return rank_within_auto(rows, "qid", [F.asc("line_no")], "pos").withColumn("pos", F.col("pos").cast("int")).drop("line_no")
 
 
 def read_collection(spark: SparkSession, path: str) -> DataFrame:

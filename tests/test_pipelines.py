@@ -105,3 +105,12 @@ def test_rank_within_large_matches_window(spark):
     a = rank_within_large(df, "g", [F.desc("v")], "r")
     b = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"))))
     assert sorted(map(tuple, a.select("g", "v", "r").collect())) == sorted(map(tuple, b.select("g", "v", "r").collect()))
+
+
+def test_rank_within_auto_large_path(spark):
+    from relmod.operators.ordering import rank_within_auto
+
+    df = spark.range(0, 5_000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
+    small = rank_within_auto(df, "g", [F.asc("v")], "r")
+    large = rank_within_auto(df, "g", [F.asc("v")], "r", max_group_rows=10)
+    assert sorted(map(tuple, small.select("g", "v", "r").collect())) == sorted(map(tuple, large.select("g", "v", "r").collect()))
