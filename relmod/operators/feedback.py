@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relmod.operators.lm import CandidateModels, term_id
+from relmod.session import materialize
 
 
 def in_vocabulary(qtf: DataFrame, models: CandidateModels) -> DataFrame:
@@ -52,14 +53,12 @@ def query_likelihood(qtf: DataFrame, models: CandidateModels, mu=None) -> DataFr
             + F.coalesce("h", F.lit(0.0))
         ).alias("ll"),
     )
-    # softmax per query over its candidate list; ll is qid-partitioned, so the
-    # window needs no shuffle. Persisted: the feedback model reads it twice.
+    # softmax per query over its candidate list (a bounded top-k input); ll is
+    # qid-partitioned, so the window needs no shuffle. Checkpointed: the
+    # feedback model reads it twice and later plans start from a small scan.
     by_q = Window.partitionBy("qid")
     e = ll.withColumn("e", F.exp(F.col("ll") - F.max("ll").over(by_q)))
-    return (
-        e.select("qid", "doc_id", "doc_len", "ll", (F.col("e") / F.sum("e").over(by_q)).alias("w"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    return materialize(e.select("qid", "doc_id", "doc_len", "ll", (F.col("e") / F.sum("e").over(by_q)).alias("w")))
 
 
 def feedback_model(lik: DataFrame, models: CandidateModels, mu=None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from relmod.functions.text import fields_text, tokens
 from relmod.params import UNK, Params
-from relmod.session import broadcast_if_small, spread
+from relmod.session import broadcast_if_small, materialize, spread
 
 
 def candidate_set(candidates: DataFrame) -> DataFrame:
@@ -118,8 +118,8 @@ class CandidateModels:
     however many queries list them.
 
     Physical design. The (qid, doc, term) table is hash-partitioned by ``qid``
-    once and persisted (memory and disk; lost blocks are recomputed from
-    lineage), and so are the tables derived from it. Every later join or
+    once and checkpointed to the shared checkpoint folder (lineage cut, output
+    partitioning kept), and so are the tables derived from it. Every later join or
     aggregation is keyed by ``qid`` plus something, so with
     ``spark.sql.requireAllClusterKeysForCoPartition=false`` they run
     partition-local: aggregations need no exchange, and joins between two
@@ -135,7 +135,7 @@ class CandidateModels:
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self.partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.params = params
-        cset = candidate_set(candidates).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        cset = materialize(candidate_set(candidates).repartition(self.partitions, "qid"))
         self.n_pairs = cset.count()
         self.small = self.n_pairs <= params.broadcast_rows
         self.cset = cset
@@ -147,19 +147,25 @@ class CandidateModels:
         self.doc_tokens = doc_tok
         dtf = doc_term_freq_len(doc_tok).withColumn("tid", term_id("term"))
         # dictionary of the candidate vocabulary; term ids must not collide in it
-        vocab = dtf.select("tid", "term").distinct().unionByName(
-            spark.createDataFrame([(UNK,)], "term string").select(term_id("term").alias("tid"), "term")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        vocab = materialize(
+            dtf.select("tid", "term").distinct().unionByName(
+                spark.createDataFrame([(UNK,)], "term string").select(term_id("term").alias("tid"), "term")
+            )
+        )
         if vocab.groupBy("tid").count().filter("count > 1").limit(1).count():
             raise RuntimeError("64-bit term id collision in the candidate vocabulary")
         self.vocab = vocab
         n_vocab = vocab.count()
         # inner joins: candidates whose document is missing are dropped (JOIN-3)
         dlen = doc_lengths(doc_tok)
-        self.cand_len = (
-            dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")
-        ).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+        self.cand_len = materialize(
+            (dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")).repartition(
+                self.partitions, "qid"
+            )
+        )
         # (qid, doc_id, term, tf, doc_len): the expansion is shuffled once, by qid
+        # the big table stays in the block store (memory and disk; lost blocks
+        # are recomputed from the checkpointed inputs above)
         self.cand_tf = (
             self._expand(cset, dtf.drop("term")).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
         )

@@ -36,17 +36,19 @@ def dense_index(df: DataFrame, order: list[Column], index_col: str = "idx") -> D
     counts (one row per partition: bounded by the partition count) give the
     offsets. ``order`` must be a total order for the result to be deterministic.
     """
-    # An explicit partition count keeps AQE from coalescing the range shuffle,
-    # so the counting branch and the indexing branch see the same partitions;
-    # persisted so the range shuffle (and its sampling) runs once.
+    # The numbered table is checkpointed before it is read twice, so the
+    # counting branch and the indexing branch read the very same rows and
+    # numbers (a re-evaluation could place rows differently). An explicit
+    # partition count keeps AQE from coalescing the range shuffle.
+    from relmod.session import materialize
+
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (
+    s = materialize(
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", 33))
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
@@ -115,6 +117,10 @@ def rank_within_auto(df: DataFrame, group, order: list[Column], rank_col: str =
     group holding a third of all rows is never sorted inside one task.
     """
     group = [group] if isinstance(group, str) else list(group)
+    # checkpointed: the size probe and the ranking read the same small table
+    from relmod.session import materialize
+
+    df = materialize(df)
     largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     if largest <= max_group_rows:
         return rank_within(df, group, order, rank_col)

@@ -76,3 +76,15 @@ def spread(df: DataFrame) -> DataFrame:
     except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
         return df
     return df if have >= n else df.repartition(n)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Cuts the lineage (later plans start from a small scan instead of the
+    whole derivation, and a lost executor re-reads the files rather than
+    recomputing), while keeping the output partitioning, so tables
+    partitioned by qid stay co-located.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

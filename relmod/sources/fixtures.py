@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from relmod.functions.text import tokens
 from relmod.operators.ordering import dense_index, top_k
 from relmod.params import Params
-from relmod.session import broadcast_if_small, spread
+from relmod.session import broadcast_if_small, materialize, spread
 
 GRAM = 5
 SHARE_NUM, SHARE_DEN = 3, 10  # 30 %
@@ -121,8 +121,8 @@ def vectors(spark: SparkSession, sf_dir: str, params: Params = Params()) -> Data
 class Fixtures:
     """The derived inputs of one test-table folder, sharing their common parts.
 
-    Document tokens and the shared-term table are computed once and persisted
-    (memory and disk), then feed the candidate lists, the judgements and the
+    Document tokens and the shared-term table are computed once and
+    checkpointed (lineage cut), then feed the candidate lists, the judgements and the
     vector assignment.
     """
 
@@ -132,7 +132,7 @@ class Fixtures:
 
     def _get(self, key, build):
         if key not in self._cache:
-            self._cache[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+            self._cache[key] = materialize(build())
         return self._cache[key]
 
     def queries(self) -> DataFrame:
