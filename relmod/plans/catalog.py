@@ -289,6 +289,19 @@ def expansions(spark, sf_dir):
     return e.select("qid", "rk", "term", r6("sim").alias("sim"))
 
 
+@register(
+    "expansion_blocked",
+    O.with_ctes("SELECT qid, rk, term, round(sim, 6) AS sim FROM exps", "exps"),
+)
+def expansion_blocked(spark, sf_dir):
+    """ML-2 with many small blocks (8 queries x 100 words): the block-local top-K
+    must give exactly the same expansions as one block."""
+    qtf = query_term_freq(X.queries(spark, sf_dir))
+    vec = X.vectors(spark, sf_dir)
+    e = ex.expand(vec, ex.centroids(qtf, vec), Params().top_k, query_block=8, vocab_block_rows=100)
+    return e.select("qid", "rk", "term", r6("sim").alias("sim"))
+
+
 @register(
     "expansion_model",
     O.with_ctes("SELECT qid, term, round(r, 6) AS r FROM rm", "rm"),

@@ -142,7 +142,11 @@ class Fixtures:
         return collection(self.spark, self.sf_dir)
 
     def doc_tokens(self) -> DataFrame:
-        return self._get("doc_tokens", lambda: doc_tokens(self.spark, self.sf_dir, self.params))
+        # the whole collection's tokens: kept in the block store (memory, then
+        # executor disk) rather than written out as a second copy of the corpus
+        if "doc_tokens" not in self._cache:
+            self._cache["doc_tokens"] = doc_tokens(self.spark, self.sf_dir, self.params).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._cache["doc_tokens"]
 
     def shared(self) -> DataFrame:
         def build():
