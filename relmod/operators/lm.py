@@ -8,6 +8,8 @@ p(t|d) = (tf + mu * p_bg) / (|d| + mu).
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,10 +135,10 @@ class CandidateModels:
     def __init__(self, candidates: DataFrame, collection: DataFrame, fields, params: Params = Params()):
         spark = candidates.sparkSession
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-        self.partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.params = params
-        cset = materialize(candidate_set(candidates).repartition(self.partitions, "qid"))
+        cset = materialize(candidate_set(candidates))
         self.n_pairs = cset.count()
+        self.partitions = self._partition_count(spark, self.n_pairs)
         self.small = self.n_pairs <= params.broadcast_rows
         self.cset = cset
         ids = cset.select("doc_id").distinct()
@@ -177,6 +179,19 @@ class CandidateModels:
             bg = bg.repartition(self.partitions, "qid")
         self.bg = bg.persist(StorageLevel.MEMORY_AND_DISK)
 
+    # candidate pairs per partition of the qid-partitioned tables (each pair
+    # brings its document's distinct terms, a few hundred rows)
+    PAIRS_PER_PARTITION = 2000
+
+    @classmethod
+    def _partition_count(cls, spark, n_pairs: int) -> int:
+        """Partitions sized to the work: pairs / PAIRS_PER_PARTITION, rounded up to a
+        multiple of the task slots, at most ``spark.sql.shuffle.partitions``."""
+        slots = spark.sparkContext.defaultParallelism
+        cap = max(slots, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        want = max(1, math.ceil(n_pairs / cls.PAIRS_PER_PARTITION))
+        return min(cap, slots * math.ceil(want / slots))
+
     def _expand(self, cset: DataFrame, dtf: DataFrame) -> DataFrame:
         """(qid, doc_id, tid, tf, doc_len): every candidate pair with its document's counts."""
         return dtf.join(F.broadcast(cset) if self.small else cset, "doc_id")

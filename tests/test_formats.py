@@ -66,3 +66,31 @@ def test_write_run_roundtrip(spark, tmpdir_run):
     TF.write_run(run, f"{tmpdir_run}/out")
     back = sorted((r.qid, r.rank, r.doc_id) for r in TF.read_run(spark, f"{tmpdir_run}/out").collect())
     assert back == [(1, 1, "B"), (1, 2, "A"), (2, 1, "C")]
+
+
+def test_crlf_and_header_anywhere(spark, tmpdir_run):
+    p = f"{tmpdir_run}/q_crlf.tsv"
+    _write(p, "1\tone\r\n[query_id]\ttext\r\n2\ttwo\r\n")
+    rows = {r.qid: r.text for r in TF.read_queries(spark, p).collect()}
+    assert rows == {"1": "one", "2": "two"}
+
+
+def test_qrels_tabs_and_spaces(spark, tmpdir_run):
+    p = f"{tmpdir_run}/qrels_ws.tsv"
+    _write(p, "7\tD1\t1\t0\n7  D2   2 0\n   \n")
+    rows = sorted((r.qid, r.doc_id, r.relevance) for r in TF.read_qrels(spark, p).collect())
+    assert rows == [(7, "D1", 1), (7, "D2", 2)]
+
+
+def test_trec_column_order(spark, tmpdir_run):
+    p = f"{tmpdir_run}/qrels_trec.tsv"
+    _write(p, "7 0 D1 2\n")
+    rows = TF.read_qrels(spark, p, columns=("qid", "run", "doc_id", "relevance")).collect()
+    assert [(r.qid, r.doc_id, r.relevance) for r in rows] == [(7, "D1", 2)]
+
+
+def test_candidates_scoring_mode(spark, tmpdir_run):
+    p = f"{tmpdir_run}/top_ws.tsv"
+    _write(p, "[query_id] doc score\n3 A 1.5\n\n3 B 2\n3 A 0.5\n")
+    rows = sorted((r.qid, r.pos, r.doc_id) for r in TF.read_candidates(spark, p, scoring=True).collect())
+    assert rows == [(3, 1, "A"), (3, 2, "B"), (3, 3, "A")]
