@@ -94,3 +94,11 @@ def test_candidates_scoring_mode(spark, tmpdir_run):
     _write(p, "[query_id] doc score\n3 A 1.5\n\n3 B 2\n3 A 0.5\n")
     rows = sorted((r.qid, r.pos, r.doc_id) for r in TF.read_candidates(spark, p, scoring=True).collect())
     assert rows == [(3, 1, "A"), (3, 2, "B"), (3, 3, "A")]
+
+
+def test_word2vec_header_per_file(spark, tmpdir_run):
+    d = f"{tmpdir_run}/w2v_dir"
+    _write(f"{d}/part-0.txt", "2 2\na 1 2\nb 3 4\n")
+    _write(f"{d}/part-1.txt", "1 2\nc 5 6\n")
+    rows = {r.term: r.vec for r in TF.read_embeddings(spark, d, "word2vec").collect()}
+    assert rows == {"a": [1.0, 2.0], "b": [3.0, 4.0], "c": [5.0, 6.0]}
