@@ -90,7 +90,8 @@ def dense_score_b(queries, cands, docs, expansions, lam=0.2, mu=800.0):
         for t, s in exps:
             e[t if t in cf else UNK] = s / tot  # assignment: the last OOV weight survives
         se, so = sum(e.values()), sum(orig.values())
-        r = {t: lam * e.get(t, 0) / se + (1 - lam) * orig.get(t, 0) / so for t in cf}
+        lam_q = lam if e and se != 0 else 0.0  # no expansion mass: original query alone (D8)
+        r = {t: (lam_q * e.get(t, 0) / se if lam_q else 0.0) + (1 - lam_q) * orig.get(t, 0) / so for t in cf}
         for d in cands[q]:
             acc = 0.0
             for t, rt in r.items():
@@ -146,3 +147,22 @@ def test_feedback_model_sums_to_one(spark):
     p_rm = fb.feedback_model(fb.query_likelihood(query_term_freq(q), m), m)
     sums = {r.qid: r.s for r in p_rm.filter(f"term != '{UNK}'").groupBy("qid").agg({"p_rm": "sum"}).withColumnRenamed("sum(p_rm)", "s").collect()}
     assert sums and all(abs(v - 1.0) < 1e-12 for v in sums.values())
+
+
+def test_empty_unk_bucket_is_dropped(spark):
+    # N < 200 candidate tokens: floor(0.5% * N) = 0, yet the query has an OOV token (D7)
+    queries = {1: ["alpha", "zulu"]}
+    cands = {1: [1, 2]}
+    docs = {1: ["alpha", "bravo"] * 5, 2: ["charlie"] * 7}
+    q, c, coll = frames(spark, queries, cands, docs)
+    models, qtf = P._embedding_models(q, c, coll, Params())
+    empty = spark.createDataFrame([], "qid long, rk int, term string, sim double")
+    rm = ex.relevance_model(ex.expansion_model(empty, qtf, models), 0.2)
+    got = {r.doc_id: r.score for r in ex.score_b(rm, models).collect()}
+    assert set(got) == {1, 2}
+    assert all(math.isfinite(v) for v in got.values())
+    assert got[1] > got[2]  # the document with the query word ranks first
+    # matches the dense definition with the <UNK> term left out
+    want = dense_score_b(queries, cands, docs, {})
+    for d in got:
+        assert got[d] == pytest.approx(want[(1, d)], abs=1e-9)
