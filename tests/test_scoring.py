@@ -166,3 +166,17 @@ def test_empty_unk_bucket_is_dropped(spark):
     want = dense_score_b(queries, cands, docs, {})
     for d in got:
         assert got[d] == pytest.approx(want[(1, d)], abs=1e-9)
+
+
+def test_empty_query_and_ties(spark):
+    # a query made of stop-words only has no tokens: every candidate scores 1.0 (D9),
+    # and equal scores are ordered by doc_id (D12)
+    q = spark.createDataFrame([(9, "the and of")], "qid long, text string")
+    c = spark.createDataFrame([(9, 3, 0.0, 1), (9, 1, 0.0, 2), (9, 2, 0.0, 3)], "qid long, doc_id long, score double, pos int")
+    coll = spark.createDataFrame(
+        [(d, "", "", " ".join(["alpha"] * 300)) for d in (1, 2, 3)], "doc_id long, url string, title string, body string"
+    )
+    empty = spark.createDataFrame([], "term string, vec array<double>")
+    run, _ = P.rerank_embeddings(q, c, coll, empty)
+    rows = sorted((r.rank, r.doc_id, r.score) for r in run.collect())
+    assert rows == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)]
