@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relmod.llm import exact_dedup, sharding
+from relmod.llm import chat, exact_dedup, sharding, url_filter
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -23,16 +23,28 @@ def _crc_table() -> list[int]:
 
 def _crc_sql(body: str) -> str:
     """CRC-32 of a string's UTF-8 bytes in SQL, byte by byte."""
-    step = f"xor(c >> 8, {_crc_table()}::BIGINT[][xor(c & 255, b) + 1])"
+    step = f"xor(c >> 8, ({_crc_table()}::BIGINT[])[xor(c & 255, b) + 1])"
     hexed = f"hex(encode({body}))"
-    digits = f"list_transform(range(0, length({hexed}) // 2), i -> ('0x' || {hexed}[2 * i + 1 : 2 * i + 2])::BIGINT)"
-    return f"xor(list_reduce({digits}, (c, b) -> {step}, 4294967295::BIGINT), 4294967295)"
+    digits = f"list_transform(range(0, length({hexed}) // 2), lambda i: ('0x' || {hexed}[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    return f"xor(list_reduce({digits}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+#: (verdict, rule); fixed values of the url rules.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -40,12 +52,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_url_filter,
         op4_exact_dedup,
+        op9_chat_format,
         op10_sharding,
     )
 }
 
 SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.judge_sql(URL_RULES),
+    "op9_chat_format": chat.ROTATE_SQL,
     "op4_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
