@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from relmod.llm import chat, exact_dedup, sharding, url_filter
+from relmod.llm import chat, exact_dedup, line_dedup, packing, sharding, url_filter
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -33,6 +34,21 @@ def _crc_sql(body: str) -> str:
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+#: The byte-level BPE vocabulary of 50,257 ids.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -41,6 +57,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -52,14 +72,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_url_filter,
         op4_exact_dedup,
+        op5_packing,
         op9_chat_format,
         op10_sharding,
     )
 }
 
 SQL: dict[str, str] = {
+    "op1_line_dedup": rf"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
+        k AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        c AS (
+            SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= {line_dedup.MIN_CHARS}
+            GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+        m AS (SELECT k.*, keep IS NOT NULL AND keep <> doc_id AS gone FROM k LEFT JOIN c USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id
+    """,
     "op2_url_filter": url_filter.judge_sql(URL_RULES),
     "op9_chat_format": chat.ROTATE_SQL,
     "op4_exact_dedup": r"""
