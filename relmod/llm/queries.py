@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relmod.llm import chat, exact_dedup, line_dedup, packing, sharding, url_filter
+from relmod.llm import chat, exact_dedup, jaccard, langid, line_dedup, packing, sharding, url_filter
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -61,6 +61,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.train(documents.filter(~langid.held_out()))
+    return langid.predict(documents, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -76,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_url_filter,
         op4_exact_dedup,
         op5_packing,
+        op6_language_id,
+        op8_ngram_jaccard,
         op9_chat_format,
         op10_sharding,
     )
