@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +39,48 @@ def tasks_for(rows: int, rows_per_task: int, spark: SparkSession) -> int:
 def squeezed(text: Column) -> Column:
     """The text without any white space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", "")
+
+
+def keys_of(rows, keys: int) -> np.ndarray:
+    """The first ``keys`` columns, integers, as a matrix."""
+    return np.stack([rows.column(i).to_numpy().astype(np.int64) for i in range(keys)], axis=1)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Batches sorted by their first ``keys`` columns, cut anew so that no group is in two of them."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest.append(batch)
+        group = keys_of(batch, keys)
+        cuts = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+        if not len(cuts) and (group[0] == keys_of(rest[0].slice(0, 1), keys)[0]).all():
+            continue
+        whole = pa.Table.from_batches(rest)
+        end = whole.num_rows - batch.num_rows + (int(cuts[-1]) if len(cuts) else 0)
+        yield whole.slice(0, end)
+        rest = whole.slice(end).to_batches()
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def group_bounds(group: np.ndarray) -> np.ndarray:
+    """Where the groups of sorted keys start, and the end."""
+    return np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, [len(group)]])
+
+
+def in_blocks(rows: DataFrame, length: Column, uid: str, most: int) -> DataFrame:
+    """``rows`` with the columns block, left and right: a group of more than ``most`` rows becomes pairs of blocks.
+
+    Every pair of a group's rows is in exactly one of the groups (left, right):
+    rows of one block where left equals right, of both blocks elsewhere.
+    """
+    blocks = F.greatest(F.ceil(length / F.lit(most)), F.lit(1)).cast("int")
+    return (
+        rows.withColumn("block", F.pmod(F.xxhash64(uid), blocks).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("left", F.least("block", "_other"))
+        .withColumn("right", F.greatest("block", "_other"))
+        .drop("_other")
+    )

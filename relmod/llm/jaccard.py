@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relmod.llm.common import stored, tasks_for
+from relmod.llm.common import group_bounds, in_blocks, keys_of, stored, tasks_for, whole_groups
 from relmod.llm.components import components
 
 #: Shingles that count as frequent, at most; they come last in the order of shingles.
@@ -218,55 +218,23 @@ def candidate_pairs(lists: DataFrame, num: int, den: int, forest: bool) -> DataF
     ``lists`` has token, uid, n, pos, label, bitmap and the list's ``length``.
     With ``forest``, a list reports no pair that its other pairs connect.
     """
-    blocks = F.ceil(F.col("length") / F.lit(BLOCK)).cast("int")
-    block = F.pmod(F.xxhash64("uid"), blocks).cast("int")
-    entries = (
-        lists.withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "token",
-            F.least("block", "other").alias("left"),
-            F.greatest("block", "other").alias("right"),
-            "block",
-            "uid",
-            "n",
-            "pos",
-            "label",
-            "bitmap",
-        )
+    entries = in_blocks(lists, F.col("length"), "uid", BLOCK).select(
+        "token", "left", "right", "block", "uid", "n", "pos", "label", "bitmap"
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rest.append(batch)
-            group = _group_of(batch)
-            cuts = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
-            first = _group_of(rest[0].slice(0, 1))[0]
-            if not len(cuts) and (group[0] == first).all():
-                continue
-            whole = pa.Table.from_batches(rest)
-            end = whole.num_rows - batch.num_rows + (int(cuts[-1]) if len(cuts) else 0)
-            yield _pairs_of(whole.slice(0, end), num, den, forest)
-            rest = whole.slice(end).to_batches()
-        if rest:
-            yield _pairs_of(pa.Table.from_batches(rest), num, den, forest)
+        for rows in whole_groups(batches, 3):
+            yield _pairs_of(rows, num, den, forest)
 
     key = ["token", "left", "right"]
     return entries.repartition(*key).sortWithinPartitions(*key, "n", "pos", "uid").mapInArrow(found, PAIRS).distinct()
 
 
-def _group_of(batch) -> np.ndarray:
-    return np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
-
-
 def _pairs_of(rows: pa.Table, num: int, den: int, forest: bool) -> pa.RecordBatch:
-    group = _group_of(rows)
+    group = keys_of(rows, 3)
     block, uid, n, pos, label = (rows.column(i).to_numpy().astype(np.int64) for i in range(3, 8))
     maps = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint64).reshape(len(uid), BITS // 64)
-    starts = np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, [len(uid)]])
+    starts = group_bounds(group)
     cross = group[:, 1] != group[:, 2]
     lengths = np.diff(starts)
     # lists of two are most lists, and all are compared at once

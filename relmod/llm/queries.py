@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relmod.llm import chat, exact_dedup, jaccard, langid, line_dedup, packing, sharding, url_filter
+from relmod.llm import chat, embed_dedup, exact_dedup, jaccard, langid, line_dedup, packing, sharding, url_filter
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -69,6 +69,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_exact_dedup,
         op5_packing,
         op6_language_id,
+        op7_embedding_dedup,
         op8_ngram_jaccard,
         op9_chat_format,
         op10_sharding,
