@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,3 +86,16 @@ def in_blocks(rows: DataFrame, length: Column, uid: str, most: int) -> DataFrame
         .withColumn("right", F.greatest("block", "_other"))
         .drop("_other")
     )
+
+
+def kept_in_worker(call: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a Python worker for all its tasks of one ``call``.
+
+    Functions reach a worker by value with every task, so it is held by a
+    module of the worker's own; another call's thing takes its place.
+    """
+    held = sys.modules.setdefault("_relmod_kept", types.ModuleType("_relmod_kept")).__dict__
+    if held.get("call") != call:
+        held["thing"] = None
+        held.update(call=call, thing=make())
+    return held["thing"]

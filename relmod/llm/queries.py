@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relmod.llm import chat, embed_dedup, exact_dedup, jaccard, langid, line_dedup, packing, sharding, url_filter
+from relmod.llm import chat, embed_dedup, exact_dedup, jaccard, langid, line_dedup, packing, pieces, sharding, url_filter
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -53,6 +53,16 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+#: The SentencePiece model of 32,000 pieces with byte fallback.
+PIECES = "piece_bpe_32k.model"
+NBEST = 4
+
+
+def op3_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pieces.encode_nbest(documents, tokenizer_path(PIECES), NBEST, with_ids=False, check=True)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -90,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_line_dedup,
         op2_url_filter,
+        op3_sentencepiece_nbest,
         op4_exact_dedup,
         op5_packing,
         op6_language_id,
