@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relmod.session import scratch_dir
 
@@ -33,6 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+
 def tasks_for(rows: int, rows_per_task: int, spark: SparkSession) -> int:
     """Partitions that hold about ``rows_per_task`` rows each, and at least one for each shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / rows_per_task))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relmod.llm.common import stored
+from relmod.llm.common import fresh, nullable, stored
 
 #: Runs of letters (and of the few numerals that are neither digits nor letters).
 WORD = re.compile(r"[^\W\d_]+")
@@ -235,8 +235,8 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
-    schema = df.select(*[F.col(f"`{c}`") for c in keep], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(fresh(df, "_text")[0]))
+    schema = nullable(df.select(*[F.col(f"`{c}`") for c in keep], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema)
     names = schema.names
     return rows.mapInArrow(score, schema)
 

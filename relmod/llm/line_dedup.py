@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import stored, tasks_for
+from relmod.llm.common import fresh, stored, tasks_for
 
 #: What is stripped off a line's ends: the white space of the contract, without the line feed that ends it.
 STRIP = " \t\n\x0b\x0c\r"
@@ -209,9 +209,11 @@ def drop_repeated_lines(
     kept = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     gone = lines_to_drop(df, key, text, min_docs, min_chars)
-    lists = gone.groupBy(F.col("id").alias("_id")).agg(F.collect_list("digest").alias("_gone"))
-    both = df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"))
-    both = both.join(lists, "_id", "left").select(*[F.col(f"`{c}`") for c in kept], "_gone")
+    own, lost_lines = fresh(df, "_id", "_gone")
+    lists = gone.groupBy(F.col("id").alias(own)).agg(F.collect_list("digest").alias(lost_lines))
+    columns_kept = [F.col(f"`{c}`") for c in kept]
+    both = df.select(*columns_kept, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias(own))
+    both = both.join(lists, own, "left").select(*columns_kept, lost_lines)
     where = kept.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
