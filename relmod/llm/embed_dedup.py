@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import group_bounds, in_blocks, keys_of, stored, whole_groups
+from relmod.llm.common import group_bounds, in_blocks, keys_of, nullable, stored, whole_groups
 from relmod.llm.components import components
 
 COSINE = 0.95
 #: Filters per vector and vectors per filter, on average.
 FILTERS, BUCKET = 28, 100
+#: A vector is in so many filters at least, if need be in ones below the threshold, by so much at a time.
+LEAST_FILTERS, STEP = 16, 0.02
 #: Larger buckets are compared block against block in separate groups.
 BLOCK = 1500
 SEED = 20
@@ -63,21 +65,28 @@ def product_code(dim: int, vectors: int) -> tuple[np.ndarray, list[np.ndarray],
 
 
 def list_decode(unit: np.ndarray, rotation: np.ndarray, codes: list[np.ndarray], threshold: float) -> list[np.ndarray]:
-    """For each row of ``unit``, the sorted filters that it exceeds, or else the one it is nearest to."""
+    """For each row of ``unit``, the sorted filters that it exceeds.
+
+    Where these are too few, its threshold is lowered step by step.
+    """
     parts = np.array_split(unit @ rotation, np.cumsum([c.shape[1] for c in codes])[:-1], axis=1)
     scores = [p @ c.T for p, c in zip(parts, codes, strict=True)]
     best = np.stack([s.max(axis=1) for s in scores])
     rest = np.concatenate([np.cumsum(best[::-1], axis=0)[::-1][1:], np.zeros((1, len(unit)))])
+    wanted = min(LEAST_FILTERS, math.prod(len(c) for c in codes))
     out = []
     for i in range(len(unit)):
-        least = min(threshold, best[:, i].sum() - 1e-12)
-        at, total = np.zeros(1, np.int64), np.zeros(1)
-        for b, s in enumerate(scores):
-            row = s[i]
-            use = np.flatnonzero(row + total.max() + rest[b, i] >= least)
-            both = total[:, None] + row[use]
-            x, y = np.nonzero(both + rest[b, i] >= least)
-            at, total = at[x] * len(row) + use[y], both[x, y]
+        least = threshold
+        at = np.empty(0, np.int64)
+        while len(at) < wanted:
+            at, total = np.zeros(1, np.int64), np.zeros(1)
+            for b, s in enumerate(scores):
+                row = s[i]
+                use = np.flatnonzero(row + total.max(initial=-9) + rest[b, i] >= least)
+                both = total[:, None] + row[use]
+                x, y = np.nonzero(both + rest[b, i] >= least)
+                at, total = at[x] * len(row) + use[y], both[x, y]
+            least -= STEP
         out.append(np.sort(at))
     return out
 
@@ -177,7 +186,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "uid", "vec"])
 
     source = df.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("uid"), F.col(vector).cast("array<double>" if wide else "array<float>").alias("vec"))
-    rows = stored(source.mapInArrow(checked, source.selectExpr("id", "uid", "X'' AS vec").schema), "vectors")
+    rows = stored(source.mapInArrow(checked, nullable(source.selectExpr("id", "uid", "X'' AS vec").schema)), "vectors")
     lengths = rows.filter("vec is not null").groupBy(F.length("vec").alias("size")).count()
     usual = lengths.orderBy(F.desc("count"), F.desc("size")).limit(1).collect()  # one row
     if not usual:
