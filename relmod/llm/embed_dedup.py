@@ -35,6 +35,8 @@ LEAST_FILTERS, STEP = 16, 0.02
 #: Larger buckets are compared block against block in separate groups.
 BLOCK = 1500
 SEED = 20
+#: Up to so many rows of two longs (1.6 MB), the list of larger buckets is broadcast; beyond, the join shuffles.
+BROADCAST_FILTERS = 100_000
 
 
 # ---------------------------------------------------------------- filters
@@ -97,13 +99,11 @@ def list_decode(unit: np.ndarray, rotation: np.ndarray, codes: list[np.ndarray],
 LINKS = "a long, b long, n long"
 
 
-def _links_of(rows: pa.Table, kind: str, cosine: float) -> pa.RecordBatch:
-    """Of whole groups (filter, left, right, block, uid, weight, vec, filters): link counts (a, null, n) and joining links (a, b, 0)."""
+def _links_of(rows: pa.Table, kind: str, cosine: float, code: tuple) -> pa.RecordBatch:
+    """Of whole groups (filter, left, right, block, uid, weight, vec): link counts (a, null, n) and joining links (a, b, 0)."""
     group = keys_of(rows, 3)
     block, uid, weight = (rows.column(i).to_numpy().astype(np.int64) for i in range(3, 6))
     raw = rows.column(6).to_pylist()
-    filters = rows.column(7).combine_chunks() if isinstance(rows.column(7), pa.ChunkedArray) else rows.column(7)
-    lists = filters.to_pylist()
     a, b, n = [], [], []
     bounds = group_bounds(group)
     for start, end in zip(bounds[:-1], bounds[1:], strict=True):
@@ -122,10 +122,8 @@ def _links_of(rows: pa.Table, kind: str, cosine: float) -> pa.RecordBatch:
         # a pair is counted in the smallest filter that both are in
         this = group[start, 0]
         columns: dict[int, list[int]] = {}
-        for k, i in enumerate(some):
-            for f in lists[start + i]:
-                if f >= this:
-                    break
+        for k, filters in enumerate(list_decode(x[some], *code)):
+            for f in filters[: np.searchsorted(filters, this)].tolist():
                 columns.setdefault(f, []).append(k)
         shared = [c for c in columns.values() if len(c) > 1]
         first = near
@@ -197,29 +195,32 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         rows.filter(usable).groupBy("vec").agg(F.min("uid").alias("uid"), F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")),
         "classes",
     )
-    rotation, codes, threshold = product_code(size // step, classes.count())
+    code = product_code(size // step, classes.count())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).reshape(batch.num_rows, -1).astype(np.float64)
-            found = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), rotation, codes, threshold) if len(x) else []
+            found = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), *code) if len(x) else []
             filters = pa.array([f.tolist() for f in found], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, filters], ["uid", "weight", "vec", "filters"])
 
     placed = stored(
         classes.select("uid", "weight", "vec").repartition("uid").mapInArrow(decode, "uid long, weight long, vec binary, filters array<long>"), "filters"
     )
-    members = placed.select("*", F.explode("filters").alias("filter"))
-    large = members.groupBy("filter").agg(F.count(F.lit(1)).alias("length")).filter(F.col("length") > BLOCK)
-    buckets = in_blocks(members.join(large, "filter", "left"), F.coalesce("length", F.lit(1)), "uid", BLOCK)
+    sizes = placed.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count(F.lit(1)).alias("length"))
+    large = stored(sizes.filter(F.col("length") > BLOCK), "large")
+    if large.count() <= BROADCAST_FILTERS:
+        large = F.broadcast(large)
+    members = placed.select("uid", "weight", "vec", F.explode("filters").alias("filter")).join(large, "filter", "left")
+    buckets = in_blocks(members, F.coalesce("length", F.lit(1)), "uid", BLOCK)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, 3):
-            yield _links_of(groups, kind, cosine)
+            yield _links_of(groups, kind, cosine, code)
 
     keys = ["filter", "left", "right"]
     links = stored(
-        buckets.select(*keys, "block", "uid", "weight", "vec", "filters").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, LINKS),
+        buckets.select(*keys, "block", "uid", "weight", "vec").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, LINKS),
         "links",
     )
     roots = components(links.filter("b is not null")).withColumnRenamed("node", "uid")
