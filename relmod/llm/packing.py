@@ -12,25 +12,27 @@ from __future__ import annotations
 
 import heapq
 import os
-import re
+import uuid
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import stored
+from relmod.llm.common import kept_in_worker, stored
 
 SEQUENCE = 2048
 END_ID = 1
 
 NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "block", "place")
-DOCS_AT_ONCE = 2000
+DOCS_AT_ONCE = 1000
 
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -61,39 +63,173 @@ def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, int,
     return places
 
 
-#: A space between two white spaces, or after one at the end: words cut before it would be encoded otherwise.
-ODD_SPACE = re.compile(r"\s (?:\s|\Z)")
-KNOWN_WORDS = 600_000
+MARKS = frozenset(".,;:!?")
+#: Words whose ids a Python worker keeps, for all its tasks of one call; about 40 bytes each.
+KNOWN_WORDS = 3_000_000
+#: Longer words, in bytes, go to the tokenizer without being kept.
+LONGEST_WORD = 200
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids (little-endian uint32) with the tokenizer of a file.
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class WordTable:
+    """Rows by 64-bit hashes: an open-addressed table that is read and filled in bulk."""
+
+    def __init__(self):
+        self.bits, self.used = 16, 0
+        self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+
+    def _at(self, keys: np.ndarray, step: int) -> np.ndarray:
+        slot = (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - self.bits)
+        return ((slot + np.uint64(step)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's row, -1 if it has none."""
+        out = np.full(len(keys), -1, np.int64)
+        left, step = np.arange(len(keys)), 0
+        while len(left):
+            at = self._at(keys[left], step)
+            there = self.keys[at]
+            hit = there == keys[left]
+            out[left[hit]] = self.rows[at[hit]]
+            left = left[~hit & (there != 0)]
+            step += 1
+        return out
+
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        """New, distinct keys."""
+        if 2 * (self.used + len(keys)) > len(self.keys):
+            old = self.keys != 0
+            all_keys, all_rows = np.concatenate([self.keys[old], keys]), np.concatenate([self.rows[old], rows])
+            self.bits, self.used = max(self.bits, int(4 * len(all_keys)).bit_length()), 0
+            self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+            return self.add(all_keys, all_rows)
+        self.used += len(keys)
+        step = 0
+        while len(keys):
+            at = self._at(keys, step)
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[free]
+            mine = free & (self.keys[at] == keys)
+            self.rows[at[mine]] = rows[mine]
+            keys, rows = keys[~mine], rows[~mine]
+            step += 1
+
+
+class Encoder:
+    """Texts to ids with the tokenizer of a file.
 
     Byte-level BPE starts anew at a space that follows a character other than
     white space, so a text is its words, each with the space before it, and
-    distinct words are encoded once. Texts with odd spaces go to the tokenizer
-    whole.
+    distinct words are encoded once. Words are told by 64-bit hashes of their
+    bytes, computed for a whole batch at once from running sums. Texts with odd
+    spaces (between white space, or after one at the end) and long words go to
+    the tokenizer as they are.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {}
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self._forget()
+        self.powers = self.inverses = np.empty(0, np.uint64)
+        white = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20]
+        # last and first bytes of white space, in UTF-8; other characters may share them
+        self.before, self.after = np.zeros(256, bool), np.zeros(256, bool)
+        self.before[[*white, *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+        self.after[[*white, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+    def _forget(self) -> None:
+        self.table = WordTable()
+        self.start, self.count, self.pool = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
-    def learn(words: list[str]) -> None:
-        for i in range(0, len(words), 10_000):
-            some = words[i : i + 10_000]
-            for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = array("I", e.ids).tobytes()
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and ids of texts, encoded one by one."""
+        counts, ids = [], []
+        for i in range(0, len(texts), 10_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        return np.concatenate([np.empty(0, np.int64), *counts]), np.concatenate([np.empty(0, np.uint32), *ids])
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words; a mark after a letter is a word of its own to the tokenizer."""
+        cut = [len(w) - 1 if w[-1] in MARKS and w[-2:-1].isalpha() and w[-2] < "\u0250" else len(w) for w in words]
+        parts = list(dict.fromkeys([w[:n] for w, n in zip(words, cut, strict=True)] + sorted(MARKS)))
+        row = dict(zip(parts, range(len(parts)), strict=True))
+        counts, ids = self._ids(parts)
+        starts = np.cumsum(counts) - counts
+        first = np.fromiter((row[w[:n]] for w, n in zip(words, cut, strict=True)), np.int64, len(words))
+        marks = np.fromiter((row[w[n:]] if n < len(w) else -1 for w, n in zip(words, cut, strict=True)), np.int64, len(words))
+        pairs = np.stack([first, marks], axis=1).ravel()
+        pairs_counts = np.where(pairs < 0, 0, counts[pairs])
+        return pairs_counts.reshape(-1, 2).sum(axis=1), _gather(ids, starts[pairs], pairs_counts)
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts as little-endian uint32."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        spaces = np.flatnonzero(data == 0x20)
+        text_of = np.searchsorted(ends, spaces, "right")
+        inside = spaces > begins[text_of]
+        last = spaces + 1 == ends[text_of]
+        odd = inside & self.before[data[spaces - 1]] & (last | self.after[data[np.minimum(spaces + 1, len(data) - 1)]])
+        whole = np.zeros(len(texts), bool)
+        whole[text_of[odd]] = True
+        starts = np.sort(np.concatenate([begins[sizes > 0], spaces[inside & ~whole[text_of]]]))
+        lengths = np.diff(np.append(starts, len(data)))
+        # hash of bytes i..j: (sum up to j - sum up to i) / base^i, modulo 2^64
+        if len(self.powers) < len(data):
+            self.powers, self.inverses = (_powers(b, len(data) * 5 // 4) for b in (_BASE, _INVERSE))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
+        keys = (sums[starts + lengths] - sums[starts]) * self.inverses[starts]
+        keys |= np.uint64(1) << np.uint64(63)
+        rows = self.table.find(keys)
+        long = lengths > LONGEST_WORD
+        new, at = np.unique(keys[(rows < 0) & ~long], return_index=True)
+        if len(new):
+            if len(self.count) > KNOWN_WORDS:
+                self._forget()
+                new, at = np.unique(keys[~long], return_index=True)
+                where = np.flatnonzero(~long)[at]
+            else:
+                where = np.flatnonzero((rows < 0) & ~long)[at]
+            raw = data.tobytes()
+            words = [raw[i : i + n].decode() for i, n in zip(starts[where].tolist(), lengths[where].tolist(), strict=True)]
+            counts, ids = self._word_ids(words)
+            self.table.add(new, np.arange(len(self.count), len(self.count) + len(new), dtype=np.int32))
+            self.count, self.pool = np.concatenate([self.count, counts]), np.concatenate([self.pool, ids])
+            self.start = np.cumsum(self.count) - self.count
+            rows = self.table.find(keys)
+        rows[long] = -1
+        counts = np.where(rows < 0, 0, self.count[rows] if len(self.count) else 0)
+        pool, places = self.pool, np.where(rows < 0, 0, self.start[rows] if len(self.count) else 0)
+        if long.any():
+            raw = data.tobytes()
+            some = [raw[i : i + n].decode() for i, n in zip(starts[long].tolist(), lengths[long].tolist(), strict=True)]
+            long_counts, long_ids = self._ids(some)
+            counts[long] = long_counts
+            places[long] = len(pool) + np.cumsum(long_counts) - long_counts
+            pool = np.concatenate([pool, long_ids])
+        ids = memoryview(_gather(pool, places, counts).astype("<u4").tobytes())
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        cuts = (4 * upto[np.searchsorted(starts, np.append(begins, len(data)))]).tolist()
+        return [bytes(ids[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [[t] if ODD_SPACE.search(t) or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        learn(list(set().union(*split) - known.keys()))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    return encode
+def _gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(counts)
+    return pool[np.repeat(starts - ends + counts, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 def cut_documents(df: DataFrame, tokenizer: str, key: str, text: str, size: int, end_id: int, with_ids: bool) -> DataFrame:
@@ -106,17 +242,17 @@ def cut_documents(df: DataFrame, tokenizer: str, key: str, text: str, size: int,
     schema = T.StructType([T.StructField("doc_id", kind)] + [T.StructField(n, T.LongType()) for n in NUMBERS])
     if with_ids:
         schema = schema.add("ids", T.BinaryType())
-    end = array("I", [end_id]).tobytes()
+    end, call = array("I", [end_id]).tobytes(), uuid.uuid4().hex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, block, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
+        encode, block, seen = kept_in_worker(call, lambda: Encoder(tokenizer)), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for low in range(0, batch.num_rows, DOCS_AT_ONCE):
                 some = batch.slice(low, DOCS_AT_ONCE)
                 which: list[int] = []
                 rows: list[tuple] = []
                 parts: list[bytes] = []
-                for i, ids in enumerate(encode([t or "" for t in some.column(1).to_pylist()])):
+                for i, ids in enumerate(encode([t or b"" for t in some.column(1).cast(pa.binary()).to_pylist()])):
                     ids += end
                     for start in range(0, len(ids), 4 * size):
                         part = ids[start : start + 4 * size]

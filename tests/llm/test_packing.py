@@ -16,23 +16,25 @@ SCHEMA = "doc_id long, text string, length string, block int, offset int"
 def test_words_give_the_tokenizers_ids():
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = tokenizers.Tokenizer.from_file(PATH)
-    encode = packing.encoder(PATH)
+    encode = packing.Encoder(PATH)
     r = random.Random(1)
     bits = [" ", "  ", "\n", "\t", " \n", "\r", " ", " ", "a", "B", "é", "1", "23", "'s", "'ll", ".", ",", "!?", "a.", "b,", "é!", "ź."]
     bits += ["日.", "A?", "1.", "<|endoftext|>", "\0", "ß", "日本", "\x85", "\x1c", "​", "👍"]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 30))) for _ in range(20_000)]
     want = [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
+    texts = [x.encode() for x in texts]
     assert encode(texts) == want
     assert encode(texts[::-1]) == want[::-1]
+    assert encode([]) == [] and encode([b"", b""]) == [b"", b""]
 
 
 def test_words_are_forgotten_and_learned_again(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 40)
     t = tokenizers.Tokenizer.from_file(PATH)
-    encode = packing.encoder(PATH)
+    encode = packing.Encoder(PATH)
     for i in range(30):
         texts = [f"word{j} and w{j}x, common text." for j in range(i, i + 9)] + ["common text."]
-        assert encode(texts) == [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
+        assert encode([x.encode() for x in texts]) == [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
 
 
 def check(spark, rows, size):
@@ -65,7 +67,7 @@ def check(spark, rows, size):
 def test_hard_rows(spark, prose):
     c = ("clash", 1, 1)
     rows = [(i, prose(i, i % 40), *c) for i in range(200)]
-    rows += [(300, None, *c), (301, "", *c), (302, prose(9, 30_000), *c), (None, "no key", *c), (303, "twice", *c), (303, "twice", *c)]
+    rows += [(300, None, *c), (301, "", *c), (302, prose(9, 30_000), *c), (None, "no key", *c), (303, "twice", *c), (303, "twice", *c), (304, "x" * 700 + " é" * 300 + " " + "ü!" * 400, *c)]
     check(spark, rows, 64)
     check(spark, rows, 2048)
 
