@@ -2,12 +2,8 @@
 
 import sys as _sys
 
-try:
-    # Functions that run inside Python workers (grouped-map training, block
-    # products, the stem lexicon) are shipped by value with the task, so
-    # executors need no installed copy of this package.
-    from pyspark import cloudpickle as _cloudpickle
+from pyspark import cloudpickle as _cloudpickle
 
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001
-    pass
+# Functions that run inside Python workers are shipped by value with the task,
+# so executors need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

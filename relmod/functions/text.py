@@ -53,8 +53,7 @@ def words(text, opts: TextOptions = TextOptions()) -> Column:
 def preprocess(text, opts: TextOptions = TextOptions()) -> Column:
     """The pre-processed text as one string (SCL-7), without stemming.
 
-    Stemming is a vocabulary-level mapping and is applied on tokens by
-    ``relmod.functions.stem``; see ``tokens_df``.
+    Stems come from a table; ``relmod.functions.stems`` joins it.
     """
     return F.array_join(words(text, opts), " ")
 

@@ -113,6 +113,21 @@ def evaluate(run: DataFrame, candidates: DataFrame, qrels: DataFrame, keys=(), c
     return per_query, mean
 
 
+def skipped_queries(run: DataFrame, candidates: DataFrame, qrels: DataFrame) -> DataFrame:
+    """(qid, in_run, in_candidates) of the gold queries that evaluation leaves out (FLT-5, JOIN-14)."""
+    gold = qrels.select("qid").distinct()
+    seen = lambda df, name: df.select("qid").distinct().withColumn(name, F.lit(True))
+    flags = gold.join(seen(run, "in_run"), "qid", "left").join(seen(candidates, "in_candidates"), "qid", "left")
+    return flags.select(
+        "qid", F.coalesce("in_run", F.lit(False)).alias("in_run"), F.coalesce("in_candidates", F.lit(False)).alias("in_candidates")
+    ).filter(~(F.col("in_run") & F.col("in_candidates")))
+
+
+def trec_mean(per_query: DataFrame) -> DataFrame:
+    """(cutoff, ndcg, n_queries): the mean that the external tool prints, over the queries of ``evaluate_trec``."""
+    return per_query.groupBy("cutoff").agg(F.avg("ndcg").alias("ndcg"), F.count(F.lit(1)).alias("n_queries"))
+
+
 def evaluate_trec(run: DataFrame, qrels: DataFrame, cutoffs=(FULL_DEPTH, *CUTOFFS)) -> DataFrame:
     """(qid, cutoff, ndcg) by the external tool's conventions (PIPE-5).
 

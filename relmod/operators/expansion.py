@@ -17,14 +17,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relmod.operators.lm import CandidateModels
 from relmod.operators.ordering import top_k
-from relmod.params import UNK, Params
-from relmod.session import broadcast_if_small
+from relmod.params import UNK, Params, checked_mu
+from relmod.session import broadcast_if_small, materialize
 
 # Similarities are rounded to this many decimals before ranking, so equal
 # values (to 1e-9) tie and fall back to the term order on every engine.
@@ -37,7 +36,7 @@ def centroids(qtf: DataFrame, vectors: DataFrame, params: Params = Params()) ->
     The query-term side is broadcast after a size check; the vocabulary streams.
     Per-dimension sums are partially aggregated before the shuffle.
     """
-    hit = vectors.join(broadcast_if_small(qtf, params.broadcast_rows), "term")  # JOIN-8 / FLT-6
+    hit = vectors.join(broadcast_if_small(materialize(qtf), params.broadcast_bytes), "term")  # JOIN-8 / FLT-6
     dims = hit.select("qid", "qtf", F.posexplode("vec").alias("i", "v")).groupBy("qid", "i").agg(
         F.sum(F.col("qtf") * F.col("v")).alias("s")
     )
@@ -46,82 +45,66 @@ def centroids(qtf: DataFrame, vectors: DataFrame, params: Params = Params()) ->
     )
 
 
-def _block_topk(k: int):
-    """cogroup function: one vocabulary block x one query block -> top k per query."""
-
-    def run(vocab: pd.DataFrame, cents: pd.DataFrame) -> pd.DataFrame:
-        if vocab.empty or cents.empty:
-            return pd.DataFrame({"qid": [], "term": [], "sim": []})
-        terms = vocab["term"].to_numpy()
-        e = np.stack(vocab["vec"].to_numpy()).astype(np.float64)
-        c = np.stack(cents["c"].to_numpy()).astype(np.float64)
-        sims = np.round(e @ c.T, SIM_DIGITS)  # (n_terms, n_queries)
-        order_terms = np.argsort(terms, kind="stable")  # term ascending
-        rank_of_term = np.empty(len(terms), dtype=np.int64)
-        rank_of_term[order_terms] = np.arange(len(terms))
-        out_q, out_t, out_s = [], [], []
-        kk = min(k, len(terms))
-        for j, qid in enumerate(cents["qid"].to_numpy()):
-            s = sims[:, j]
-            # sort by (sim desc, term asc); lexsort keys: last is primary
-            idx = np.lexsort((rank_of_term, -s))[:kk]
-            out_q.append(np.full(kk, qid))
-            out_t.append(terms[idx])
-            out_s.append(s[idx])
-        return pd.DataFrame(
-            {"qid": np.concatenate(out_q), "term": np.concatenate(out_t), "sim": np.concatenate(out_s)}
-        )
-
-    return run
+def best_rows(sims: np.ndarray, terms: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the k largest values, by (value descending, term ascending)."""
+    if len(sims) > k:
+        least = np.partition(sims, len(sims) - k)[len(sims) - k]
+        near = np.flatnonzero(sims >= least)  # the k best and all that tie with the last of them
+    else:
+        near = np.arange(len(sims))
+    return near[np.lexsort((terms[near], -sims[near]))][:k]
 
 
-def expand(
-    vectors: DataFrame,
-    cents: DataFrame,
-    k: int,
-    query_block: int = 256,
-    vocab_block_rows: int = 50_000,
-) -> DataFrame:
+def expand(vectors: DataFrame, cents: DataFrame, k: int, slice_bytes: int = 8 << 20) -> DataFrame:
     """(qid, rk, term, sim): the k words most similar to each query centroid (ML-2, WIN-5).
 
-    Exact blocked matrix product: the vocabulary is cut into ``nvb`` blocks
-    (hash of the term) and the centroids into ``nqb`` blocks of at most
-    ``query_block`` queries; ``cogroup`` on (qblock, vblock) pairs each
-    vocabulary block with each query block once and multiplies them as one
-    Arrow batch. Every pair keeps only its top k per query (same total order
-    as the final pick, so nothing that belongs to the final top k is lost);
-    a final ``row_number() <= k`` picks from at most k x nvb rows per query.
+    Exact blocked matrix product: the vocabulary stays where it is, in its
+    partitions, and the centroids come to it in slices of at most
+    ``slice_bytes``, each one a broadcast matrix of that size. A partition keeps
+    k words per query of its own batches (same total order as the final pick,
+    so nothing that belongs to the final top k is lost); a final
+    ``row_number() <= k`` picks from these.
     """
-    # both inputs are counted (block sizing) and then read again: keep them
-    cents = cents.persist(StorageLevel.MEMORY_AND_DISK)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    n_q = cents.count()
-    n_v = vectors.count()
-    nqb = max(1, math.ceil(n_q / query_block))
-    nvb = max(1, math.ceil(n_v / vocab_block_rows))
+    spark = vectors.sparkSession
+    cents = materialize(cents)
     qtype = cents.schema["qid"].dataType.simpleString()
-    vb = vectors.select(
-        "term",
-        "vec",
-        F.pmod(F.xxhash64("term"), F.lit(nvb)).alias("vblock"),
-        F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))).alias("qblock"),
-    )
-    cb = cents.select(
-        "qid",
-        "c",
-        F.pmod(F.xxhash64("qid"), F.lit(nqb)).alias("qblock"),
-        F.explode(F.sequence(F.lit(0), F.lit(nvb - 1))).alias("vblock"),
-    )
-    part = (
-        vb.groupBy("qblock", "vblock")
-        .cogroup(cb.groupBy("qblock", "vblock"))
-        .applyInPandas(_block_topk(k), f"qid {qtype}, term string, sim double")
-    )
+    n, dim = cents.select(F.count(F.lit(1)), F.max(F.size("c"))).first()
+    slices = max(1, math.ceil((n or 0) * (dim or 1) * 8 / slice_bytes))
+    cut = F.pmod(F.xxhash64("qid"), F.lit(slices))
+    part = None
+    for i in range(slices):
+        rows = cents.filter(cut == i).select("qid", "c").toPandas()  # about slice_bytes
+        shared = spark.sparkContext.broadcast((rows["qid"].to_numpy(), [np.asarray(c, np.float64) for c in rows["c"]]))
+        found = vectors.select("term", "vec").mapInPandas(_slice_topk(shared, k), f"qid {qtype}, term string, sim double")
+        part = found if part is None else part.unionByName(found)
     return top_k(part, "qid", [F.desc("sim"), F.asc("term")], k, "rk").select(
         "qid", F.col("rk").cast("int").alias("rk"), "term", "sim"
     )
 
 
+def _slice_topk(shared, k: int):
+    def run(batches):
+        qids, rows = shared.value
+        if not len(qids):
+            return
+        c = np.stack(rows)
+        for batch in batches:
+            if batch.empty:
+                continue
+            terms = batch["term"].to_numpy()
+            sims = np.round(np.stack(batch["vec"].to_numpy()).astype(np.float64) @ c.T, SIM_DIGITS)
+            best = [best_rows(sims[:, j], terms, k) for j in range(len(qids))]
+            yield pd.DataFrame(
+                {
+                    "qid": np.repeat(qids, [len(b) for b in best]),
+                    "term": np.concatenate([terms[b] for b in best]),
+                    "sim": np.concatenate([sims[b, j] for j, b in enumerate(best)]),
+                }
+            )
+
+    return run
+
+
 def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateModels) -> DataFrame:
     """(qid, term, e, o): folded expansion and original-query shares over V_q + <UNK> (ML-3).
 
@@ -131,7 +114,7 @@ def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateMode
     filters the big background table by their keys (``in_vocabulary``).
     """
     qids = models.cset.select("qid").distinct()
-    expansions = models.attach(expansions, qids, "qid", "left_semi")
+    expansions = models.attach(expansions, qids, "qid", "left_semi")  # at most one row per query
     by_q = Window.partitionBy("qid")
     ex = (
         models.in_vocabulary(expansions)
@@ -183,34 +166,35 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
     ``settings`` the list of (setting_id, mu). Terms whose smoothed probability
     is 0 for every document (an empty <UNK> bucket, D7) are left out.
     """
-    mu = float(models.params.mu if mu is None else mu)
+    mu = checked_mu(models.params.mu if mu is None else mu)
+    copies = len(settings) if settings else 1
     base = models.cand_len.select("qid", "doc_id", "doc_len")
     if settings:
         keys = ["setting_id"]
-        grid = F.array(*[F.struct(F.lit(i).alias("setting_id"), F.lit(float(m)).alias("mu")) for i, m in settings])
+        grid = F.array(*[F.struct(F.lit(i).alias("setting_id"), F.lit(checked_mu(m)).alias("mu")) for i, m in settings])
         base = base.select("*", F.explode(grid).alias("_s")).select("_s.setting_id", "_s.mu", "qid", "doc_id", "doc_len")
     else:
         keys = []
         base = base.withColumn("mu", F.lit(mu))
         rm = rm.withColumn("mu", F.lit(mu))
     pos = rm.filter((F.col("r") > 0) & ~F.isnan("r"))  # FLT-4
-    supp = (
-        models.attach(models.bg.select("qid", "term", "tid", "p_bg"), pos, ["qid", "term"])
+    pos = materialize(pos)
+    supp = materialize(
+        models.attach_terms(models.bg.select("qid", "term", "p_bg"), pos, ["qid", "term"])
         .withColumn("mpb", F.col("mu") * F.col("p_bg"))
         .filter(F.col("mpb") > 0)
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     per_q = supp.groupBy(*keys, "qid").agg(
         F.sum(F.col("r") * F.log10(F.col("r") / F.col("mpb"))).alias("cq"),
         F.sum("r").alias("rq"),
     )
     hits = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), supp.select(*keys, "qid", "tid", "r", "mpb"), ["qid", "tid"])
+        models.attach_terms(models.cand_tf.select("qid", "doc_id", "term", "tf"), supp.select(*keys, "qid", "term", "r", "mpb"), ["qid", "term"])
         .groupBy(*keys, "qid", "doc_id")
         .agg(F.sum(F.col("r") * F.log10((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
     return (
-        models.attach(models.attach(base, per_q, [*keys, "qid"], "left"), hits, [*keys, "qid", "doc_id"], "left")
+        models.attach(models.attach(base, per_q, [*keys, "qid"], "left", copies), hits, [*keys, "qid", "doc_id"], "left", copies)
         .select(
             *keys,
             "qid",

@@ -12,17 +12,17 @@ products. With a_d = w_d / (|d| + mu):
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relmod.operators.lm import CandidateModels, term_id
+from relmod.operators.lm import CandidateModels
+from relmod.params import checked_mu
 from relmod.session import materialize
 
 
 def in_vocabulary(qtf: DataFrame, models: CandidateModels) -> DataFrame:
     """Query terms found in the candidates, with their background probability (JOIN-5/9)."""
-    return models.attach(models.bg.select("qid", "term", "tid", "p_bg"), qtf, ["qid", "term"])
+    return models.attach_terms(models.bg.select("qid", "term", "p_bg"), materialize(qtf), ["qid", "term"])
 
 
 def oov_tokens(qtf: DataFrame, models: CandidateModels) -> DataFrame:
@@ -33,13 +33,13 @@ def oov_tokens(qtf: DataFrame, models: CandidateModels) -> DataFrame:
 
 def query_likelihood(qtf: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     """(qid, doc_id, doc_len, ll, w): log query likelihood and its normalised weight (AGG-8, 9)."""
-    mu = float(models.params.mu if mu is None else mu)
-    qv = in_vocabulary(qtf, models).withColumn("mpb", F.lit(mu) * F.col("p_bg"))
+    mu = checked_mu(models.params.mu if mu is None else mu)
+    qv = materialize(in_vocabulary(qtf, models).withColumn("mpb", F.lit(mu) * F.col("p_bg")))
     qconst = qv.groupBy("qid").agg(
         F.sum(F.col("qtf") * F.log(F.col("mpb"))).alias("a"), F.sum("qtf").alias("qn")
     )
     hits = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), qv.select("qid", "tid", "qtf", "mpb"), ["qid", "tid"])
+        models.attach_terms(models.cand_tf.select("qid", "doc_id", "term", "tf"), qv.select("qid", "term", "qtf", "mpb"), ["qid", "term"])
         .groupBy("qid", "doc_id")
         .agg(F.sum(F.col("qtf") * F.log((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
@@ -63,20 +63,19 @@ def query_likelihood(qtf: DataFrame, models: CandidateModels, mu=None) -> DataFr
 
 def feedback_model(lik: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     """(qid, term, p_rm) over V_q plus <UNK> (AGG-10), sparse form."""
-    mu = float(models.params.mu if mu is None else mu)
+    mu = checked_mu(models.params.mu if mu is None else mu)
     a = lik.select("qid", "doc_id", (F.col("w") / (F.col("doc_len") + F.lit(mu))).alias("a"))
     s = a.groupBy("qid").agg(F.sum("a").alias("s"))  # one row per query
     direct = (
-        models.attach(models.cand_tf.select("qid", "doc_id", "tid", "tf"), a, ["qid", "doc_id"])
-        .groupBy("qid", "tid")
+        models.attach(models.cand_tf.select("qid", "doc_id", "term", "tf"), a, ["qid", "doc_id"])
+        .groupBy("qid", "term")
         .agg(F.sum(F.col("tf") * F.col("a")).alias("direct"))
     )
-    base = models.attach(models.bg.select("qid", "tid", "term", "p_bg"), s, "qid")
+    base = models.attach(models.bg.select("qid", "term", "p_bg"), s, "qid")
     # p_bg is carried along: Score A then needs one join with the model table
-    return models.colocated(base, direct, ["qid", "tid"], "left").select(
+    return base.join(direct, ["qid", "term"], "left").select(
         "qid",
         "term",
-        "tid",
         (F.coalesce("direct", F.lit(0.0)) + F.lit(mu) * F.col("p_bg") * F.col("s")).alias("p_rm"),
         "p_bg",
     )
@@ -88,15 +87,12 @@ def score_a(p_rm: DataFrame, models: CandidateModels, mu=None) -> DataFrame:
     ``p_rm`` is (qid, term, p_rm[, p_bg]); with ``p_bg`` present (as produced by
     ``feedback_model``) the document probabilities need no second join.
     """
-    mu = float(models.params.mu if mu is None else mu)
-    if "tid" not in p_rm.columns:
-        p_rm = p_rm.withColumn("tid", term_id("term"))
+    mu = checked_mu(models.params.mu if mu is None else mu)
     if "p_bg" in p_rm.columns:
-        rm = p_rm.select("qid", "tid", "p_rm", "p_bg")
-        t = models.colocated(models.cand_tf.select("qid", "doc_id", "tid", "tf", "doc_len"), rm, ["qid", "tid"])
+        t = models.cand_tf.join(p_rm.select("qid", "term", "p_rm", "p_bg"), ["qid", "term"])
         tp = t.withColumn("p", (F.col("tf") + F.lit(mu) * F.col("p_bg")) / (F.col("doc_len") + F.lit(mu)))
     else:
-        tp = models.colocated(models.term_probs(mu).select("qid", "doc_id", "tid", "p"), p_rm.select("qid", "tid", "p_rm"), ["qid", "tid"])
+        tp = models.term_probs(mu).select("qid", "doc_id", "term", "p").join(p_rm.select("qid", "term", "p_rm"), ["qid", "term"])
     kl = (
         tp.groupBy("qid", "doc_id")
         .agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("p_rm"))).alias("kl"))

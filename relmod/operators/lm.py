@@ -13,9 +13,11 @@ import math
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from relmod.functions.stems import stemmed_tokens
 from relmod.functions.text import fields_text, tokens
-from relmod.params import UNK, Params
+from relmod.params import UNK, Params, checked_mu
 from relmod.session import broadcast_if_small, materialize, spread
 
 
@@ -26,19 +28,17 @@ def candidate_set(candidates: DataFrame) -> DataFrame:
 
 def candidate_documents(candidates: DataFrame, collection: DataFrame, params: Params = Params()) -> DataFrame:
     """Collection rows whose doc_id is a candidate of any query (JOIN-1, left semi)."""
-    ids = candidates.select("doc_id").distinct()
-    return collection.join(broadcast_if_small(ids, params.broadcast_rows), "doc_id", "left_semi")
+    ids = materialize(candidates.select("doc_id").distinct())
+    return collection.join(broadcast_if_small(ids, params.broadcast_bytes), "doc_id", "left_semi")
 
 
 def document_tokens(docs: DataFrame, fields, params: Params = Params()) -> DataFrame:
     """(doc_id, tokens) of the given text fields joined by a space (PRJ-1, SCL-7).
 
-    With the stemming switch on, words go through the stem lexicon (SCL-4).
+    With the stemming switch on, words take their stems from the given table (SCL-4).
     """
     if params.text.stemming:
-        from relmod.functions.stem import stemmed_tokens
-
-        return stemmed_tokens(docs.select("doc_id", fields_text(*fields).alias("_text")), "doc_id", "_text", params.text)
+        return stemmed_tokens(docs.select("doc_id", fields_text(*fields).alias("_text")), "doc_id", "_text", params.text.stems, params.text)
     return docs.select("doc_id", tokens(fields_text(*fields), params.text).alias("tokens"))
 
 
@@ -68,9 +68,7 @@ def doc_term_freq_len(doc_tok: DataFrame) -> DataFrame:
 def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     """(qid, term, qtf): query token histogram (AGG-13)."""
     if params.text.stemming:
-        from relmod.functions.stem import stemmed_tokens
-
-        toks = stemmed_tokens(queries, "qid", "text", params.text)
+        toks = stemmed_tokens(queries, "qid", "text", params.text.stems, params.text)
     else:
         toks = queries.select("qid", tokens("text", params.text).alias("tokens"))
     return (
@@ -80,29 +78,16 @@ def query_term_freq(queries: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def term_id(c) -> Column:
-    """64-bit key of a term: the (qid, doc, term) table is joined and grouped on it."""
-    return F.xxhash64(c)
-
+def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(), models=None) -> DataFrame:
+    """(qid, term, cf, n, p_bg) over V_q plus <UNK> (AGG-5, 6, 7, SET-3, SCL-8).
 
-def background(cand_tf: DataFrame, cand_len: DataFrame, params: Params = Params(), models=None, vocab: DataFrame | None = None) -> DataFrame:
-    """(qid, tid, term, cf, n, p_bg) over V_q plus <UNK> (AGG-5, 6, 7, SET-3, SCL-8).
-
-    ``cand_tf`` is (qid, doc_id, tid, tf) keyed by term id, ``cand_len`` is
-    (qid, doc_id, doc_len), ``vocab`` the (tid, term) dictionary that turns the
-    ids of the aggregated table back into strings.
+    ``cand_tf`` is (qid, doc_id, term, tf), ``cand_len`` is (qid, doc_id, doc_len).
     """
     n = cand_len.groupBy("qid").agg(F.sum("doc_len").alias("n"))
-    cf = cand_tf.groupBy("qid", "tid").agg(F.sum("tf").alias("cf"))
-    cf = cf.join(vocab, "tid") if vocab is not None else cf
+    cf = cand_tf.groupBy("qid", "term").agg(F.sum("tf").alias("cf"))
     unk_share = params.unk_pct / 100.0
-    unk = n.select(
-        "qid",
-        term_id(F.lit(UNK)).alias("tid"),
-        F.lit(UNK).alias("term"),
-        F.floor(F.lit(unk_share) * F.col("n")).cast("long").alias("cf"),
-    )
-    both = cf.select("qid", "tid", "term", "cf").unionByName(unk)
+    unk = n.select("qid", F.lit(UNK).alias("term"), F.floor(F.lit(unk_share) * F.col("n")).cast("long").alias("cf"))
+    both = cf.unionByName(unk)
     joined = models.attach(both, n, "qid") if models is not None else both.join(n, "qid")
     return joined.withColumn("p_bg", F.try_divide(F.col("cf").cast("double"), F.col("n").cast("double")))
 
@@ -119,89 +104,73 @@ class CandidateModels:
     Built once and shared by all scorers: documents are tokenised once each,
     however many queries list them.
 
-    Physical design. The (qid, doc, term) table is hash-partitioned by ``qid``
-    once and checkpointed to the shared checkpoint folder (lineage cut, output
-    partitioning kept), and so are the tables derived from it. Every later join or
-    aggregation is keyed by ``qid`` plus something, so with
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` they run
-    partition-local: aggregations need no exchange, and joins between two
-    qid-partitioned tables are shuffled-hash joins without a shuffle
-    (``colocated``). Per-candidate tables (one row per query-document pair)
-    are broadcast when a count of the pairs proves them small (``attach``),
-    else joined co-located. A query's share of a partition is bounded by its
-    candidate list (a top-k input).
+    Physical design. Document term counts are hash-partitioned by ``doc_id``
+    once and expanded to candidate pairs; the (qid, doc, term) table is then
+    partitioned by ``qid``, sorted by (qid, term) and kept, and so are the
+    tables derived from it. Every later join or aggregation is keyed by ``qid``
+    plus something, so where the session has
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (``local_session``
+    sets it) they run partition-local, and joins on (qid, term) merge what is
+    sorted already; elsewhere Spark adds the exchanges. Per-candidate tables of
+    fixed width are broadcast when the number of pairs bounds their bytes
+    (``attach``); all else is Spark's choice. Partitions grow with the pairs.
     """
 
+    # candidate pairs per partition of the qid-partitioned tables (each pair
+    # brings its document's distinct terms, a few hundred rows)
+    PAIRS_PER_PARTITION = 2000
+
     def __init__(self, candidates: DataFrame, collection: DataFrame, fields, params: Params = Params()):
         spark = candidates.sparkSession
-        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self.params = params
         cset = materialize(candidate_set(candidates))
         self.n_pairs = cset.count()
         self.partitions = self._partition_count(spark, self.n_pairs)
-        self.small = self.n_pairs <= params.broadcast_rows
         self.cset = cset
-        ids = cset.select("doc_id").distinct()
-        docs = collection.join(F.broadcast(ids) if self.small else ids, "doc_id", "left_semi")  # JOIN-1
+        self.collection = collection
+        pairs = broadcast_if_small(cset, params.broadcast_bytes)
         # token arrays of the candidate documents: read for lengths, term counts
-        # and (Task 1) training, so they are tokenised once and kept
-        doc_tok = document_tokens(spread(docs), fields, params).persist(StorageLevel.MEMORY_AND_DISK)
-        self.doc_tokens = doc_tok
-        dtf = doc_term_freq_len(doc_tok).withColumn("tid", term_id("term"))
-        # dictionary of the candidate vocabulary; term ids must not collide in it
-        vocab = materialize(
-            dtf.select("tid", "term").distinct().unionByName(
-                spark.createDataFrame([(UNK,)], "term string").select(term_id("term").alias("tid"), "term")
-            )
+        # and local contexts, so they are tokenised once and kept
+        self.doc_tokens = document_tokens(spread(candidate_documents(cset, collection, params)), fields, params).persist(
+            StorageLevel.MEMORY_AND_DISK
         )
-        if vocab.groupBy("tid").count().filter("count > 1").limit(1).count():
-            raise RuntimeError("64-bit term id collision in the candidate vocabulary")
-        self.vocab = vocab
-        n_vocab = vocab.count()
+        dtf = doc_term_freq_len(self.doc_tokens)
         # inner joins: candidates whose document is missing are dropped (JOIN-3)
-        dlen = doc_lengths(doc_tok)
-        self.cand_len = materialize(
-            (dlen.join(F.broadcast(cset), "doc_id") if self.small else cset.join(dlen, "doc_id")).repartition(
-                self.partitions, "qid"
-            )
-        )
-        # (qid, doc_id, term, tf, doc_len): the expansion is shuffled once, by qid
-        # the big table stays in the block store (memory and disk; lost blocks
-        # are recomputed from the checkpointed inputs above)
+        self.cand_len = materialize(doc_lengths(self.doc_tokens).join(pairs, "doc_id").repartition(self.partitions, "qid"))
+        # (qid, doc_id, term, tf, doc_len): the expansion is shuffled once, by qid.
+        # It stays in the block store (lost blocks are recomputed from the
+        # checkpointed inputs above) until ``unpersist``
         self.cand_tf = (
-            self._expand(cset, dtf.drop("term")).repartition(self.partitions, "qid").persist(StorageLevel.MEMORY_AND_DISK)
+            dtf.join(pairs, "doc_id")
+            .repartition(self.partitions, "qid")
+            .sortWithinPartitions("qid", "term")
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        self.bg = (
+            background(self.cand_tf, self.cand_len, params, self)
+            .sortWithinPartitions("qid", "term")
+            .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        # the dictionary is broadcast when a count proves it small; otherwise the
-        # join shuffles and the background table is re-partitioned by qid
-        vb = F.broadcast(vocab) if n_vocab <= params.broadcast_rows else vocab
-        bg = background(self.cand_tf, self.cand_len, params, self, vb)
-        if n_vocab > params.broadcast_rows:
-            bg = bg.repartition(self.partitions, "qid")
-        self.bg = bg.persist(StorageLevel.MEMORY_AND_DISK)
-
-    # candidate pairs per partition of the qid-partitioned tables (each pair
-    # brings its document's distinct terms, a few hundred rows)
-    PAIRS_PER_PARTITION = 2000
 
     @classmethod
     def _partition_count(cls, spark, n_pairs: int) -> int:
-        """Partitions sized to the work: pairs / PAIRS_PER_PARTITION, rounded up to a
-        multiple of the task slots, at most ``spark.sql.shuffle.partitions``."""
+        """pairs / PAIRS_PER_PARTITION, rounded up to a multiple of the task slots."""
         slots = spark.sparkContext.defaultParallelism
-        cap = max(slots, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        want = max(1, math.ceil(n_pairs / cls.PAIRS_PER_PARTITION))
-        return min(cap, slots * math.ceil(want / slots))
+        return slots * max(1, math.ceil(n_pairs / cls.PAIRS_PER_PARTITION / slots))
 
-    def _expand(self, cset: DataFrame, dtf: DataFrame) -> DataFrame:
-        """(qid, doc_id, tid, tf, doc_len): every candidate pair with its document's counts."""
-        return dtf.join(F.broadcast(cset) if self.small else cset, "doc_id")
+    def attach(self, big: DataFrame, small: DataFrame, keys, how: str = "inner", copies: int = 1) -> DataFrame:
+        """Join a table of at most one row per candidate pair (times ``copies``).
 
-    def attach(self, big: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
-        """Join a per-candidate or per-query table (qid-partitioned): broadcast when the
-        pair count proves it small, else partition-local."""
-        if self.small:
-            return big.join(F.broadcast(small), keys, how)
-        return big.join(small.hint("shuffle_hash"), keys, how)
+        With columns of fixed width the pair count bounds its bytes, and within
+        the bound it is broadcast; otherwise Spark chooses.
+        """
+        fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType)) for f in small.schema.fields)
+        most = self.n_pairs * copies * (16 + 8 * len(small.columns))
+        return big.join(F.broadcast(small) if fixed and most <= self.params.broadcast_bytes else small, keys, how)
+
+    def attach_terms(self, big: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
+        """Join a stored table of query terms, broadcast if its measured bytes allow it."""
+        return big.join(broadcast_if_small(small, self.params.broadcast_bytes), keys, how)
 
     def in_vocabulary(self, small: DataFrame, keys=("qid", "term")) -> DataFrame:
         """``small`` with a boolean ``in_v``: is (qid, term) in V_q (incl. <UNK>)? (JOIN-9)
@@ -210,28 +179,21 @@ class CandidateModels:
         left join that keeps every row of ``small`` is between small tables.
         """
         keys = list(keys)
-        wanted = small.select(*keys).distinct()
-        found = self.attach(self.bg.select(*keys), wanted, keys, "left_semi").withColumn("in_v", F.lit(True))
-        return small.join(found, keys, "left").withColumn("in_v", F.coalesce("in_v", F.lit(False)))
-
-    @staticmethod
-    def colocated(big: DataFrame, other: DataFrame, keys, how: str = "inner") -> DataFrame:
-        """Join two qid-partitioned tables partition-locally (shuffled-hash, build side ``other``)."""
-        return big.join(other.hint("shuffle_hash"), keys, how)
+        small = materialize(small)
+        found = self.attach_terms(self.bg.select(*keys), small.select(*keys).distinct(), keys, "left_semi")
+        return small.join(found.withColumn("in_v", F.lit(True)), keys, "left").withColumn("in_v", F.coalesce("in_v", F.lit(False)))
 
     def missing_documents(self) -> DataFrame:
-        """Candidates whose document is not in the collection (D15 report)."""
-        return self.cset.join(self.cand_len, ["qid", "doc_id"], "left_anti")
+        """(qid, doc_id) of candidates whose document is not in the collection (D15 report)."""
+        return self.cset.join(self.collection.select("doc_id"), "doc_id", "left_anti").select("qid", "doc_id")
 
     def term_probs(self, mu=None) -> DataFrame:
-        """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d (JOIN-4/5/7).
-
-        A partition-local shuffled-hash join of the two qid-partitioned tables.
-        """
-        mu = self.params.mu if mu is None else mu
-        t = self.colocated(self.cand_tf, self.bg.select("qid", "tid", "term", "p_bg"), ["qid", "tid"])
+        """(qid, doc_id, term, tf, doc_len, p_bg, p) for every term present in d (JOIN-4/5/7)."""
+        mu = checked_mu(self.params.mu if mu is None else mu)
+        t = self.cand_tf.join(self.bg.select("qid", "term", "p_bg"), ["qid", "term"])
         return t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
 
     def unpersist(self) -> None:
-        for df in (self.cand_tf, self.bg, self.cand_len, self.cset, self.doc_tokens, self.vocab):
+        """Frees what the models keep; call it once everything computed from them is stored."""
+        for df in (self.cand_tf, self.bg, self.doc_tokens):
             df.unpersist()

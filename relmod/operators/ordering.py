@@ -92,21 +92,20 @@ def last_wins(df: DataFrame, keys, order_col: str) -> DataFrame:
     return out.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
 
 
-def rank_within_large(df: DataFrame, group: str, order: list[Column], rank_col: str = "rank", max_groups_broadcast: int = 1_000_000) -> DataFrame:
+def rank_within_large(df: DataFrame, group: str, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """1-based position per group for groups of any size (no group in one task).
 
     One global range-partitioned order on (group, order...) spreads even a
     group holding a third of the rows over many tasks (``dense_index``); a
     row's position is its global index minus its group's first index (a
-    partially aggregated ``min``; that per-group table is broadcast when a
-    count proves it small).
+    partially aggregated ``min``). NULL is a group like any other.
     """
     idx = dense_index(df, [F.asc(group), *order], "_gidx")
-    first = idx.groupBy(group).agg(F.min("_gidx").alias("_first"))
-    n = first.count()
-    first = F.broadcast(first) if n <= max_groups_broadcast else first
-    return idx.join(first, group).withColumn(rank_col, (F.col("_gidx") - F.col("_first") + 1).cast("int")).drop(
-        "_gidx", "_first"
+    first = idx.groupBy(F.col(group).alias("_group")).agg(F.min("_gidx").alias("_first"))
+    return (
+        idx.join(first, F.col(group).eqNullSafe(F.col("_group")))
+        .withColumn(rank_col, (F.col("_gidx") - F.col("_first") + 1).cast("int"))
+        .drop("_gidx", "_first", "_group")
     )
 
 
@@ -126,6 +125,6 @@ def rank_within_auto(df: DataFrame, group, order: list[Column], rank_col: str =
         return rank_within(df, group, order, rank_col)
     if len(group) == 1:
         return rank_within_large(df, group[0], order, rank_col)
-    key = F.to_json(F.struct(*[F.col(g) for g in group]))
+    key = F.to_json(F.struct(*[F.col(g) for g in group]), {"ignoreNullFields": "false"})
     out = rank_within_large(df.withColumn("_grp", key), "_grp", order, rank_col)
     return out.drop("_grp")

@@ -64,6 +64,14 @@ DEFAULT_UNK_PCT = 0.5  # a percentage: 0.5 %
 CUTOFFS = (5, 10, 50)
 
 
+def checked_mu(mu: float) -> float:
+    """mu as a float. Smoothing needs mu > 0: without it a term that a document lacks has no probability."""
+    mu = float(mu)
+    if not mu > 0:
+        raise ValueError(f"mu must be positive, not {mu}")
+    return mu
+
+
 @dataclass(frozen=True)
 class TextOptions:
     """The five switches of the pre-processing chain."""
@@ -74,6 +82,8 @@ class TextOptions:
     stemming: bool = False
     stopwords: bool = True
     stop_words: tuple = STOP_WORDS
+    # With ``stemming``: a DataFrame (word, stem), one row per word.
+    stems: object = field(default=None, compare=False)
 
 
 @dataclass(frozen=True)
@@ -87,8 +97,11 @@ class Params:
     text: TextOptions = field(default_factory=TextOptions)
     # Task 0: a query token that occurs in no candidate is skipped ('drop') or raises ('error').
     oov: str = "drop"
-    # Upper bound on rows of a side that may be broadcast after a count.
-    broadcast_rows: int = 2_000_000
+    # Upper bound on the measured bytes of a side that may be broadcast.
+    broadcast_bytes: int = 64 << 20
+
+    def __post_init__(self):
+        checked_mu(self.mu)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -15,9 +15,11 @@ from relmod.functions import text as T
 from relmod.operators import evaluate as ev
 from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
+from relmod.operators import local_context as lc
 from relmod.operators.lm import CandidateModels, query_term_freq
-from relmod.operators.ordering import last_wins, top_k
-from relmod.params import Params
+from relmod.operators.ordering import last_wins
+from relmod.functions.stems import stemmed_tokens
+from relmod.params import WHITESPACE_CLASS, Params, TextOptions
 from relmod.plans import oracle as O
 from relmod.plans import pipelines as P
 from relmod.sources import fixtures as X
@@ -76,32 +78,55 @@ def tokens(spark, sf_dir):
     )
 
 
-@register(
-    "tokens_no_stop",
-    "SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(lower(array_to_string(list_filter("
-    f"regexp_split_to_array({O.normalize_sql('text')}, '{O.WHITESPACE_CLASS}'), lambda w: w <> ''), ' ')),"
-    f" '{O._q(O.DELIMITER_CLASS)}'), lambda x: x <> '')) AS BIGINT) AS n_tokens FROM documents",
-)
+SWITCHES = ("lowercase", "punctuation", "digits", "stopwords")
+
+
+@register("tokens_no_stop", f"SELECT doc_id, CAST(len({O.tokens_sql('text', 'stopwords')}) AS BIGINT) AS n_tokens FROM documents")
 def tokens_no_stop(spark, sf_dir):
-    opts = Params().text.__class__(stopwords=False)
+    opts = TextOptions(stopwords=False)
     d = X.table(spark, sf_dir, "documents")
     return d.select("doc_id", F.size(T.tokens("text", opts)).cast("long").alias("n_tokens"))
 
 
+@register(
+    "text_switches",
+    " UNION ALL ".join(
+        f"SELECT doc_id, '{off}' AS off, array_to_string({O.tokens_sql('text', off)}, ' ') AS text FROM documents" for off in SWITCHES
+    ),
+)
+def text_switches(spark, sf_dir):
+    """SCL-7: the chain with each switch off in turn (stemming is off everywhere; see ``stemmed_documents``)."""
+    d = X.table(spark, sf_dir, "documents")
+    kinds = F.array(
+        *[
+            F.struct(F.lit(off).alias("off"), F.array_join(T.tokens("text", TextOptions(**{off: False})), " ").alias("text"))
+            for off in SWITCHES
+        ]
+    )
+    return d.select("doc_id", F.explode(kinds).alias("x")).select("doc_id", "x.off", "x.text")
+
+
 _TITLE_RE = r"<title[^>]*>([^<]*)</title>"
 
 
+_TAG_RE = "<[^>]*>"
+
+
 @register(
     "page_fields_concat",
-    "SELECT page_id, array_to_string(list_filter(regexp_split_to_array(lower(concat_ws(' ', coalesce(url, ''),"
-    f" coalesce(regexp_extract(html, '{_TITLE_RE}', 1), ''), '')), '{O._q(O.DELIMITER_CLASS)}'),"
-    " lambda x: x <> ''), ' ') AS text FROM pages",
+    "SELECT page_id, array_to_string("
+    + O.tokens_sql(
+        f"concat_ws(' ', coalesce(url, ''), coalesce(regexp_extract(html, '{_TITLE_RE}', 1), ''),"
+        f" regexp_replace(coalesce(html, ''), '{_TAG_RE}', ' ', 'g'))"
+    )
+    + ", ' ') AS text FROM pages",
 )
 def page_fields_concat(spark, sf_dir):
-    """PRJ-1 over ``pages``: url + title (from the <title> element) joined by spaces, tokenised."""
+    """PRJ-1 over ``pages``: url, title (the <title> element) and body (the html without tags), through the whole chain."""
     pg = X.table(spark, sf_dir, "pages")
-    txt = T.fields_text("url", F.regexp_extract("html", _TITLE_RE, 1), F.lit(""))
-    return pg.select("page_id", F.array_join(T.split_tokens(txt), " ").alias("text"))
+    body = F.regexp_replace(F.coalesce("html", F.lit("")), _TAG_RE, " ")
+    txt = T.fields_text("url", F.regexp_extract("html", _TITLE_RE, 1), body)
+    return pg.select("page_id", F.array_join(T.tokens(txt), " ").alias("text"))
 
 
 # ---------------------------------------------------------------------------
@@ -242,19 +267,13 @@ def query_likelihood(spark, sf_dir):
 
 @register(
     "feedback_model",
-    O.with_ctes(
-        "SELECT qid, term, round(p_rm, 6) AS p_rm FROM ("
-        " SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(p_rm, 9) DESC, term) AS rk FROM prm)"
-        " WHERE rk <= 50",
-        "prm",
-    ),
+    O.with_ctes("SELECT qid, term, round(p_rm, 6) AS p_rm FROM prm", "prm"),
 )
 def feedback_model(spark, sf_dir):
-    """AGG-10, reported as the 50 most probable terms per query (a top-k report)."""
+    """AGG-10 over the whole vocabulary of every query."""
     qs, m = _models(spark, sf_dir)
     p_rm = fb.feedback_model(fb.query_likelihood(query_term_freq(qs), m), m)
-    best = top_k(p_rm, "qid", [F.desc(F.round("p_rm", 9)), F.asc("term")], 50)
-    return best.select("qid", "term", r6("p_rm").alias("p_rm"))
+    return p_rm.select("qid", "term", r6("p_rm").alias("p_rm"))
 
 
 @register(
@@ -294,17 +313,17 @@ def expansions(spark, sf_dir):
     O.with_ctes("SELECT qid, rk, term, round(sim, 6) AS sim FROM exps", "exps"),
 )
 def expansion_blocked(spark, sf_dir):
-    """ML-2 with many small blocks (8 queries x 100 words): the block-local top-K
-    must give exactly the same expansions as one block."""
+    """ML-2 with many small blocks (8 queries x a seventh of the words): the
+    block-local top-K must give exactly the same expansions as one block."""
     qtf = query_term_freq(X.queries(spark, sf_dir))
     vec = X.vectors(spark, sf_dir)
-    e = ex.expand(vec, ex.centroids(qtf, vec), Params().top_k, query_block=8, vocab_block_rows=100)
+    e = ex.expand(vec.repartition(7), ex.centroids(qtf, vec), Params().top_k, slice_bytes=4096)
     return e.select("qid", "rk", "term", r6("sim").alias("sim"))
 
 
 @register(
     "expansion_model",
-    O.with_ctes("SELECT qid, term, round(r, 6) AS r FROM rm", "rm"),
+    O.with_ctes("SELECT qid, term, round(r, 6) AS r FROM rm", "rm", extra=O.EMBEDDING),
 )
 def expansion_model(spark, sf_dir):
     fx = X.Fixtures(spark, sf_dir)
@@ -318,7 +337,7 @@ def expansion_model(spark, sf_dir):
 
 @register(
     "rerank_embeddings",
-    O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b"),
+    O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b", extra=O.EMBEDDING),
 )
 def rerank_embeddings(spark, sf_dir):
     fx = X.Fixtures(spark, sf_dir)
@@ -388,6 +407,76 @@ def ndcg_trec_order(spark, sf_dir):
     return t.select("qid", "cutoff", r6("ndcg").alias("ndcg"))
 
 
+@register(
+    "ndcg_trec_mean",
+    O.with_ctes(
+        "SELECT cutoff, round(avg(ndcg), 6) AS ndcg, count(*) AS n_queries FROM trec GROUP BY cutoff", "trec", extra=O.run_of("run_a")
+    ),
+)
+def ndcg_trec_mean(spark, sf_dir):
+    """PIPE-5: the means that the documented command prints."""
+    fx = X.Fixtures(spark, sf_dir)
+    t = ev.trec_mean(ev.evaluate_trec(_feedback_run(spark, sf_dir, fx), fx.qrels()))
+    return t.select("cutoff", r6("ndcg").alias("ndcg"), "n_queries")
+
+
+@register(
+    "metrics_roundtrip",
+    O.with_ctes(
+        "SELECT qid, stage, cutoff, round(ndcg, 6) AS ndcg FROM perq UNION ALL SELECT NULL, stage, cutoff, round(ndcg, 6) FROM meanq",
+        "perq",
+        "meanq",
+        extra=O.run_of("run_a"),
+    ),
+)
+def metrics_roundtrip(spark, sf_dir):
+    """SNK-3: the metric tables as written and read back; the mean has no qid."""
+    from relmod.session import scratch_dir
+
+    fx = X.Fixtures(spark, sf_dir)
+    path = scratch_dir(spark, "metrics")
+    TF.write_metrics(*P.evaluate(_feedback_run(spark, sf_dir, fx), fx.candidates(), fx.qrels()), path)
+    per_q, mean = TF.read_metrics(spark, path)
+    cols = ("qid", "stage", "cutoff", r6("ndcg").alias("ndcg"))
+    return per_q.select(*cols).unionByName(mean.withColumn("qid", F.lit(None).cast("long")).select(*cols))
+
+
+#: Candidates of at least so many shared terms make up a run in which some queries are missing.
+RUN_MIN_SCORE = 12
+
+
+@register(
+    "skipped_queries",
+    O.with_ctes(
+        "SELECT DISTINCT q.qid, q.qid IN (SELECT qid FROM cand WHERE score >= {n}) AS in_run,"
+        " q.qid IN (SELECT qid FROM cand WHERE doc_id % 2 = 0) AS in_candidates FROM qrels q"
+        " WHERE NOT (q.qid IN (SELECT qid FROM cand WHERE score >= {n})"
+        " AND q.qid IN (SELECT qid FROM cand WHERE doc_id % 2 = 0))".format(n=RUN_MIN_SCORE),
+        "cand",
+        "qrels",
+    ),
+)
+def skipped_queries(spark, sf_dir):
+    """FLT-5, JOIN-14: gold queries without a run or without candidates, on lists that lack some of both."""
+    fx = X.Fixtures(spark, sf_dir)
+    cand = fx.candidates()
+    return ev.skipped_queries(cand.filter(F.col("score") >= RUN_MIN_SCORE), cand.filter("doc_id % 2 = 0"), fx.qrels())
+
+
+@register(
+    "missing_documents",
+    O.with_ctes(
+        "SELECT DISTINCT c.qid, c.doc_id FROM cand c JOIN documents d ON d.doc_id = c.doc_id WHERE d.lang IS NOT DISTINCT FROM 'en'",
+        "cand",
+    ),
+)
+def missing_documents(spark, sf_dir):
+    """JOIN-3, D15: candidates whose document a collection without the English ones lacks."""
+    fx = X.Fixtures(spark, sf_dir)
+    english = X.table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id")
+    return P.missing_documents(fx.queries(), fx.candidates(), fx.collection().join(english, "doc_id", "left_anti"))
+
+
 def _sweep(spark, sf_dir, settings):
     fx = X.Fixtures(spark, sf_dir)
     m = P.sweep_embeddings(fx.queries(), fx.candidates(), fx.collection(), fx.vectors(), fx.qrels(), settings)
@@ -400,13 +489,13 @@ _SWEEP_SELECT = (
 )
 
 
-@register("sweep_mu", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra=O.sweep_of(MU_SWEEP)))
+@register("sweep_mu", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra={**O.sweep_of(MU_SWEEP), **O.EMBEDDING}))
 def sweep_mu(spark, sf_dir):
     """PIPE-6: mu in {100, 200, 350, 500} for Task 2.1 in one job."""
     return _sweep(spark, sf_dir, MU_SWEEP)
 
 
-@register("sweep_lambda", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra=O.sweep_of(LAMBDA_SWEEP)))
+@register("sweep_lambda", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra={**O.sweep_of(LAMBDA_SWEEP), **O.EMBEDDING}))
 def sweep_lambda(spark, sf_dir):
     """PIPE-7: lambda in {0.2, 0.5, 0.7} for Task 2.2 in one job."""
     return _sweep(spark, sf_dir, LAMBDA_SWEEP)
@@ -506,6 +595,126 @@ def text_roundtrip(spark, sf_dir):
     return out
 
 
+def _clean(c) -> Column:
+    return F.regexp_replace(F.col(c), _SANITIZE, " ")
+
+
+def _messy(spark, path: str, rows: DataFrame, line: Column, again: Column, junk: tuple[str, ...]) -> str:
+    """Writes ``line`` of every row, then ``again`` (null: none); between the two, header, blank and malformed lines."""
+    first = rows.select(F.lit(0).alias("part"), F.col("key"), line.alias("value"))
+    odd = spark.createDataFrame([(1, i, v) for i, v in enumerate(("[query_id]\theader again", "", " \t ", *junk))], "part int, key long, value string")
+    last = rows.select(F.lit(2).alias("part"), F.col("key"), again.alias("value")).filter("value IS NOT NULL")
+    TF.write_lines(first.unionByName(odd).unionByName(last), path, ["part", "key"])
+    return path
+
+
+def _messy_queries(spark, sf_dir: str) -> str:
+    from relmod.session import scratch_dir
+
+    rows = X.queries(spark, sf_dir).select(F.col("qid").alias("key"), "qid", _clean("text").alias("text"))
+    line = F.concat_ws("\t", F.col("qid").cast("string"), F.concat(F.lit(" "), "text"))
+    again = F.when(F.col("qid") % 3 == 0, F.concat_ws("\t", F.col("qid").cast("string"), F.concat(F.lit("later "), "text")))
+    return _messy(spark, scratch_dir(spark, "queries"), rows, line, again, ("1\ttoo\tmany", "none"))
+
+
+def _rstrip_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, '{O.WHITESPACE_CLASS}$', '')"
+
+
+@register(
+    "read_queries",
+    "SELECT CAST(item_id AS VARCHAR) AS qid,"
+    f" {_rstrip_sql('CASE WHEN item_id % 3 = 0 THEN ' + chr(39) + 'later ' + chr(39) + ' ELSE ' + chr(39) + ' ' + chr(39) + ' END || ' + _clean_sql('text'))}"
+    " AS text FROM benchmark",
+)
+def read_queries(spark, sf_dir):
+    """SRC-1: repeated ids (the later line wins), a header in the middle, blank and malformed lines."""
+    return TF.read_queries(spark, _messy_queries(spark, sf_dir))
+
+
+@register("malformed_lines", "SELECT * FROM (VALUES ('1' || chr(9) || 'too' || chr(9) || 'many', 3), ('none', 1)) t(line, n_fields)")
+def malformed_lines(spark, sf_dir):
+    """The lines that the queries' reader leaves out for their number of fields."""
+    return TF.malformed_lines(spark, _messy_queries(spark, sf_dir), "queries")
+
+
+def _candidate_file(spark, sf_dir: str, sep: str) -> str:
+    from relmod.session import scratch_dir
+
+    rows = X.candidates(spark, sf_dir).withColumn("key", F.col("qid") * 1000 + F.col("pos"))
+    line = F.concat_ws(sep, "qid", "doc_id", "score")
+    return _messy(spark, scratch_dir(spark, "candidates"), rows, line, F.when(F.col("pos") == 2, line), ("7\tonly-two", "a b c d"))
+
+
+_CANDIDATE_ROWS = (
+    "SELECT {qid} AS qid, CAST(doc_id AS VARCHAR) AS doc_id, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY part, pos) AS INTEGER) AS pos"
+    " FROM (SELECT 0 AS part, * FROM cand UNION ALL SELECT 2, * FROM cand WHERE pos = 2)"
+)
+
+
+@register("read_candidates", O.with_ctes(_CANDIDATE_ROWS.format(qid="CAST(qid AS VARCHAR)"), "cand"))
+def read_candidates(spark, sf_dir):
+    """SRC-2, AGG-4: file order within a query, repeated lines kept."""
+    return TF.read_candidates(spark, _candidate_file(spark, sf_dir, "\t"))
+
+
+@register("read_scoring_candidates", O.with_ctes(_CANDIDATE_ROWS.format(qid="CAST(qid AS INTEGER)"), "cand"))
+def read_scoring_candidates(spark, sf_dir):
+    """SRC-6, PRJ-2: the evaluation's reader, by white space and with integer ids."""
+    return TF.read_candidates(spark, _candidate_file(spark, sf_dir, "  "), scoring=True)
+
+
+@register(
+    "read_collection",
+    f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'u' || doc_id AS url, 't ' || coalesce(lang, '') AS title,"
+    f" CASE WHEN doc_id % 4 = 0 THEN 'second' ELSE regexp_replace('b' || {_clean_sql('text')}, '{O.WHITESPACE_CLASS}$', '') END AS body FROM documents",
+)
+def read_collection(spark, sf_dir):
+    """SRC-3: four fields, a repeated document's last line wins, no header line."""
+    from relmod.session import scratch_dir
+
+    rows = X.table(spark, sf_dir, "documents").withColumn("key", F.col("doc_id"))
+    front = [F.col("doc_id").cast("string"), F.concat(F.lit("u"), F.col("doc_id").cast("string")), F.concat(F.lit("t "), F.coalesce("lang", F.lit("")))]
+    line = F.concat_ws("\t", *front, F.concat(F.lit("b"), F.coalesce(_clean("text"), F.lit(""))))
+    again = F.when(F.col("doc_id") % 4 == 0, F.concat_ws("\t", *front, F.lit("second")))
+    return TF.read_collection(spark, _messy(spark, scratch_dir(spark, "docs"), rows, line, again, ("5\tu\tt", "5\tu\tt\tb\tx")))
+
+
+@register(
+    "read_qrels",
+    O.with_ctes(
+        "SELECT CAST(qid AS INTEGER) AS qid, CAST(doc_id AS VARCHAR) AS doc_id, CAST(CASE WHEN doc_id % 5 = 0 THEN 3 ELSE relevance END AS INTEGER) AS relevance FROM qrels",
+        "qrels",
+    ),
+)
+def read_qrels(spark, sf_dir):
+    """SRC-4, PRJ-2: judgements by white space; the later line of a pair wins."""
+    from relmod.session import scratch_dir
+
+    rows = X.qrels(spark, sf_dir).withColumn("key", F.col("qid") * 1_000_000 + F.col("doc_id"))
+    line = F.concat_ws(" ", "qid", "doc_id", "relevance", F.lit("0"))
+    again = F.when(F.col("doc_id") % 5 == 0, F.concat_ws("\t", "qid", "doc_id", F.lit("3"), F.lit("0")))
+    return TF.read_qrels(spark, _messy(spark, scratch_dir(spark, "qrels"), rows, line, again, ("1 2 3", "1 2 3 4 5")))
+
+
+@register(
+    "read_run",
+    O.with_ctes(
+        "SELECT CAST(qid AS INTEGER) AS qid, CAST(doc_id AS VARCHAR) AS doc_id, pos AS rank, CASE WHEN pos = 3 THEN -1.0 ELSE score END AS score FROM cand",
+        "cand",
+    ),
+)
+def read_run(spark, sf_dir):
+    """SRC-5, SNK-1, PRJ-4: run lines; the later line of a rank wins."""
+    from relmod.session import scratch_dir
+
+    rows = X.candidates(spark, sf_dir).withColumn("key", F.col("qid") * 1000 + F.col("pos")).withColumn("rank", F.col("pos"))
+    lines = TF.run_lines(rows).select(F.col("qid").alias("_q"), F.col("rank").alias("_r"), "line")
+    rows = rows.join(lines, (F.col("qid") == F.col("_q")) & (F.col("rank") == F.col("_r")))
+    again = F.when(F.col("pos") == 3, F.concat_ws(" ", "qid", F.lit("Q0"), "doc_id", "rank", F.lit("-1.0"), F.lit("runid1")))
+    return TF.read_run(spark, _messy(spark, scratch_dir(spark, "run"), rows, F.col("line"), again, ("1 Q0 2 3 4", "x")))
+
+
 @register(
     "vector_file_scan",
     O.with_ctes(
@@ -525,10 +734,10 @@ def vector_file_scan(spark, sf_dir):
     )
     body.write.mode("overwrite").text(f"{base}/glove")
     n, dim = vec.select(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    head = spark.createDataFrame([(f"{n} {dim}",)], "value string").withColumn("_o", F.lit(0))
-    head.unionByName(body.withColumn("_o", F.lit(1))).repartitionByRange("_o").sortWithinPartitions("_o").select(
-        "value"
-    ).write.mode("overwrite").text(f"{base}/w2v")
+    # several files, of which the first has the table's one header
+    head = spark.createDataFrame([("", f"{n} {dim}")], "_o string, value string")
+    lines = head.unionByName(body.select(F.concat(F.lit("w"), "value").alias("_o"), "value"))
+    lines.repartitionByRange(5, "_o").sortWithinPartitions("_o").select("value").write.mode("overwrite").text(f"{base}/w2v")
     out = None
     for fmt, sub in (("glove", "glove"), ("word2vec", "w2v")):
         e = TF.read_embeddings(spark, f"{base}/{sub}", fmt)
@@ -543,23 +752,70 @@ def vector_file_scan(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Task 1: local vectors (ML-1, PIPE-1); training has no SQL form -> rows-only
+# Task 1: local contexts (ML-1, PIPE-1)
 # ---------------------------------------------------------------------------
-@register("rerank_local")
+_LOCAL = {**O.EMBEDDING, **O.LOCAL}
+
+
+@register("local_expansions", O.with_ctes("SELECT qid, rk, term, round(sim, 6) AS sim FROM exps", "exps", extra=_LOCAL))
+def local_expansions(spark, sf_dir):
+    qs, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS)
+    e = lc.local_expansions(m, query_term_freq(qs), Params().top_k)
+    return e.select("qid", "rk", "term", r6("sim").alias("sim"))
+
+
+@register(
+    "rerank_local",
+    O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b", extra=_LOCAL),
+)
 def rerank_local(spark, sf_dir):
-    run, _ = P.rerank_local(X.queries(spark, sf_dir), X.candidates(spark, sf_dir), X.collection(spark, sf_dir))
+    fx = X.Fixtures(spark, sf_dir)
+    run, _ = P.rerank_local(fx.queries(), fx.candidates(), fx.collection())
     return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
 
 
+@register("sweep_local", O.with_ctes(_SWEEP_SELECT, "meanq", "settings", extra={**O.sweep_of(MU_SWEEP), **_LOCAL}))
+def sweep_local(spark, sf_dir):
+    """PIPE-6 for Task 1."""
+    fx = X.Fixtures(spark, sf_dir)
+    m = P.sweep_local(fx.queries(), fx.candidates(), fx.collection(), fx.qrels(), MU_SWEEP)
+    return m.select("setting_id", "mu", "lam", "stage", "cutoff", r6("ndcg").alias("ndcg"))
+
+
 # ---------------------------------------------------------------------------
-# stemming (SCL-4): no stemmer exists in the SQL engine -> rows-only
+# stemming (SCL-4): a (word, stem) table is an input; here it is made of the
+# documents' own words, a word's stem being the word without its last s if the
+# documents have that, too
 # ---------------------------------------------------------------------------
-@register("stem_lexicon")
+_WORDS_SQL = f"(SELECT DISTINCT unnest({O.words_sql('text')}) AS word FROM documents)"
+_STEMS_SQL = (
+    f"SELECT a.word, coalesce(b.word, a.word) AS stem FROM {_WORDS_SQL} a LEFT JOIN {_WORDS_SQL} b"
+    " ON a.word LIKE '%s' AND b.word = left(a.word, length(a.word) - 1)"
+)
+
+
+@register("stem_lexicon", _STEMS_SQL)
 def stem_lexicon(spark, sf_dir):
     """(word, stem) for every distinct normalised whitespace word of the documents."""
-    from relmod.functions.stem import stem_lexicon as lexicon
-    from relmod.params import WHITESPACE_CLASS
-
     d = X.table(spark, sf_dir, "documents")
-    words = d.select(F.explode(F.split(T.normalize("text"), WHITESPACE_CLASS)).alias("word")).filter(F.col("word") != "")
-    return lexicon(words)
+    words = d.select(F.explode(F.split(T.normalize("text"), WHITESPACE_CLASS)).alias("word")).filter(F.col("word") != "").distinct()
+    shorter = F.when(F.endswith("word", F.lit("s")), F.expr("left(word, length(word) - 1)"))
+    known = words.select(F.col("word").alias("stem"))
+    return words.withColumn("_stem", shorter).join(known, F.col("_stem") == F.col("stem"), "left").select(
+        "word", F.coalesce("stem", "word").alias("stem")
+    )
+
+
+@register(
+    "stemmed_documents",
+    f"WITH stems AS ({_STEMS_SQL}), w AS (SELECT doc_id, {O.words_sql('text')} AS words FROM documents),"
+    " p AS (SELECT doc_id, i, words[i] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)),"
+    " s AS (SELECT doc_id, list(stem ORDER BY i) AS stems FROM p JOIN stems USING (word) GROUP BY doc_id)"
+    f" SELECT d.doc_id, array_to_string({O.split_sql('array_to_string(' + O.without_stops_sql('coalesce(s.stems, [])') + ', ' + chr(39) + ' ' + chr(39) + ')')}, ' ') AS text"
+    " FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id",
+)
+def stemmed_documents(spark, sf_dir):
+    """SCL-4 in the chain: the documents' tokens with every word's stem."""
+    d = X.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = stemmed_tokens(d, "doc_id", "text", stem_lexicon(spark, sf_dir), TextOptions(stemming=True))
+    return out.select("doc_id", F.array_join("tokens", " ").alias("text"))

@@ -30,25 +30,33 @@ def _q(s: str) -> str:
 _STOP = "[" + ", ".join(f"'{_q(w)}'" for w in STOP_WORDS) + "]"
 
 
-def normalize_sql(expr: str) -> str:
-    return (
-        f"regexp_replace(translate(lower(coalesce({expr}, '')), '{_q(PUNCTUATION)}', ''), "
-        f"'{DIGITS_PATTERN}', '{NUM_TOKEN}', 'g')"
-    )
+def normalize_sql(expr: str, off: str = "") -> str:
+    t = f"coalesce({expr}, '')"
+    t = t if off == "lowercase" else f"lower({t})"
+    t = t if off == "punctuation" else f"translate({t}, '{_q(PUNCTUATION)}', '')"
+    return t if off == "digits" else f"regexp_replace({t}, '{DIGITS_PATTERN}', '{NUM_TOKEN}', 'g')"
 
 
-def preprocess_sql(expr: str) -> str:
-    return (
-        f"array_to_string(list_filter(regexp_split_to_array({normalize_sql(expr)}, '{WHITESPACE_CLASS}'), "
-        f"lambda w: w <> '' AND NOT list_contains({_STOP}, w)), ' ')"
-    )
+def words_sql(expr: str, off: str = "") -> str:
+    return f"list_filter(regexp_split_to_array({normalize_sql(expr, off)}, '{WHITESPACE_CLASS}'), lambda w: w <> '')"
 
 
-def tokens_sql(expr: str) -> str:
-    return (
-        f"list_filter(regexp_split_to_array(lower({preprocess_sql(expr)}), '{_q(DELIMITER_CLASS)}'), "
-        f"lambda x: x <> '')"
-    )
+def without_stops_sql(words: str) -> str:
+    return f"list_filter({words}, lambda w: NOT list_contains({_STOP}, w))"
+
+
+def preprocess_sql(expr: str, off: str = "") -> str:
+    words = words_sql(expr, off)
+    return f"array_to_string({words if off == 'stopwords' else without_stops_sql(words)}, ' ')"
+
+
+def split_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '{_q(DELIMITER_CLASS)}'), lambda x: x <> '')"
+
+
+def tokens_sql(expr: str, off: str = "") -> str:
+    """The tokens of a text, with the switch named by ``off`` switched off."""
+    return split_sql(preprocess_sql(expr, off))
 
 
 MU = DEFAULT_MU
@@ -120,9 +128,18 @@ cte(
     "termcf",
 )
 
-# ---- candidate models (Task 0 text = url + title + body = '  ' + text: same tokens) ----
+# ---- candidate models (Task 0 text = url + title + body) ----
 cte("cset", "SELECT DISTINCT qid, doc_id FROM cand", "cand")
-cte("ctok", "SELECT c.qid, c.doc_id, d.tokens FROM cset c JOIN dtok d USING (doc_id)", "cset", "dtok")
+_URL = "'https://' || coalesce(source, '') || '.example.org/' || coalesce(lang, '')"
+_TITLE = "regexp_extract(coalesce(text, ''), '^[^.\\n]*')"
+_FIELDS = {
+    "feedback": f"concat_ws(' ', {_URL}, {_TITLE}, coalesce(text, ''))",
+    "embedding": f"concat_ws(' ', {_TITLE}, coalesce(text, ''))",
+}
+cte("ftok", f"SELECT doc_id, {tokens_sql(_FIELDS['feedback'])} AS tokens FROM documents")
+cte("ctok", "SELECT c.qid, c.doc_id, d.tokens FROM cset c JOIN ftok d USING (doc_id)", "cset", "ftok")
+#: For ``with_ctes``: the embedding tasks read title and body only.
+EMBEDDING = {"ftok": (f"SELECT doc_id, {tokens_sql(_FIELDS['embedding'])} AS tokens FROM documents", ())}
 cte("clen", "SELECT qid, doc_id, CAST(len(tokens) AS BIGINT) AS doc_len FROM ctok", "ctok")
 cte(
     "ctf",
@@ -421,6 +438,34 @@ def with_ctes(select: str, *roots: str, extra: dict | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({table[n][0]})" for n in order) + "\n" + select
 
 
+# ---- local contexts (Task 1) --------------------------------------------------
+cte(
+    "cpos",
+    "SELECT qid, doc_id, i, tokens[i] AS term FROM (SELECT qid, doc_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM ctok)",
+    "ctok",
+)
+cte(
+    "ctx",
+    "SELECT a.qid, a.term AS t, b.term AS w, count(*) AS n FROM cpos a JOIN (SELECT DISTINCT qid, term FROM qtf) q"
+    " ON q.qid = a.qid AND q.term = a.term JOIN cpos b ON b.qid = a.qid AND b.doc_id = a.doc_id"
+    " AND b.i BETWEEN a.i - 20 AND a.i + 20 AND b.i <> a.i GROUP BY a.qid, a.term, b.term",
+    "cpos",
+    "qtf",
+)
+#: For ``with_ctes``: expansions from local contexts.
+LOCAL = {
+    "exps": (
+        "SELECT qid, CAST(rk AS INTEGER) AS rk, term, sim FROM ("
+        " SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, term) AS rk FROM ("
+        "  SELECT x.qid, x.w AS term, round(sum(q.qtf * greatest(ln(x.n * CAST(bw.n AS DOUBLE)"
+        "   / (CAST(bt.cf AS DOUBLE) * bw.cf)), 0)), 9) AS sim"
+        "  FROM ctx x JOIN bg bw ON bw.qid = x.qid AND bw.term = x.w JOIN bg bt ON bt.qid = x.qid AND bt.term = x.t"
+        "  JOIN qtf q ON q.qid = x.qid AND q.term = x.t GROUP BY x.qid, x.w) WHERE sim > 0) WHERE rk <= " + str(K),
+        ("ctx", "bg", "qtf"),
+    )
+}
+
+
 def run_of(cte_name: str) -> dict:
     """``run_x`` / ``settings_ids`` for evaluating a single (non-sweep) run CTE."""
     return {

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from relmod.operators import expansion as ex
 from relmod.operators import evaluate as ev
 from relmod.operators import feedback as fb
-from relmod.operators import local_w2v as lw
-from relmod.operators.local_w2v import W2VParams
+from relmod.operators import local_context as lc
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import rank_within_auto
-from relmod.params import Params
+from relmod.params import Params, checked_mu
+from relmod.session import materialize
 
 # Task 0 reads url, title and body; the embedding tasks read title and body (PRJ-1).
 FEEDBACK_FIELDS = ("url", "title", "body")
@@ -23,20 +23,23 @@ RANK_DIGITS = 9
 
 
 def rank_run(scores: DataFrame, keys=("qid",)) -> DataFrame:
-    """(keys..., doc_id, rank, score): best first, 1-based (WIN-1)."""
+    """(keys..., doc_id, rank, score): best first, 1-based (WIN-1). The scores are stored before they are ranked."""
     return rank_within_auto(
         scores, list(keys), [F.desc(F.round("score", RANK_DIGITS)), F.asc("doc_id")], "rank"
     ).withColumn("rank", F.col("rank").cast("int"))
 
 
 def rerank_feedback(
-    queries: DataFrame, candidates: DataFrame, collection: DataFrame, params: Params = Params()
+    queries: DataFrame, candidates: DataFrame, collection: DataFrame, params: Params = Params(), strict: bool = False
 ) -> DataFrame:
     """Task 0 (PIPE-0): re-rank every query's candidates by 1 - KL against its feedback model.
 
     ``queries`` (qid, text), ``candidates`` (qid, doc_id, ...), ``collection``
-    (doc_id, url, title, body). Returns (qid, doc_id, rank, score).
+    (doc_id, url, title, body). Returns (qid, doc_id, rank, score). With
+    ``strict``, incomplete inputs raise instead of being left out.
     """
+    if strict:
+        check_inputs(queries, candidates, collection)
     # JOIN-2: only listed queries are ranked; candidates of unknown queries are ignored
     candidates = candidates.join(queries.select("qid"), "qid", "left_semi")
     models = CandidateModels(candidates, collection, FEEDBACK_FIELDS, params)
@@ -47,7 +50,9 @@ def rerank_feedback(
             raise ValueError("query terms absent from all candidates (oov='error')")
     lik = fb.query_likelihood(qtf, models)
     p_rm = fb.feedback_model(lik, models)
-    return rank_run(fb.score_a(p_rm, models)).select("qid", "doc_id", "rank", "score")
+    run = rank_run(fb.score_a(p_rm, models)).select("qid", "doc_id", "rank", "score")
+    models.unpersist()
+    return run
 
 
 def _embedding_models(queries, candidates, collection, params):
@@ -68,16 +73,20 @@ def rerank_embeddings(
     collection: DataFrame,
     vectors: DataFrame,
     params: Params = Params(),
+    strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Tasks 2.1 / 2.2 (PIPE-2, 3): expansion from given word vectors, then Score B.
 
     ``vectors`` is (term, vec array<double|float>) from ``read_embeddings`` (GloVe
     or word2vec text) or any table. Returns (run, expansions).
     """
+    if strict:
+        check_inputs(queries, candidates, collection)
     models, qtf = _embedding_models(queries, candidates, collection, params)
-    exps = ex.expand(vectors, ex.centroids(qtf, vectors, params), params.top_k)
+    exps = materialize(ex.expand(vectors, ex.centroids(qtf, vectors, params), params.top_k))
     rm = ex.relevance_model(ex.expansion_model(exps, qtf, models), params.lam)
     run = rank_run(ex.score_b(rm, models)).select("qid", "doc_id", "rank", "score")
+    models.unpersist()
     return run, exps
 
 
@@ -102,7 +111,7 @@ def sweep_from_expansions(
     lambda and are computed once; the setting id is a grouping key next to
     qid everywhere downstream. Returns (setting_id, mu, lam, stage, cutoff, ndcg).
     """
-    settings = [(float(m), float(l)) for m, l in settings]
+    settings = [(checked_mu(m), float(l)) for m, l in settings]
     models, qtf = _embedding_models(queries, candidates, collection, params)
     em = ex.expansion_model(expansions, qtf, models)
     grid = F.array(
@@ -112,6 +121,7 @@ def sweep_from_expansions(
     rm = ex.relevance_model(ems, F.col("lam"))
     scores = ex.score_b(rm, models, settings=[(i, m) for i, (m, _) in enumerate(settings)])
     run = rank_run(scores, keys=("setting_id", "qid"))
+    models.unpersist()
     _, mean = ev.evaluate(run, candidates, qrels, keys=["setting_id"], cutoffs=cutoffs, settings=[(i,) for i in range(len(settings))])
     info = F.array(*[F.struct(F.lit(m).alias("mu"), F.lit(l).alias("lam")) for m, l in settings])
     return mean.select(
@@ -130,28 +140,52 @@ def sweep_embeddings(queries, candidates, collection, vectors, qrels, settings,
     return sweep_from_expansions(queries, candidates, collection, exps, qrels, settings, params)
 
 
+def _local_expansions(queries, candidates, collection, params, window):
+    models, qtf = _embedding_models(queries, candidates, collection, params)
+    return models, qtf, materialize(lc.local_expansions(models, qtf, params.top_k, window))
+
+
 def rerank_local(
-    queries: DataFrame,
-    candidates: DataFrame,
-    collection: DataFrame,
-    params: Params = Params(),
-    w2v: W2VParams = W2VParams(),
+    queries: DataFrame, candidates: DataFrame, collection: DataFrame, params: Params = Params(), window: int = lc.WINDOW
 ) -> tuple[DataFrame, DataFrame]:
-    """Task 1 (PIPE-1): vectors trained per query on its candidates, expansion, Score B.
+    """Task 1 (PIPE-1): expansion from the contexts of a query's own candidates, Score B.
 
-    Returns (run, expansions). Training is seeded, so a run repeats exactly.
+    Returns (run, expansions).
     """
-    models, qtf = _embedding_models(queries, candidates, collection, params)
-    cand_tokens = models.attach(models.cset, models.doc_tokens, "doc_id")
-    exps = lw.local_expansions(cand_tokens, qtf, params.top_k, w2v).persist()
+    models, qtf, exps = _local_expansions(queries, candidates, collection, params, window)
     rm = ex.relevance_model(ex.expansion_model(exps, qtf, models), params.lam)
     run = rank_run(ex.score_b(rm, models)).select("qid", "doc_id", "rank", "score")
+    models.unpersist()
     return run, exps
 
 
-def sweep_local(queries, candidates, collection, qrels, settings, params: Params = Params(), w2v: W2VParams = W2VParams()):
-    """PIPE-6 for Task 1: local expansions trained once, then every (mu, lambda) setting."""
-    models, qtf = _embedding_models(queries, candidates, collection, params)
-    cand_tokens = models.attach(models.cset, models.doc_tokens, "doc_id")
-    exps = lw.local_expansions(cand_tokens, qtf, params.top_k, w2v).persist()
+def sweep_local(queries, candidates, collection, qrels, settings, params: Params = Params(), window: int = lc.WINDOW):
+    """PIPE-6 for Task 1: local expansions counted once, then every (mu, lambda) setting."""
+    models, _, exps = _local_expansions(queries, candidates, collection, params, window)
+    models.unpersist()
     return sweep_from_expansions(queries, candidates, collection, exps, qrels, settings, params)
+
+
+# ---------------------------------------------------------------------------
+# what a run leaves out
+# ---------------------------------------------------------------------------
+def missing_documents(queries: DataFrame, candidates: DataFrame, collection: DataFrame) -> DataFrame:
+    """(qid, doc_id) of listed queries' candidates that the collection lacks (D15)."""
+    listed = candidates.join(queries.select("qid"), "qid", "left_semi").select("qid", "doc_id").distinct()
+    return listed.join(collection.select("doc_id"), "doc_id", "left_anti").select("qid", "doc_id")
+
+
+def queries_without_candidates(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(qid): queries that no candidate names."""
+    return queries.select("qid").distinct().join(candidates.select("qid"), "qid", "left_anti")
+
+
+def check_inputs(queries: DataFrame, candidates: DataFrame, collection: DataFrame) -> None:
+    """Strict mode: raises where a query has no candidates or a candidate no document."""
+    for name, report in (
+        ("queries without candidates", queries_without_candidates(queries, candidates)),
+        ("candidates without a document", missing_documents(queries, candidates, collection)),
+    ):
+        some = report.take(3)
+        if some:
+            raise ValueError(f"{name}: {', '.join(map(str, map(tuple, some)))} ...")

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "relmod") -> SparkSession:
@@ -21,6 +22,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # tables partitioned by qid are then joined on (qid, term) without another exchange
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.maxPlanStringLength", "65536")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -36,8 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (tests, local runs) a fresh local folder is
-    created and registered.
+    as is. Only a local session may leave it unset; it gets a fresh folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -56,27 +60,37 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it holds at most ``max_rows`` rows.
+def bytes_of(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: strings and binaries by length, arrays by eight bytes an element, others eight."""
 
-    Beyond the bound the frame is returned unchanged and the join shuffles
-    (sort-merge, with AQE skew splitting). The count runs a job on the small
-    side only; callers pass sides that are cheap to count (queries, query terms).
+    def width(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        if isinstance(f.dataType, T.ArrayType):
+            return F.greatest(F.size(c), F.lit(0)) * 8 + 16
+        return F.lit(8)
+
+    row = sum((width(f) for f in df.schema.fields), F.lit(16))
+    return int(df.agg(F.sum(row.cast("long"))).first()[0] or 0)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast ``df`` only when its measured values take at most ``max_bytes``.
+
+    Beyond the bound the frame is returned unchanged and Spark chooses the
+    join. Measuring runs a job on the frame; callers pass sides that are cheap
+    to compute (queries, query terms, stored tables).
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bytes_of(df) <= max_bytes else df
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition before CPU-heavy text work when the input has
     fewer partitions than the cluster has task slots (e.g. a single Parquet
     row group); inputs that are already split are left alone."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
-        return df
-    return df if have >= n else df.repartition(n)
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Inputs derived from the parquet test tables (same derivation as the DuckDB oracle).
 
 * queries     = ``benchmark``: item_id as qid, text
-* collection  = ``documents``: doc_id, url='', title='', body=text
+* collection  = ``documents``: doc_id, url from source and lang, title = the
+                text up to its first full stop or line end, body = text
 * candidates  = per query the ``depth`` documents with most distinct shared
                 terms (at least one), ties by doc_id; score = that count; pos = rank
 * qrels       = 2 if a token 5-gram of the query occurs in the document; else 1 if
@@ -24,6 +25,8 @@ from relmod.params import Params
 from relmod.session import broadcast_if_small, materialize, spread
 
 GRAM = 5
+# A document's title: its text up to the first full stop or line end.
+FIRST_WORDS = r"^[^.\n]*"
 SHARE_NUM, SHARE_DEN = 3, 10  # 30 %
 
 
@@ -37,7 +40,10 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.lit("").alias("url"), F.lit("").alias("title"), F.col("text").alias("body")
+        "doc_id",
+        F.concat(F.lit("https://"), F.coalesce("source", F.lit("")), F.lit(".example.org/"), F.coalesce("lang", F.lit(""))).alias("url"),
+        F.regexp_extract(F.coalesce("text", F.lit("")), FIRST_WORDS, 0).alias("title"),
+        F.col("text").alias("body"),
     )
 
 
@@ -61,7 +67,7 @@ def shared_terms(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
     qt = query_tokens(spark, sf_dir, params).select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
     nq = qt.groupBy("qid").agg(F.count(F.lit(1)).alias("n_qterms"))
     dt = doc_tokens(spark, sf_dir, params).select("doc_id", F.explode(F.array_distinct("tokens")).alias("term"))
-    pairs = dt.join(broadcast_if_small(qt, params.broadcast_rows), "term")
+    pairs = dt.join(broadcast_if_small(materialize(qt), params.broadcast_bytes), "term")
     shared = pairs.groupBy("qid", "doc_id").agg(F.count(F.lit(1)).alias("n_shared"))
     return shared.join(nq, "qid")
 
@@ -93,7 +99,7 @@ def qrels(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFr
         .filter(F.size("tokens") >= GRAM)
         .select("doc_id", F.explode(_grams("tokens", GRAM)).alias("gram"))
     )
-    grade2 = dg.join(broadcast_if_small(qg, params.broadcast_rows), "gram").select("qid", "doc_id").distinct()
+    grade2 = dg.join(broadcast_if_small(materialize(qg), params.broadcast_bytes), "gram").select("qid", "doc_id").distinct()
     shared = shared_terms(spark, sf_dir, params)
     grade1 = shared.filter(F.col("n_shared") * SHARE_DEN >= F.col("n_qterms") * SHARE_NUM).select("qid", "doc_id")
     g2 = grade2.withColumn("relevance", F.lit(2))
@@ -153,7 +159,7 @@ class Fixtures:
             qt = query_tokens(self.spark, self.sf_dir, self.params).select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
             nq = qt.groupBy("qid").agg(F.count(F.lit(1)).alias("n_qterms"))
             dt = self.doc_tokens().select("doc_id", F.explode(F.array_distinct("tokens")).alias("term"))
-            pairs = dt.join(broadcast_if_small(qt, self.params.broadcast_rows), "term")
+            pairs = dt.join(broadcast_if_small(materialize(qt), self.params.broadcast_bytes), "term")
             return pairs.groupBy("qid", "doc_id").agg(F.count(F.lit(1)).alias("n_shared")).join(nq, "qid")
 
         return self._get("shared", build)
@@ -173,7 +179,7 @@ class Fixtures:
                 .select("qid", F.explode(F.array_distinct(_grams("tokens", GRAM))).alias("gram"))
             )
             dg = self.doc_tokens().filter(F.size("tokens") >= GRAM).select("doc_id", F.explode(_grams("tokens", GRAM)).alias("gram"))
-            grade2 = dg.join(broadcast_if_small(qg, self.params.broadcast_rows), "gram").select("qid", "doc_id").distinct()
+            grade2 = dg.join(broadcast_if_small(materialize(qg), self.params.broadcast_bytes), "gram").select("qid", "doc_id").distinct()
             grade1 = self.shared().filter(F.col("n_shared") * SHARE_DEN >= F.col("n_qterms") * SHARE_NUM).select("qid", "doc_id")
             g2 = grade2.withColumn("relevance", F.lit(2))
             g1 = grade1.join(grade2, ["qid", "doc_id"], "left_anti").withColumn("relevance", F.lit(1))

@@ -5,8 +5,9 @@ attach a file-order key straight after the read, and express the format
 rules as column predicates:
 
 * ``[query_id]`` header lines are skipped wherever they stand (FLT-1)
-* tab formats strip surrounding whitespace first and keep rows with exactly
-  the expected field count (FLT-2); whitespace formats skip blank lines (FLT-3)
+* blank lines are skipped (FLT-3); surrounding whitespace is stripped, and
+  lines with exactly the expected field count are kept (FLT-2). With ``strict``
+  any other line raises; ``malformed_lines`` lists them
 * duplicates: the later line wins (AGG-17), except word2vec text files
   (the first vector of a word wins)
 """
@@ -33,47 +34,67 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP, "")
 
 
-def _tab_fields(df: DataFrame, n: int) -> DataFrame:
-    parts = F.split(_strip(F.col("value")), "\t")
-    return df.filter(~F.col("value").startswith(HEADER)).withColumn("f", parts).filter(F.size("f") == n)
-
-
-def _ws_fields(df: DataFrame, n: int) -> DataFrame:
+def _fields(lines: DataFrame, n: int, sep: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(lines of exactly ``n`` fields as ``f``, the others): header and blank lines are in neither (FLT-1, 2, 3)."""
     stripped = _strip(F.col("value"))
-    return (
-        df.filter(~F.col("value").startswith(HEADER))
-        .filter(stripped != "")
-        .withColumn("f", F.split(stripped, _WS_RUN))
-        .filter(F.size("f") == n)
-    )
-
-
-def read_queries(spark: SparkSession, path: str) -> DataFrame:
+    rows = lines.filter(stripped != "")
+    if header:
+        rows = rows.filter(~F.col("value").startswith(HEADER))
+    rows = rows.withColumn("f", F.split(stripped, sep))
+    return rows.filter(F.size("f") == n), rows.filter(F.size("f") != n)
+
+
+def _checked(spark: SparkSession, path: str, n: int, sep: str, strict: bool, header: bool = True) -> DataFrame:
+    good, bad = _fields(_lines(spark, path), n, sep, header)
+    if strict:
+        some = bad.select("value").take(1)
+        if some:
+            raise ValueError(f"{path}: a line has not {n} fields: {some[0][0][:200]!r}")
+    return good
+
+
+TAB = "\t"
+#: Field count and separator of each format.
+FORMATS = {
+    "queries": (2, TAB),
+    "candidates": (3, TAB),
+    "scoring_candidates": (3, _WS_RUN),
+    "collection": (4, TAB),
+    "qrels": (4, _WS_RUN),
+    "run": (6, _WS_RUN),
+}
+
+
+def malformed_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """(line, n_fields) of the lines that a reader of ``fmt`` leaves out for their number of fields."""
+    n, sep = FORMATS[fmt]
+    _, bad = _fields(_lines(spark, path), n, sep, header=fmt != "collection")
+    return bad.select(F.col("value").alias("line"), F.size("f").alias("n_fields"))
+
+
+def read_queries(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """(qid string, text string) from ``qid<TAB>text`` lines; a repeated qid keeps its last text (SRC-1)."""
-    f = _tab_fields(_lines(spark, path), 2)
+    f = _checked(spark, path, *FORMATS["queries"], strict)
     rows = f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("text"), "line_no")
     return last_wins(rows, "qid", "line_no")
 
 
-def read_candidates(spark: SparkSession, path: str, scoring: bool = False) -> DataFrame:
+def read_candidates(spark: SparkSession, path: str, scoring: bool = False, strict: bool = False) -> DataFrame:
     """(qid, doc_id, score double, pos int): candidate lists in file order (SRC-2, SRC-6).
 
     ``scoring=False``: tab-separated, 3 fields, qid string (ranking scripts).
     ``scoring=True``: whitespace-separated, blank lines skipped, qid int (evaluation).
     Duplicates are kept; ``pos`` is the 1-based position of the line within its query.
     """
-    lines = _lines(spark, path)
-    f = _ws_fields(lines, 3) if scoring else _tab_fields(lines, 3)
+    f = _checked(spark, path, *FORMATS["scoring_candidates" if scoring else "candidates"], strict)
     qid = F.col("f")[0].cast("int") if scoring else F.col("f")[0]
     rows = f.select(qid.alias("qid"), F.col("f")[1].alias("doc_id"), F.col("f")[2].try_cast("double").alias("score"), "line_no")
     return rank_within_auto(rows, "qid", [F.asc("line_no")], "pos").withColumn("pos", F.col("pos").cast("int")).drop("line_no")
 
 
-def read_collection(spark: SparkSession, path: str) -> DataFrame:
+def read_collection(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """(doc_id, url, title, body): lines with exactly 4 tab fields after strip; last duplicate wins (SRC-3)."""
-    lines = _lines(spark, path)
-    parts = F.split(_strip(F.col("value")), "\t")
-    f = lines.withColumn("f", parts).filter(F.size("f") == 4)
+    f = _checked(spark, path, *FORMATS["collection"], strict, header=False)
     rows = f.select(
         F.col("f")[0].alias("doc_id"),
         F.col("f")[1].alias("url"),
@@ -84,13 +105,13 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
     return last_wins(rows, "doc_id", "line_no")
 
 
-def read_qrels(spark: SparkSession, path: str, columns=("qid", "doc_id", "relevance", "run")) -> DataFrame:
+def read_qrels(spark: SparkSession, path: str, columns=("qid", "doc_id", "relevance", "run"), strict: bool = False) -> DataFrame:
     """(qid int, doc_id, relevance int): whitespace judgements; last duplicate wins (SRC-4).
 
     ``columns`` names the four fields in file order; the TREC tool's order is
     ("qid", "run", "doc_id", "relevance") (D16).
     """
-    f = _ws_fields(_lines(spark, path), 4)
+    f = _checked(spark, path, *FORMATS["qrels"], strict)
     idx = {c: i for i, c in enumerate(columns)}
     rows = f.select(
         F.col("f")[idx["qid"]].cast("int").alias("qid"),
@@ -101,9 +122,9 @@ def read_qrels(spark: SparkSession, path: str, columns=("qid", "doc_id", "releva
     return last_wins(rows, ["qid", "doc_id"], "line_no")
 
 
-def read_run(spark: SparkSession, path: str) -> DataFrame:
+def read_run(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """(qid int, doc_id, rank int, score double): run lines; keyed by (qid, rank), last wins (SRC-5)."""
-    f = _ws_fields(_lines(spark, path), 6)
+    f = _checked(spark, path, *FORMATS["run"], strict)
     rows = f.select(
         F.col("f")[0].cast("int").alias("qid"),
         F.col("f")[2].alias("doc_id"),
@@ -117,20 +138,27 @@ def read_run(spark: SparkSession, path: str) -> DataFrame:
 def read_embeddings(spark: SparkSession, path: str, fmt: str = "glove") -> DataFrame:
     """(term, vec array<double>) from GloVe or word2vec text vectors (SRC-7, SRC-8, SCL-15).
 
-    GloVe: no header, a repeated word keeps its last vector. word2vec text:
-    the first line of each file is a ``count dim`` header, and a repeated word
-    keeps its first vector.
+    GloVe: no header, doubles, a repeated word keeps its last vector. word2vec
+    text: single precision, a repeated word keeps its first vector, and a
+    table has one ``count dim`` header however many files hold it: a line of
+    exactly two integers is the header where the table's other lines are
+    longer. Of one-dimensional vectors, the table's first line is.
     """
     lines = _lines(spark, path)
-    if fmt == "word2vec":
-        # one row per input file: bounded by the file count
-        firsts = lines.groupBy(F.col("line_no.f").alias("_f")).agg(F.min("line_no").alias("line_no"))
-        lines = lines.join(F.broadcast(firsts.select("line_no")), "line_no", "left_anti")
     stripped = _strip(F.col("value"))
     f = lines.filter(stripped != "").withColumn("f", F.split(stripped, _WS_RUN))
+    kind = "double"
+    if fmt == "word2vec":
+        kind = "float"
+        widest, first = f.agg(F.max(F.size("f")), F.min("line_no")).first()
+        two_integers = (F.size("f") == 2) & F.forall("f", lambda x: x.rlike(r"^\d+$"))
+        if (widest or 0) > 2:
+            f = f.filter(~two_integers)
+        elif widest is not None:
+            f = f.filter(~(two_integers & (F.col("line_no") == F.struct(*[F.lit(x).alias(n) for x, n in zip(first, "fbm")]))))
     rows = f.select(
         F.col("f")[0].alias("term"),
-        F.slice("f", 2, F.size("f") - 1).cast("array<double>").alias("vec"),
+        F.slice("f", 2, F.size("f") - 1).cast(f"array<{kind}>").alias("vec"),
         "line_no",
     )
     if fmt == "word2vec":
@@ -182,6 +210,16 @@ def write_metrics(per_query: DataFrame, mean: DataFrame, path: str) -> None:
     mean.write.mode("overwrite").parquet(f"{path}/mean")
 
 
+def read_metrics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(per_query, mean) as ``write_metrics`` wrote them."""
+    return spark.read.parquet(f"{path}/per_query"), spark.read.parquet(f"{path}/mean")
+
+
+def write_lines(df: DataFrame, path: str, order) -> None:
+    """The ``value`` column as lines; the part files read back in the order of the ``order`` columns."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
+
+
 def write_tsv(df: DataFrame, cols, path: str, header: str | None = None, order=()) -> None:
     """Write columns as tab-separated lines (fields must hold no tab or line break).
 

@@ -96,9 +96,34 @@ def test_candidates_scoring_mode(spark, tmpdir_run):
     assert rows == [(3, 1, "A"), (3, 2, "B"), (3, 3, "A")]
 
 
-def test_word2vec_header_per_file(spark, tmpdir_run):
+def test_word2vec_header_once_in_a_split_table(spark, tmpdir_run):
     d = f"{tmpdir_run}/w2v_dir"
-    _write(f"{d}/part-0.txt", "2 2\na 1 2\nb 3 4\n")
-    _write(f"{d}/part-1.txt", "1 2\nc 5 6\n")
+    _write(f"{d}/part-0.txt", "4 2\na 1 2\n7 3 4\n")
+    _write(f"{d}/part-1.txt", "c 5 6\nd 7 8\n")
     rows = {r.term: r.vec for r in TF.read_embeddings(spark, d, "word2vec").collect()}
-    assert rows == {"a": [1.0, 2.0], "b": [3.0, 4.0], "c": [5.0, 6.0]}
+    assert rows == {"a": [1.0, 2.0], "7": [3.0, 4.0], "c": [5.0, 6.0], "d": [7.0, 8.0]}
+
+
+def test_word2vec_of_one_dimension(spark, tmpdir_run):
+    p = f"{tmpdir_run}/w2v_1d.txt"
+    _write(p, "2 1\n5 3\n6 4\n")
+    assert {r.term: r.vec for r in TF.read_embeddings(spark, p, "word2vec").collect()} == {"5": [3.0], "6": [4.0]}
+
+
+def test_word2vec_without_header_and_in_single_precision(spark, tmpdir_run):
+    p = f"{tmpdir_run}/w2v_plain.txt"
+    _write(p, "a 0.1 2\nb 3 4\n")
+    df = TF.read_embeddings(spark, p, "word2vec")
+    assert df.schema["vec"].dataType.elementType.simpleString() == "float"
+    assert df.count() == 2
+
+
+def test_strict_readers_name_the_malformed_line(spark, tmpdir_run):
+    import pytest
+
+    p = f"{tmpdir_run}/bad.tsv"
+    _write(p, "1\tone\n\n[query_id]\tx\ty\n2\ttwo\tthree\n")
+    assert TF.read_queries(spark, p).count() == 1
+    assert [tuple(r) for r in TF.malformed_lines(spark, p, "queries").collect()] == [("2\ttwo\tthree", 3)]
+    with pytest.raises(ValueError, match="two"):
+        TF.read_queries(spark, p, strict=True)

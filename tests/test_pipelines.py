@@ -1,10 +1,8 @@
 """End-to-end properties on the sf0.001 tables."""
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from relmod.operators.local_w2v import W2VParams, train
 from relmod.params import Params
 from relmod.plans import pipelines as P
 from relmod.sources import fixtures as X
@@ -69,16 +67,6 @@ def test_lambda_zero_ignores_expansions(spark, inputs):
     assert all(abs(sa[k] - sb[k]) < 1e-9 for k in sa)
 
 
-def test_trainer_deterministic():
-    sents = [["alpha", "bravo", "charlie", "alpha"], ["bravo", "delta", "alpha"]] * 5
-    p = W2VParams(dim=16, window=3)
-    t1, v1 = train(sents, p)
-    t2, v2 = train(sents, p)
-    assert list(t1) == list(t2) and np.array_equal(v1, v2)
-    assert v1.shape == (4, 16) and np.isfinite(v1).all()
-    assert list(t1)[0] == "alpha"  # frequency desc, term asc
-
-
 def test_dense_index_is_a_permutation(spark):
     from relmod.operators.ordering import dense_index
 
