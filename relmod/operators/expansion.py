@@ -124,9 +124,9 @@ def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateMode
             F.when(F.col("in_v"), F.col("term")).otherwise(F.lit(UNK)).alias("term"),  # JOIN-9
             F.try_divide(F.col("sim"), F.sum("sim").over(by_q)).alias("w"),
         )
-        # assignment semantics: of several <UNK> rows the last (highest rk) survives (AGG-16, D6)
+        # by assignment, of several <UNK> rows the last (highest rk) survives (AGG-16, D6)
         .groupBy("qid", "term")
-        .agg(F.max_by("w", "rk").alias("w"))
+        .agg((F.sum("w") if models.params.unk == "sum" else F.max_by("w", "rk")).alias("w"))
     )
     ex_tot = F.sum("w").over(by_q)
     ex = ex.select("qid", "term", F.when(ex_tot != 0, F.col("w") / ex_tot).alias("e"))

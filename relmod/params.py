@@ -97,6 +97,9 @@ class Params:
     text: TextOptions = field(default_factory=TextOptions)
     # Task 0: a query token that occurs in no candidate is skipped ('drop') or raises ('error').
     oov: str = "drop"
+    # Expansion words outside the candidates share <UNK>: the lowest-ranked one's
+    # weight counts ('last', by assignment), or all of them ('sum').
+    unk: str = "last"
     # Upper bound on the measured bytes of a side that may be broadcast.
     broadcast_bytes: int = 64 << 20
 

@@ -441,6 +441,27 @@ def metrics_roundtrip(spark, sf_dir):
     return per_q.select(*cols).unionByName(mean.withColumn("qid", F.lit(None).cast("long")).select(*cols))
 
 
+@register(
+    "run_diagnostics",
+    O.with_ctes(
+        "SELECT q.qid, coalesce(c.n, 0) AS n_candidates, coalesce(d.n, 0) AS n_documents, coalesce(o.n, 0) AS n_oov FROM q"
+        " LEFT JOIN (SELECT qid, count(*) AS n FROM cset GROUP BY qid) c ON c.qid = q.qid"
+        " LEFT JOIN (SELECT qid, count(*) AS n FROM clen GROUP BY qid) d ON d.qid = q.qid"
+        " LEFT JOIN (SELECT qid, count(*) AS n FROM qtf t WHERE NOT EXISTS"
+        "  (SELECT 1 FROM bg WHERE bg.qid = t.qid AND bg.term = t.term) GROUP BY qid) o ON o.qid = q.qid",
+        "q",
+        "cset",
+        "clen",
+        "qtf",
+        "bg",
+    ),
+)
+def run_diagnostics(spark, sf_dir):
+    """AGG-22, D4: what a run finds of every query's inputs."""
+    fx = X.Fixtures(spark, sf_dir)
+    return P.diagnostics(fx.queries(), fx.candidates(), fx.collection())
+
+
 #: Candidates of at least so many shared terms make up a run in which some queries are missing.
 RUN_MIN_SCORE = 12
 
@@ -529,11 +550,11 @@ def expansion_lines(spark, sf_dir):
     "last_wins",
     "SELECT user_id, s.event_type AS event_type, s.value AS value FROM ("
     " SELECT user_id, arg_max({'event_type': event_type, 'value': value}, event_id) AS s FROM events"
-    " WHERE user_id IS NOT NULL GROUP BY user_id)",
+    " GROUP BY user_id)",
 )
 def last_wins_events(spark, sf_dir):
-    """AGG-17 on ``events``: per user, the fields of the event with the highest event_id."""
-    ev_ = X.table(spark, sf_dir, "events").filter(F.col("user_id").isNotNull())
+    """AGG-17 on ``events``: per user (NULL is one), the fields of the event with the highest event_id."""
+    ev_ = X.table(spark, sf_dir, "events")
     return last_wins(ev_.select("user_id", "event_type", "value", "event_id"), "user_id", "event_id")
 
 

@@ -180,6 +180,23 @@ def queries_without_candidates(queries: DataFrame, candidates: DataFrame) -> Dat
     return queries.select("qid").distinct().join(candidates.select("qid"), "qid", "left_anti")
 
 
+def diagnostics(queries: DataFrame, candidates: DataFrame, collection: DataFrame, params: Params = Params(), fields=FEEDBACK_FIELDS) -> DataFrame:
+    """(qid, n_candidates, n_documents, n_oov): candidates listed and found, and terms that none of them holds (AGG-22, D4)."""
+    models = CandidateModels(candidates.join(queries.select("qid"), "qid", "left_semi"), collection, fields, params)
+    count = lambda df, name: df.groupBy("qid").agg(F.count(F.lit(1)).alias(name))
+    parts = (
+        count(models.cset, "n_candidates"),
+        count(models.cand_len, "n_documents"),
+        count(fb.oov_tokens(query_term_freq(queries, params), models), "n_oov"),
+    )
+    out = queries.select("qid").distinct()
+    for part in parts:
+        out = out.join(part, "qid", "left")
+    out = materialize(out.select("qid", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_candidates", "n_documents", "n_oov")]))
+    models.unpersist()
+    return out
+
+
 def check_inputs(queries: DataFrame, candidates: DataFrame, collection: DataFrame) -> None:
     """Strict mode: raises where a query has no candidates or a candidate no document."""
     for name, report in (

@@ -136,3 +136,19 @@ def test_local_contexts_by_hand(spark):
             want.update(("alpha", y) for j, y in enumerate(w) if x == "alpha" and 0 < abs(i - j) <= 2)
     assert {(r.t, r.w): r.n for r in contexts(m, qtf, 2).collect()} == dict(want)
     m.unpersist()
+
+
+def test_unknown_expansion_words_are_last_or_summed(spark):
+    from relmod.operators import expansion as ex
+    from relmod.operators.lm import CandidateModels
+    from relmod.params import UNK
+
+    coll = spark.createDataFrame([(1, "", "", "alpha bravo")], "doc_id long, url string, title string, body string")
+    cand = spark.createDataFrame([(9, 1)], "qid long, doc_id long")
+    words = spark.createDataFrame([(9, 1, "alpha", 4.0), (9, 2, "yy", 3.0), (9, 3, "zz", 1.0)], "qid long, rk int, term string, sim double")
+    qtf = spark.createDataFrame([(9, "alpha", 1)], "qid long, term string, qtf long")
+    for unk, share in (("last", 0.125 / 0.625), ("sum", 0.5)):
+        m = CandidateModels(cand, coll, P.EMBEDDING_FIELDS, Params(unk=unk))
+        e = {r.term: r.e for r in ex.expansion_model(words, qtf, m).collect()}
+        assert abs(e[UNK] - share) < 1e-12 and abs(e["alpha"] - (1 - share)) < 1e-12
+        m.unpersist()
