@@ -10,7 +10,8 @@ set's distances to all others are computed; a similar set's answers are derived
 from them (its distances differ by no more than the two sets do), and only what
 the bounds leave open is computed. Distances here are those of parity bitmaps,
 which never exceed the sets' own, so nothing is lost; the pairs found are then
-compared in full.
+compared in full. Bitmaps are as long as their sets are large; lists carry them
+folded to a fixed size, and a pair's whole ones are compared before its sets.
 
 Links are wanted as classes. In a first round a list reports only pairs that
 join what is still apart; in a second, with the components of the first, every
@@ -25,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relmod.llm.common import group_bounds, in_blocks, keys_of, stored, tasks_for, whole_groups
+from relmod.llm.common import fresh, group_bounds, in_blocks, keys_of, nullable, stored, tasks_for, whole_groups
 from relmod.llm.components import components
 
 #: Shingles that count as frequent, at most; they come last in the order of shingles.
@@ -39,8 +40,13 @@ LOCALLY_FREQUENT = 3
 GATHERED = 2_000_000
 #: Longer lists are compared block against block in separate groups.
 BLOCK = 1500
-BITS = 1024
+#: A bitmap has the power of two of bits that is not below the set's size, and at least so many.
+LEAST_BITS = 1024
+#: Entries of lists carry bitmaps folded to so many words of 64 bits: lists are long, and long documents are in many.
+SKETCH_WORDS = 8
 ENTRIES_PER_TASK = 500_000
+#: Up to so many rows of two longs (16 MB), pairs and the marks of texts to compare are broadcast; beyond, the join shuffles.
+BROADCAST_MARKS = 1_000_000
 DOCS_AT_ONCE = 1000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xD6E8FEB86659FD93)
@@ -71,6 +77,20 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(acc)
 
 
+def parity_bitmap(s: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of the set's shingles falls on it."""
+    bits = max(LEAST_BITS, 1 << (len(s) - 1).bit_length() if len(s) else 0)
+    at = (s * _ODD >> np.uint64(20)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
+def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same set with fewer bits."""
+    while len(bitmap) > words:
+        bitmap = bitmap[: len(bitmap) // 2] ^ bitmap[len(bitmap) // 2 :]
+    return bitmap
+
+
 def needed(total: int | np.ndarray, num: int, den: int):
     """Smallest overlap of two linked sets whose sizes sum up to ``total``."""
     return -(-num * total // (num + den))
@@ -124,10 +144,12 @@ def frequent_shingles(df: DataFrame, text: str, words: int) -> tuple[np.ndarray,
 
 
 def document_sets(rows: DataFrame, words: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Of (id, uid, text): the set's size ``n``, a 128-bit signature, its first shingles, how many of those aren't frequent, its bitmap."""
-    schema = rows.selectExpr(
-        "id", "uid", "0L AS n", "X'' AS sig", "array(0L) AS prefix", "0 AS rare", "X'' AS bitmap"
-    ).schema
+    """Of (id, uid, marks, text): the set's size ``n``, a 128-bit signature, its first shingles, how many of those aren't frequent, its bitmap, and that folded to a sketch."""
+    schema = nullable(
+        rows.selectExpr(
+            "id", "uid", "mark_a", "mark_b", "0L AS n", "X'' AS sig", "array(0L) AS prefix", "0 AS rare", "X'' AS bitmap", "X'' AS sketch"
+        ).schema
+    )
     shared = rows.sparkSession.sparkContext.broadcast(frequent)  # bounded by FREQUENT
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +157,8 @@ def document_sets(rows: DataFrame, words: int, num: int, den: int, frequent: tup
         for whole in batches:
             for low in range(0, whole.num_rows, DOCS_AT_ONCE):
                 batch = whole.slice(low, DOCS_AT_ONCE)
-                sizes, sigs, firsts, rare, maps = [], [], [], [], []
-                for t in batch.column(2).to_pylist():
+                sizes, sigs, firsts, rare, maps, sketches = [], [], [], [], [], []
+                for t in batch.column(4).to_pylist():
                     s = shingle_set(t, words)
                     sizes.append(len(s))
                     sigs.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
@@ -153,24 +175,25 @@ def document_sets(rows: DataFrame, words: int, num: int, den: int, frequent: tup
                         first = s[:p]
                         rare.append(p)
                     firsts.append(first.view(np.int64))
-                    bits = np.bincount((s * _ODD >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
-                    maps.append(np.packbits(bits.astype(np.uint8)).tobytes())
+                    bitmap = parity_bitmap(s)
+                    maps.append(bitmap.tobytes())
+                    sketches.append(folded(bitmap, SKETCH_WORDS).tobytes())
                 ends = np.cumsum([0, *map(len, firsts)])
                 prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*firsts, np.empty(0, np.int64)])))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0),
-                        batch.column(1),
+                        *batch.columns[:4],
                         pa.array(sizes, pa.int64()),
                         pa.array(sigs, pa.binary()),
                         prefix,
                         pa.array(rare, pa.int32()),
                         pa.array(maps, pa.binary()),
+                        pa.array(sketches, pa.binary()),
                     ],
                     schema.names,
                 )
 
-    return rows.select("id", "uid", "text").mapInArrow(describe, schema)
+    return rows.select("id", "uid", "mark_a", "mark_b", "text").mapInArrow(describe, schema)
 
 
 # ---------------------------------------------------------------- lists
@@ -215,11 +238,11 @@ PAIRS = "a long, b long"
 def candidate_pairs(lists: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     """Distinct pairs (a, b) of entries of a list that may be linked and whose labels differ.
 
-    ``lists`` has token, uid, n, pos, label, bitmap and the list's ``length``.
+    ``lists`` has token, uid, n, pos, label, sketch and the list's ``length``.
     With ``forest``, a list reports no pair that its other pairs connect.
     """
     entries = in_blocks(lists, F.col("length"), "uid", BLOCK).select(
-        "token", "left", "right", "block", "uid", "n", "pos", "label", "bitmap"
+        "token", "left", "right", "block", "uid", "n", "pos", "label", "sketch"
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +256,7 @@ def candidate_pairs(lists: DataFrame, num: int, den: int, forest: bool) -> DataF
 def _pairs_of(rows: pa.Table, num: int, den: int, forest: bool) -> pa.RecordBatch:
     group = keys_of(rows, 3)
     block, uid, n, pos, label = (rows.column(i).to_numpy().astype(np.int64) for i in range(3, 8))
-    maps = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint64).reshape(len(uid), BITS // 64)
+    maps = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint64).reshape(len(uid), SKETCH_WORDS)
     starts = group_bounds(group)
     cross = group[:, 1] != group[:, 2]
     lengths = np.diff(starts)
@@ -243,8 +266,8 @@ def _pairs_of(rows: pa.Table, num: int, den: int, forest: bool) -> pa.RecordBatc
     alpha = needed(n[i] + n[j], num, den)
     ok = (label[i] != label[j]) & (den * n[i] >= num * n[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= alpha)
     ok &= ~cross[i] | (block[i] != block[j])
-    i, j, alpha = i[ok], j[ok], alpha[ok]
-    near = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j] - 2 * alpha
+    i, j, most = i[ok], j[ok], (n[i] + n[j] - 2 * alpha)[ok]
+    near = _apart(maps[i], maps[j]) <= most
     out = [(uid[i[near]], uid[j[near]])]
     for k in np.flatnonzero(lengths > 2):
         s = slice(starts[k], starts[k + 1])
@@ -258,46 +281,44 @@ def _pairs_of(rows: pa.Table, num: int, den: int, forest: bool) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, c])) for c in (0, 1)], ["a", "b"])
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
 def _compare(n, pos, maps, label, apart, num: int, den: int, forest: bool) -> tuple[list[int], list[int]]:
     """Pairs of entries of one list, sorted by (n, pos), that the bounds leave."""
     sizes, at = np.unique(n, return_index=True)
     ends = np.append(at[1:], len(n))
     root = np.unique(label, return_inverse=True)[1]
-    ref, apart_from_ref = 0, np.bitwise_count(maps ^ maps[0]).sum(axis=1, dtype=np.int64)
+    ref, known = 0, _apart(maps, maps[0])  # a set and its distances to all others
     left, right = [], []
     for i in range(1, len(n)):
         picked = []
-        for size, start, end in zip(sizes, at, ends, strict=True):  # a block: the sets of one size, by position
-            if den * size < num * n[i]:
-                continue
-            alpha = needed(int(size + n[i]), num, den)
-            if start >= i or n[i] - pos[i] < alpha:
+        for b in range(int(np.searchsorted(sizes, -(-num * n[i] // den))), len(sizes)):  # a block: the sets of one size, by position
+            alpha = needed(int(sizes[b] + n[i]), num, den)
+            if at[b] >= i or n[i] - pos[i] < alpha:
                 break  # this and all larger blocks: too little of the probing set is left
-            end = min(end, i)
-            stop = start + int(np.searchsorted(pos[start:end], size - alpha, "right"))
-            if stop > start:
-                picked.append(np.arange(start, stop))
+            end = min(ends[b], i)
+            stop = at[b] + int(np.searchsorted(pos[at[b] : end], sizes[b] - alpha, "right"))
+            if stop > at[b]:
+                picked.append(np.arange(at[b], stop))
         if not picked:
             continue
         j = np.concatenate(picked)
         j = j[root[j] != root[i]]
         if apart is not None:
             j = j[apart[j] != apart[i]]
-        if not len(j):
-            continue
         total = n[j] + n[i]
         most = total - 2 * needed(total, num, den)
-        # what the reference set's distances say about this set's
-        here = apart_from_ref[i]
-        if here > most.max() // 2 and i - ref > 16:
-            ref, apart_from_ref = i, np.bitwise_count(maps ^ maps[i]).sum(axis=1, dtype=np.int64)
-            here = 0
-        there = apart_from_ref[j]
-        ok = here + there <= most
-        unsure = ~ok & (np.abs(here - there) <= most)
+        if not len(j):
+            continue
+        # another set's distances to the reference differ from this one's by what the two sets are apart at most
+        if known[i] > most.max() // 2 and i - ref > 16:
+            ref, known = i, _apart(maps, maps[i])
+        ok = known[i] + known[j] <= most
+        unsure = ~ok & (np.abs(known[i] - known[j]) <= most)
         if unsure.any():
-            u = j[unsure]
-            ok[unsure] = np.bitwise_count(maps[u] ^ maps[i]).sum(axis=1, dtype=np.int64) <= most[unsure]
+            ok[unsure] = _apart(maps[j[unsure]], maps[i]) <= most[unsure]
         j = j[ok]
         if forest:
             for r, first in zip(*np.unique(root[j], return_index=True), strict=True):
@@ -314,37 +335,53 @@ def _compare(n, pos, maps, label, apart, num: int, den: int, forest: bool) -> tu
 
 
 def full_sets(df: DataFrame, words: int) -> DataFrame:
-    """(id, sig, tokens) of (id, text): whole sets, for the pairs that are compared in full."""
+    """(mark_a, mark_b, tokens) of (mark_a, mark_b, text): whole sets, for the pairs that are compared in full."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for low in range(0, rows.num_rows, DOCS_AT_ONCE):
                 batch = rows.slice(low, DOCS_AT_ONCE)
-                sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+                sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
                 ends = np.cumsum([0, *map(len, sets)])
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate([*sets, np.empty(0, np.uint64)])))
-                sigs = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), sigs, tokens], ["id", "sig", "tokens"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], ["mark_a", "mark_b", "tokens"])
+
+    return df.mapInArrow(whole, "mark_a long, mark_b long, tokens array<long>")
 
-    schema = df.select("id", F.lit(b"").alias("sig"), F.array(F.lit(0).cast("long")).alias("tokens")).schema
-    return df.mapInArrow(whole, schema)
 
+def close_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose whole bitmaps leave them a link."""
 
-def linked(pairs: DataFrame, leaders: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are linked. ``leaders``: uid, id, sig; ``df``: id, text."""
-    wanted = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(leaders, "uid").select("uid", "id", "sig"), "wanted"
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([np.frombuffer(m, np.uint64) for m in batch.column(c).to_pylist()] for c in (2, 3))
+            total = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            most = total - 2 * needed(total, num, den)
+            both = [(folded(a, min(len(a), len(b))), folded(b, min(len(a), len(b)))) for a, b in zip(x, y, strict=True)]
+            near = [int(_apart(a, b)) <= m for (a, b), m in zip(both, most.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    maps = sets.select("uid", "n", "bitmap")
+    both = pairs.join(maps.withColumnsRenamed({"uid": "a", "n": "n_a", "bitmap": "map_a"}), "a").join(
+        maps.withColumnsRenamed({"uid": "b", "n": "n_b", "bitmap": "map_b"}), "b"
     )
-    texts = df.join(wanted.select(F.col("id").alias("_id")).distinct(), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = full_sets(texts, words).withColumnsRenamed({"id": "_id", "sig": "_sig"})
-    sets = (
-        wanted.join(sets, F.col("id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig")))
-        .groupBy("uid")
-        .agg(F.first("tokens").alias("tokens"))
+    return both.select("a", "b", "map_a", "map_b", "n_a", "n_b").mapInArrow(close, PAIRS)
+
+
+def linked(pairs: DataFrame, sets: DataFrame, source: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are linked. ``sets``: uid and marks; ``source``: id, text."""
+    both_ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    wanted = stored(both_ends.join(sets.select("uid", "mark_a", "mark_b"), "uid"), "wanted")
+    named = wanted.select(F.col("mark_a").alias("_a"), F.col("mark_b").alias("_b")).distinct()
+    if wanted.count() <= BROADCAST_MARKS:
+        named = F.broadcast(named)
+    texts = source.select(*marks("id", "text"), "text").join(
+        named, (F.col("mark_a") == F.col("_a")) & (F.col("mark_b") == F.col("_b")), "left_semi"
     )
-    sets = stored(sets, "sets")
-    both = pairs.join(sets.withColumnsRenamed({"uid": "a", "tokens": "s"}), "a").join(
-        sets.withColumnsRenamed({"uid": "b", "tokens": "t"}), "b"
+    whole = stored(full_sets(texts, words).join(wanted, ["mark_a", "mark_b"]).select("uid", "tokens"), "sets")
+    few = F.broadcast(pairs) if pairs.count() <= BROADCAST_MARKS else pairs
+    both = few.join(whole.withColumnsRenamed({"uid": "a", "tokens": "s"}), "a").join(
+        whole.withColumnsRenamed({"uid": "b", "tokens": "t"}), "b"
     )
     common = F.size(F.array_intersect("s", "t"))
     return both.withColumn("_c", common).filter(
@@ -352,26 +389,33 @@ def linked(pairs: DataFrame, leaders: DataFrame, df: DataFrame, words: int, num:
     ).select("a", "b")
 
 
+def marks(key: str, text: str) -> list[Column]:
+    """128 bits that tell a row by its key and text."""
+    return [F.xxhash64(key, text).alias("mark_a"), F.xxhash64(text, key, F.lit(1)).alias("mark_b")]
+
+
 def similar_documents(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 8, den: int = 10
 ) -> DataFrame:
-    """One row per row of ``df``: doc_id, n_shingles (set size), component_id.
+    """One row per row of ``df``: doc_id, n_shingles (set size), component_id, kept, mark_a, mark_b.
 
     Two documents link when the Jaccard similarity of their shingle sets is at
     least ``num / den``; component_id is the smallest key that links reach,
-    the row's own included. Null and empty texts, and texts without words, have
-    the empty set and link with nothing. Equal sets are one class and link.
-    Rows that repeat a key are documents of their own; null keys are no
-    component's smallest unless all of its keys are null. An empty table gives
-    an empty result; other columns are not read.
+    the row's own included, and kept marks one row of each component, of that
+    key. Null and empty texts, and texts without words, have the empty set and
+    link with nothing. Equal sets are one class and link. Rows that repeat a
+    key are documents of their own; null keys are no component's smallest
+    unless all of its keys are null. The marks tell rows by key and text. An
+    empty table gives an empty result; other columns are not read.
     """
     source = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     frequent = frequent_shingles(source, "text", words)
-    numbered = source.withColumn("uid", F.monotonically_increasing_id())
+    numbered = source.select("id", F.monotonically_increasing_id().alias("uid"), *marks("id", "text"), "text")
     sets = stored(document_sets(numbered, words, num, den, frequent), "sets")
 
+    first_of = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid"))
     classes = stored(
-        sets.filter("n > 0").groupBy("sig").agg(F.min("uid").alias("uid"), F.min("id").alias("id"), F.count(F.lit(1)).alias("members")),
+        sets.filter("n > 0").groupBy("sig").agg(F.min("uid").alias("uid"), F.min(first_of).alias("first"), F.count(F.lit(1)).alias("members")),
         "classes",
     )
     followers = sets.join(
@@ -381,23 +425,42 @@ def similar_documents(
     ).select("uid")
     entries = stored(shared_entries(sets).join(followers, "uid", "left_anti"), "entries")
     lengths = entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    lists = stored(entries.join(lengths, "token").join(sets.select("uid", "bitmap"), "uid"), "lists")
-    leaders = sets.select("uid", "id", "sig")
+    lists = stored(entries.join(lengths, "token"), "lists")
+    sketches = sets.select("uid", "sketch")
 
     def links(labelled: DataFrame, forest: bool) -> DataFrame:
-        pairs = stored(candidate_pairs(labelled, num, den, forest), "pairs")
-        return stored(linked(pairs, leaders, source, words, num, den), "links")
-
-    first = links(lists.withColumn("label", F.col("uid")), True)
-    roots = components(first)
-    labelled = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("root", "uid"))
-    second = links(labelled, False)
-    if not second.isEmpty():
-        roots = components(first.unionByName(second))
+        met = stored(candidate_pairs(labelled.join(sketches, "uid"), num, den, forest), "met")
+        pairs = stored(close_pairs(met, sets, num, den), "pairs")
+        return stored(linked(pairs, sets, source, words, num, den), "links")
+
+    once = links(lists.withColumn("label", F.col("uid")), True)
+    roots = components(once)
+    labelled = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("root", "uid")).drop("root")
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
+    again = links(labelled.join(mixed.select("token"), "token", "left_semi"), False)
+    if not again.isEmpty():
+        roots = components(once.unionByName(again))
 
     placed = classes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"), F.sum("members").alias("_all")).filter("_all > 1")
-    known = stored(placed.join(smallest, "root").select(F.col("sig").alias("_sig"), "component_id"), "known")
+    smallest = placed.groupBy("root").agg(F.min("first").alias("_least"), F.sum("members").alias("_all")).filter("_all > 1")
+    known = stored(placed.join(smallest, "root").select(F.col("sig").alias("_sig"), "_least"), "known")
     return sets.join(known, F.col("sig") == F.col("_sig"), "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("_least").isNull(), F.col("id")).otherwise(F.col("_least.id")).alias("component_id"),
+        F.coalesce(F.col("_least.uid") == F.col("uid"), F.lit(True)).alias("kept"),
+        "mark_a",
+        "mark_b",
     )
+
+
+def one_of_each(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 8, den: int = 10
+) -> DataFrame:
+    """``df`` with one row of each component of ``similar_documents``; rows of equal key and text become one row."""
+    keep = similar_documents(df, key, text, words, num, den).filter("kept").select("mark_a", "mark_b")
+    a, b = fresh(df, "_mark_a", "_mark_b")
+    mark_a, mark_b = marks(key, text)
+    known = df.select("*", mark_a.alias(a), mark_b.alias(b))
+    kept = known.join(keep.withColumnsRenamed({"mark_a": a, "mark_b": b}), [a, b], "left_semi")
+    return kept.dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -84,7 +84,8 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

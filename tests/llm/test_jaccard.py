@@ -79,13 +79,27 @@ def test_large_lists_in_blocks_and_without_known_frequencies(spark, prose, monke
     check(spark, corpus(prose, 4, 80))
 
 
-def test_few_bits_only_leave_more_to_compare(spark, prose, monkeypatch):
-    # documents far larger than the bitmaps: almost every pair passes the bounds
-    monkeypatch.setattr(jaccard, "BITS", 1024)
+def test_sets_larger_than_the_smallest_bitmap(spark, prose, monkeypatch):
     r = random.Random(5)
     base = prose(6, 6000, 5000)
     rows = [(i, edited(r, base, r.choice((60, 200, 260))), "", 1, "") for i in range(14)]
+    rows += [(20 + i, " ".join(base.split()[: 4200 - 60 * i]), "", 1, "") for i in range(8)]  # across a power of two
     check(spark, rows)
+    monkeypatch.setattr(jaccard, "SKETCH_WORDS", 1)
+    check(spark, corpus(prose, 7, 60))
+
+
+def test_bitmaps_bound_the_sets_distance():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        x = np.unique(r.integers(0, 2**63, r.integers(1, 5000)).astype(np.uint64))
+        y = np.unique(np.concatenate([r.permutation(x)[: r.integers(0, len(x) + 1)], r.integers(0, 2**63, r.integers(0, 3000)).astype(np.uint64)]))
+        a, b = jaccard.parity_bitmap(x), jaccard.parity_bitmap(y)
+        w = min(len(a), len(b))
+        apart = int(np.bitwise_count(jaccard.folded(a, w) ^ jaccard.folded(b, w)).sum())
+        assert apart <= len(np.setxor1d(x, y))
 
 
 def test_hard_rows(spark, prose):
