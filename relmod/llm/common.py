@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import sys
 import types
@@ -115,3 +116,11 @@ def kept_in_worker(call: str, make: Callable[[], object]) -> object:
         held["thing"] = None
         held.update(call=call, thing=make())
     return held["thing"]
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker does not hold on to the peak of its largest batch."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

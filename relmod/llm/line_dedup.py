@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import fresh, stored, tasks_for
+from relmod.llm.common import fresh, give_back, stored, tasks_for
 
 #: What is stripped off a line's ends: the white space of the contract, without the line feed that ends it.
 STRIP = " \t\n\x0b\x0c\r"
@@ -106,6 +106,7 @@ def line_hashes(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame
             pair = np.frombuffer(b"".join(flat), "<i8").reshape(-1, 2)
             columns = [pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])), pa.array(ids, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["hi", "lo", "id"])
+            give_back()
 
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(hashes, HASHES)
@@ -234,5 +235,6 @@ def drop_repeated_lines(
             columns[where] = pa.array(texts, pa.string())
             columns += [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+            give_back()
 
     return both.mapInArrow(cut, schema)

@@ -21,8 +21,7 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import kept_in_worker
+from relmod.llm.common import give_back, kept_in_worker
+from relmod.llm.words import LONGEST_WORD, ByteHashes, WordTable, gather
 
 MARK = "▁"
+_MARK = MARK.encode()
 #: What an unknown character's score is below the lowest piece's.
 UNKNOWN_PENALTY = 10.0
 #: Words that a Python worker keeps for all its tasks of one call.
 KEPT_WORDS = 1_000_000
 #: Longer words are not batched by length.
 BATCHED_LENGTH = 48
-DOCS_AT_ONCE = 1000
+DOCS_AT_ONCE = 250
 _BASE = np.uint64(0x100000001B3)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
@@ -79,6 +80,7 @@ class Lattice:
         self._sizes, self._starts = sizes, np.cumsum(sizes) - sizes
         self._all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self._fill_slots()
+        self.hashes = ByteHashes()
         self._forget()
 
     # -- pieces by the hash of their characters
@@ -111,22 +113,23 @@ class Lattice:
     # -- words, many at once
 
     def _forget(self) -> None:
-        #: Each known word's row in the arrays; a row's ids are ``count`` ones of the pool from ``start`` on.
-        self.row: dict[str, int] = {}
+        #: Known words' rows in the arrays; a row's ids are ``count`` ones of the pool from ``start`` on.
+        self.table = WordTable()
         self._others: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
+        self._order: list[str] = []
         self._parts: dict[str, list[np.ndarray]] = {"count": [], "gap": [], "score": [], "pool": []}
         self.count, self.start = np.empty(0, np.int64), np.empty(0, np.int64)
         self.gap, self.score, self.pool = np.empty(0), np.empty(0), np.empty(0, np.uint32)
 
     def _add(self, words: list[str], **parts: np.ndarray) -> None:
-        self.row.update(zip(words, range(len(self.row), len(self.row) + len(words)), strict=True))
+        self._order += words
         for name, part in parts.items():
             self._parts[name].append(part)
 
-    def learn(self, words: list[str]) -> None:
-        """Best segmentation, score and gap of new words."""
+    def learn(self, words: list[str]) -> list[str]:
+        """Best segmentation, score and gap of words, in new rows; returns the words in the order of these."""
         if not words:
-            return
+            return []
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
@@ -141,6 +144,8 @@ class Lattice:
             setattr(self, name, np.concatenate([getattr(self, name), *parts]))
             parts.clear()
         self.start = np.cumsum(self.count) - self.count
+        order, self._order = self._order, []
+        return order
 
     def _learn_batch(self, words: list[str], length: int) -> None:
         w, rows = len(words), np.arange(len(words))
@@ -271,13 +276,27 @@ class Lattice:
 
     def words_of(self, text: str) -> list[str]:
         """The normalised text cut where no piece reaches over."""
-        text = self.model.normalize(text)
-        if not self.cuts:
-            return [text] if text else []
-        if MARK + MARK not in text and "\0" not in text:
-            words = text.replace(MARK, "\0" + MARK).split("\0")
-            return words if words[0] else words[1:]
-        return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text)
+        data, begins, starts = self._cut([text])
+        ends = np.append(starts, len(data))[1:]
+        raw = data.tobytes()
+        return [raw[i:j].decode() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All normalised texts' bytes, where the texts start, and where the words do."""
+        normal = [self.model.normalize(t).encode() for t in texts]
+        sizes = np.fromiter(map(len, normal), np.int64, len(normal))
+        begins = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(normal), np.uint8)
+        starts = begins[sizes > 0]
+        if self.cuts and len(data) > 2:
+            marks = np.flatnonzero((data[:-2] == _MARK[0]) & (data[1:-1] == _MARK[1]) & (data[2:] == _MARK[2]))
+            after_mark = np.zeros(len(marks), bool)
+            after_mark[1:] = np.diff(marks) == len(_MARK)
+            first = np.zeros(len(data) + 1, bool)
+            first[marks[~after_mark]] = True
+            first[starts] = True
+            starts = np.flatnonzero(first)
+        return data, begins, starts
 
     def encode(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes]]]:
         """Each text's ``n`` best segmentations (score, ids), best first.
@@ -286,40 +305,58 @@ class Lattice:
         first, each by its own order. A text without characters has the empty
         segmentation alone.
         """
-        if len(self.row) > KEPT_WORDS:
+        data, begins, starts_of = self._cut(texts)
+        lengths = np.diff(np.append(starts_of, len(data)))
+        raw_text = data.tobytes()
+
+        def word(k: int) -> str:
+            return raw_text[starts_of[k] : starts_of[k] + lengths[k]].decode()
+
+        if len(self.count) > KEPT_WORDS:
             self._forget()
-        split = [self.words_of(t) for t in texts]
-        self.learn(list(set().union(*split) - self.row.keys()))
-        words = list(chain.from_iterable(split))
-        rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+        keys = self.hashes.of(data, starts_of, lengths)
+        rows = self.table.find(keys)
+        long = lengths > LONGEST_WORD
+        new, at = np.unique(keys[(rows < 0) & ~long], return_index=True)
+        if len(new):
+            where = np.flatnonzero((rows < 0) & ~long)[at].tolist()
+            words = [word(k) for k in where]
+            key_of = dict(zip(words, new.tolist(), strict=True))
+            low = len(self.count)
+            order = self.learn(words)
+            self.table.add(np.array([key_of[w] for w in order], np.uint64), np.arange(low, low + len(order), dtype=np.int32))
+            rows = self.table.find(keys)
+        if long.any():  # rows of this call alone
+            low = len(self.count)
+            order = self.learn(list(dict.fromkeys(word(k) for k in np.flatnonzero(long))))
+            row_of = {w: low + i for i, w in enumerate(order)}
+            rows[long] = [row_of[word(k)] for k in np.flatnonzero(long)]
         counts = self.count[rows]
         ends = np.cumsum(counts)
         starts = ends - counts
-        ids = self.pool[np.repeat(self.start[rows] - starts, counts) + np.arange(ends[-1] if len(ends) else 0)]
-        raw = memoryview(ids.astype("<u4").tobytes())
-        gaps, scores, low = self.gap[rows], self.score[rows], 0
-        for some in split:
-            high = low + len(some)
-            if not some:
+        raw = memoryview(gather(self.pool, self.start[rows], counts).astype("<u4").tobytes())
+        gaps, scores = self.gap[rows], self.score[rows]
+        bounds = np.append(np.searchsorted(starts_of, begins), len(starts_of)).tolist()
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            if low == high:
                 yield [(0.0, b"")]
                 continue
             total = float(scores[low:high].sum())
             out = [(total, bytes(raw[4 * starts[low] : 4 * ends[high - 1]]))]
-            for lost, changes in self._next(some, gaps[low:high], n) if n > 1 else ():
+            for lost, changes in self._next(lambda i, low=low: word(low + i), gaps[low:high], n) if n > 1 else ():
                 parts, at = [], starts[low]
-                for i, new in changes:
-                    parts += [raw[4 * at : 4 * starts[low + i]], new]
+                for i, ids in changes:
+                    parts += [raw[4 * at : 4 * starts[low + i]], ids]
                     at = ends[low + i]
                 out.append((total - lost, b"".join([*parts, raw[4 * at : 4 * ends[high - 1]]])))
             yield out
-            low = high
 
-    def _next(self, words: list[str], gaps: np.ndarray, n: int) -> list[tuple[float, list[tuple[int, bytes]]]]:
+    def _next(self, word: Callable[[int], str], gaps: np.ndarray, n: int) -> list[tuple[float, list[tuple[int, bytes]]]]:
         """The second to ``n``-th segmentations: what each loses, and its words (place, ids) that differ from the best."""
         few = np.flatnonzero(gaps <= np.partition(gaps, n - 2)[n - 2]) if len(gaps) > n - 1 else np.arange(len(gaps))
         few = few[np.argsort(gaps[few], kind="stable")][: n - 1]
         few = np.sort(few[np.isfinite(gaps[few])])[::-1].tolist()  # the last word first
-        ways = [self.others(words[i], n) for i in few]
+        ways = [self.others(word(i), n) for i in few]
         agenda, met, out = [(0.0, (0,) * len(few))], set(), []
         while agenda and len(out) < n:
             lost, ranks = heapq.heappop(agenda)
@@ -399,6 +436,7 @@ def encode_nbest(
                 columns = [some.column(0).take(pa.array(which, pa.int64()))]
                 columns += [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
+                give_back()
 
     return df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, schema)
 

@@ -48,11 +48,12 @@ LETTERS = list("▁abetinghosr.,\néß日①")
 def test_search_and_batches_against_all_segmentations(lattice):
     r = random.Random(0)
     words = ["".join(r.choice(LETTERS) for _ in range(r.randint(1, 9))) for _ in range(400)]
-    lattice.learn(list(set(words) - lattice.row.keys()))
+    low = len(lattice.count)
+    row = {w: low + i for i, w in enumerate(lattice.learn(list(set(words))))}
     for w in words:
         all_ways = every_way(lattice, w)
         assert lattice.search(w, 5) == [(-s, ids) for s, _, ids in all_ways[:5]]
-        k = lattice.row[w]
+        k = row[w]
         gap = all_ways[1][0] - all_ways[0][0] if len(all_ways) > 1 else float("inf")
         ids = lattice.pool[lattice.start[k] : lattice.start[k] + lattice.count[k]].tobytes()
         assert (ids, lattice.score[k], lattice.gap[k]) == (all_ways[0][2], -all_ways[0][0], gap)
