@@ -29,14 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relmod.llm.common import fresh, group_bounds, in_blocks, keys_of, nullable, stored, tasks_for, whole_groups
+from relmod.llm.common import fresh, give_back, group_bounds, in_blocks, keys_of, nullable, stored, tasks_for, whole_groups
 from relmod.llm.components import components
 
 #: Shingles that count as frequent, at most; they come last in the order of shingles.
 #: The order affects the lists' lengths alone, never the result.
-FREQUENT = 200_000
+FREQUENT = 1_000_000
 #: A task hands on the shingles that at least so many of its documents (of each batch of shingles) hold.
-LOCALLY_FREQUENT = 3
+LOCALLY_FREQUENT = 2
 GATHERED = 2_000_000
 #: Longer lists are compared block against block in separate groups.
 BLOCK = 1500
@@ -45,9 +45,9 @@ LEAST_BITS = 1024
 #: Entries of lists carry bitmaps folded to so many words of 64 bits: lists are long, and long documents are in many.
 SKETCH_WORDS = 8
 ENTRIES_PER_TASK = 500_000
-#: Up to so many rows of two longs (16 MB), pairs and the marks of texts to compare are broadcast; beyond, the join shuffles.
-BROADCAST_MARKS = 1_000_000
-DOCS_AT_ONCE = 1000
+#: Up to so many rows of two longs (3.2 MB), pairs and the marks of texts to compare are broadcast; beyond, the join shuffles.
+BROADCAST_MARKS = 200_000
+DOCS_AT_ONCE = 250
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xD6E8FEB86659FD93)
 
@@ -119,6 +119,7 @@ def frequent_shingles(df: DataFrame, text: str, words: int) -> tuple[np.ndarray,
                 if size > GATHERED:
                     yield often(gathered)
                     gathered, size = [], 0
+                    give_back()
         if gathered:
             yield often(gathered)
 
@@ -192,6 +193,7 @@ def document_sets(rows: DataFrame, words: int, num: int, den: int, frequent: tup
                     ],
                     schema.names,
                 )
+            give_back()
 
     return rows.select("id", "uid", "mark_a", "mark_b", "text").mapInArrow(describe, schema)
 
@@ -238,7 +240,7 @@ PAIRS = "a long, b long"
 def candidate_pairs(lists: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     """Distinct pairs (a, b) of entries of a list that may be linked and whose labels differ.
 
-    ``lists`` has token, uid, n, pos, label, sketch and the list's ``length``.
+    ``lists`` has token, uid, n, pos, label, sketch and the list's ``length`` if that is over ``BLOCK``.
     With ``forest``, a list reports no pair that its other pairs connect.
     """
     entries = in_blocks(lists, F.col("length"), "uid", BLOCK).select(
@@ -345,6 +347,7 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
                 ends = np.cumsum([0, *map(len, sets)])
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate([*sets, np.empty(0, np.uint64)])))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], ["mark_a", "mark_b", "tokens"])
+            give_back()
 
     return df.mapInArrow(whole, "mark_a long, mark_b long, tokens array<long>")
 
@@ -424,20 +427,21 @@ def similar_documents(
         "left_semi",
     ).select("uid")
     entries = stored(shared_entries(sets).join(followers, "uid", "left_anti"), "entries")
-    lengths = entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    lists = stored(entries.join(lengths, "token"), "lists")
-    sketches = sets.select("uid", "sketch")
+    long = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).filter(F.col("length") > BLOCK), "long")
+    if long.count() <= BROADCAST_MARKS:
+        long = F.broadcast(long)
+    lists = entries.join(long, "token", "left").withColumn("length", F.coalesce("length", F.lit(1)))
+    sketched = lists.join(sets.select("uid", "sketch"), "uid")
 
     def links(labelled: DataFrame, forest: bool) -> DataFrame:
-        met = stored(candidate_pairs(labelled.join(sketches, "uid"), num, den, forest), "met")
+        met = stored(candidate_pairs(labelled, num, den, forest), "met")
         pairs = stored(close_pairs(met, sets, num, den), "pairs")
         return stored(linked(pairs, sets, source, words, num, den), "links")
 
-    once = links(lists.withColumn("label", F.col("uid")), True)
+    once = links(sketched.withColumn("label", F.col("uid")), True)
     roots = components(once)
-    labelled = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("root", "uid")).drop("root")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
-    again = links(labelled.join(mixed.select("token"), "token", "left_semi"), False)
+    labelled = sketched.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("root", "uid")).drop("root")
+    again = links(labelled, False)
     if not again.isEmpty():
         roots = components(once.unionByName(again))
 
