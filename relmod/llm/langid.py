@@ -12,6 +12,7 @@ remain, so its size is bounded while its counts are not.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,21 +22,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relmod.llm.common import fresh, nullable, stored
+from relmod.llm.common import fresh, give_back, kept_in_worker, nullable, stored
 
 #: Runs of letters (and of the few numerals that are neither digits nor letters).
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 #: At most so many words, and n-grams of each size, are in a model.
-WORDS, GRAMS = 100_000, 30_000
+WORDS, GRAMS = 60_000, 20_000
 SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 #: The words that a score's certainty counts at most: neighbouring words aren't independent.
 EVIDENCE = 12
 #: Entries that a task gathers before it hands them on.
-GATHERED = 300_000
+GATHERED = 200_000
 #: Unseen words that a task keeps with their scores.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 
 def words_of(text: str) -> list[str]:
@@ -66,6 +67,7 @@ def word_counts(labelled: DataFrame, lang: str, text: str) -> DataFrame:
                 if sum(map(len, seen.values())) > GATHERED:
                     yield _rows(seen)
                     seen = {}
+                    give_back()
         yield _rows(seen)
 
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
@@ -99,6 +101,7 @@ def gram_counts(words: DataFrame) -> DataFrame:
             if sum(map(len, seen.values())) > GATHERED:
                 yield _rows(seen)
                 seen = {}
+                give_back()
         yield _rows(seen)
 
     found = words.select("lang", "feature", "n").mapInArrow(count, "lang string, feature string, n long")
@@ -225,15 +228,17 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     spark = df.sparkSession
     # plain values, bounded by WORDS and GRAMS, so that executors need no copy of this package to read them
     shared = spark.sparkContext.broadcast((model.langs, model.words, model.grams, model.scores))
+    call = uuid.uuid4().hex
     keep = [key] if keep is None else [c for c in keep if c not in ("lang_pred", "score")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
+        m = kept_in_worker(call, lambda: Model(*shared.value))
         for batch in batches:
             found = [m.predict(t) for t in batch.column(len(keep)).to_pylist()]
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names)
+            give_back()
 
     rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(fresh(df, "_text")[0]))
     schema = nullable(df.select(*[F.col(f"`{c}`") for c in keep], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema)

@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relmod.llm.common import kept_in_worker, stored
+from relmod.llm.common import give_back, kept_in_worker, stored
+from relmod.llm.words import LONGEST_WORD, ByteHashes, WordTable, gather
 
 SEQUENCE = 2048
 END_ID = 1
 
 NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "block", "place")
-DOCS_AT_ONCE = 1000
+DOCS_AT_ONCE = 250
+BYTES_AT_ONCE = 4 << 20
 
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -65,61 +67,19 @@ def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, int,
 
 MARKS = frozenset(".,;:!?")
 #: Words whose ids a Python worker keeps, for all its tasks of one call; about 40 bytes each.
-KNOWN_WORDS = 3_000_000
-#: Longer words, in bytes, go to the tokenizer without being kept.
-LONGEST_WORD = 200
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-class WordTable:
-    """Rows by 64-bit hashes: an open-addressed table that is read and filled in bulk."""
-
-    def __init__(self):
-        self.bits, self.used = 16, 0
-        self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-
-    def _at(self, keys: np.ndarray, step: int) -> np.ndarray:
-        slot = (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - self.bits)
-        return ((slot + np.uint64(step)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Each key's row, -1 if it has none."""
-        out = np.full(len(keys), -1, np.int64)
-        left, step = np.arange(len(keys)), 0
-        while len(left):
-            at = self._at(keys[left], step)
-            there = self.keys[at]
-            hit = there == keys[left]
-            out[left[hit]] = self.rows[at[hit]]
-            left = left[~hit & (there != 0)]
-            step += 1
-        return out
-
-    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        """New, distinct keys."""
-        if 2 * (self.used + len(keys)) > len(self.keys):
-            old = self.keys != 0
-            all_keys, all_rows = np.concatenate([self.keys[old], keys]), np.concatenate([self.rows[old], rows])
-            self.bits, self.used = max(self.bits, int(4 * len(all_keys)).bit_length()), 0
-            self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-            return self.add(all_keys, all_rows)
-        self.used += len(keys)
-        step = 0
-        while len(keys):
-            at = self._at(keys, step)
-            free = self.keys[at] == 0
-            self.keys[at[free]] = keys[free]
-            mine = free & (self.keys[at] == keys)
-            self.rows[at[mine]] = rows[mine]
-            keys, rows = keys[~mine], rows[~mine]
-            step += 1
+KNOWN_WORDS = 1_500_000
+
+
+def portions(text: bytes, size: int) -> Iterator[bytes]:
+    """A long text in parts of about ``size`` bytes, cut at spaces after a visible ASCII character, where words start."""
+    low = 0
+    while low < len(text):
+        high = low + size
+        while (high := text.find(b" ", high)) >= 0 and not 0x20 < text[high - 1] < 0x7F:
+            high += 1
+        high = len(text) if high < 0 else high
+        yield text[low:high]
+        low = high
 
 
 class Encoder:
@@ -139,7 +99,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
-        self.powers = self.inverses = np.empty(0, np.uint64)
+        self.hashes = ByteHashes()
         white = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20]
         # last and first bytes of white space, in UTF-8; other characters may share them
         self.before, self.after = np.zeros(256, bool), np.zeros(256, bool)
@@ -170,10 +130,24 @@ class Encoder:
         marks = np.fromiter((row[w[n:]] if n < len(w) else -1 for w, n in zip(words, cut, strict=True)), np.int64, len(words))
         pairs = np.stack([first, marks], axis=1).ravel()
         pairs_counts = np.where(pairs < 0, 0, counts[pairs])
-        return pairs_counts.reshape(-1, 2).sum(axis=1), _gather(ids, starts[pairs], pairs_counts)
+        return pairs_counts.reshape(-1, 2).sum(axis=1), gather(ids, starts[pairs], pairs_counts)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of UTF-8 texts as little-endian uint32."""
+        """The ids of UTF-8 texts as little-endian uint32; a few megabytes of text at a time."""
+        out: list[bytes] = []
+        some, size = [], 0
+        for t in texts:
+            if some and size + len(t) > BYTES_AT_ONCE:
+                out += self._encode(some)
+                some, size = [], 0
+            if len(t) > BYTES_AT_ONCE:
+                out.append(b"".join(self._encode([part])[0] for part in portions(t, BYTES_AT_ONCE)))
+            else:
+                some.append(t)
+                size += len(t)
+        return out + self._encode(some)
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(sizes)
         begins = ends - sizes
@@ -187,13 +161,7 @@ class Encoder:
         whole[text_of[odd]] = True
         starts = np.sort(np.concatenate([begins[sizes > 0], spaces[inside & ~whole[text_of]]]))
         lengths = np.diff(np.append(starts, len(data)))
-        # hash of bytes i..j: (sum up to j - sum up to i) / base^i, modulo 2^64
-        if len(self.powers) < len(data):
-            self.powers, self.inverses = (_powers(b, len(data) * 5 // 4) for b in (_BASE, _INVERSE))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
-        keys = (sums[starts + lengths] - sums[starts]) * self.inverses[starts]
-        keys |= np.uint64(1) << np.uint64(63)
+        keys = self.hashes.of(data, starts, lengths)
         rows = self.table.find(keys)
         long = lengths > LONGEST_WORD
         new, at = np.unique(keys[(rows < 0) & ~long], return_index=True)
@@ -221,17 +189,12 @@ class Encoder:
             counts[long] = long_counts
             places[long] = len(pool) + np.cumsum(long_counts) - long_counts
             pool = np.concatenate([pool, long_ids])
-        ids = memoryview(_gather(pool, places, counts).astype("<u4").tobytes())
+        ids = memoryview(gather(pool, places, counts).astype("<u4").tobytes())
         upto = np.concatenate([[0], np.cumsum(counts)])
         cuts = (4 * upto[np.searchsorted(starts, np.append(begins, len(data)))]).tolist()
         return [bytes(ids[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(counts)
-    return pool[np.repeat(starts - ends + counts, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
-
-
 def cut_documents(df: DataFrame, tokenizer: str, key: str, text: str, size: int, end_id: int, with_ids: bool) -> DataFrame:
     """The pieces of every document, in the order of the partition that holds it.
 
@@ -267,6 +230,7 @@ def cut_documents(df: DataFrame, tokenizer: str, key: str, text: str, size: int,
                 if with_ids:
                     columns.append(pa.array(parts, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
+                give_back()
 
     return df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 

@@ -28,6 +28,18 @@ def test_words_give_the_tokenizers_ids():
     assert encode([]) == [] and encode([b"", b""]) == [b"", b""]
 
 
+def test_long_texts_in_portions(monkeypatch, prose):
+    from relmod.llm import words
+
+    t = tokenizers.Tokenizer.from_file(PATH)
+    texts = [prose(1, 900), "no_spaces" * 300, " ".join("é à ü" for _ in range(300)), "  \n  " * 200 + "end", prose(2, 30), "", prose(3, 5)]
+    want = [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
+    monkeypatch.setattr(packing, "BYTES_AT_ONCE", 300)
+    monkeypatch.setattr(words, "BLOCK", 64)
+    assert packing.Encoder(PATH)([x.encode() for x in texts]) == want
+    assert all(b"".join(packing.portions(x.encode(), 100)) == x.encode() for x in texts)
+
+
 def test_words_are_forgotten_and_learned_again(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 40)
     t = tokenizers.Tokenizer.from_file(PATH)
