@@ -83,3 +83,18 @@ def test_a_bounded_model_still_backs_off(spark, monkeypatch):
     assert len(m.words) <= 10
     got = {r.doc_id: r.lang_pred for r in langid.predict(df, m).collect()}
     assert sum(got[r[0]] == r[2] for r in documents(300)) > 270
+
+
+def test_features_out_of_memory_count_alike(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, words(r, lang, 8), lang, "", "") for i in range(400) for lang in ["aa" if i % 20 else "cc"]]  # one in twenty
+    asked = rows[:60] + [(900, "xyzé", "", "", ""), (901, "qqq", "", "", ""), (902, None, "", "", ""), (903, "12", "", "", ""), (904, "zzxq é", "", "", "")]
+    df, ask = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(asked + asked[:3], SCHEMA)
+    whole = langid.train(df)
+    want = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.predict(ask, whole).collect())
+    for most, grams in ((10, 30_000), (100_000, 3), (5, 2), (0, 0)):
+        monkeypatch.setattr(langid, "WORDS", most)
+        monkeypatch.setattr(langid, "GRAMS", grams)
+        m = langid.train(df)
+        assert len(m.words) + len(m.grams) < len(whole.words) + len(whole.grams)
+        assert sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.predict(ask, m).collect()) == want
