@@ -23,7 +23,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 DAMPING = 0.85
+#: The rounds of the SQL, which has no loop that ends by a test.
 ITERATIONS = 8
+#: Rounds go on until all scores together can change by no more than this, in pages.
+TOLERANCE = 1e-6
 #: A host is blocked if its distrust less its trust, in pages, is over this share of its pages.
 THRESHOLD = 0.5
 #: Sums of floating-point numbers may differ this much with their order; they never tip a verdict.
@@ -66,12 +69,16 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     )
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, kind, score): trust along the edges and distrust against them.
 
     ``seeds`` has (host, kind, weight); kind is 'trust' or 'distrust'. Both flow
     in one job. The score is the PageRank personalised by the seeds, times the
     sum of their weights; mass at a host without further edges ends there.
+
+    A round moves what the last one added. Each keeps at most ``damping`` of
+    it, so all later rounds together add at most damping / (1 - damping) of
+    what the last one added; they end when that is at most ``tolerance``.
     """
     both = stored(
         edges.select(F.lit("trust").alias("kind"), "src", "dst").unionByName(
@@ -84,18 +91,23 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iter
         both.join(degree, ["kind", "src"]).select("kind", "src", "dst", (F.lit(damping) / F.col("_out")).alias("_w")),
         "flow",
     )
-    base = seeds.select("host", "kind", (F.col("weight") * (1 - damping)).alias("score"))
-    state = base
-    for i in range(iterations):
-        moved = (
-            flow.join(state.withColumnRenamed("host", "src"), ["kind", "src"])
-            .groupBy(F.col("dst").alias("host"), "kind")
-            .agg(F.sum(F.col("score") * F.col("_w")).alias("score"))
-        )
-        state = moved.unionByName(base).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if i % 4 == 3:
-            state = stored(state, "ranks")
-    return state
+    score = F.col("weight") * (1 - damping)
+    state = seeds.groupBy("host", "kind").agg(F.sum(score).alias("score"), F.sum(score).alias("added"))
+    left = float("inf")
+    while left > tolerance:
+        for _ in range(4):
+            moved = (
+                flow.join(state.filter("added > 0").select(F.col("host").alias("src"), "kind", "added"), ["kind", "src"])
+                .groupBy(F.col("dst").alias("host"), "kind")
+                .agg(F.sum(F.col("added") * F.col("_w")).alias("added"))
+            )
+            both_rounds = state.select("host", "kind", "score", F.lit(0.0).alias("added")).unionByName(
+                moved.select("host", "kind", F.col("added").alias("score"), "added")
+            )
+            state = both_rounds.groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("added").alias("added"))
+        state = stored(state, "ranks")
+        left = (state.agg(F.sum("added")).first()[0] or 0.0) * damping / (1 - damping)
+    return state.select("host", "kind", "score")
 
 
 def judge(
@@ -106,14 +118,15 @@ def judge(
     html: str = "html",
     threshold: float = THRESHOLD,
     damping: float = DAMPING,
-    iterations: int = ITERATIONS,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict ('allow' or 'block').
 
     A null url, or one without ``://``, has an empty host and path, fits no
     rule and is allowed. Null html has no links. Repeated rows are judged
     alike and each counts as a page. A host without trust or distrust is
-    allowed. An empty table gives an empty result; other columns are not read.
+    allowed. A host that occurs as a link's target only counts as one page if a
+    rule without a path covers it. An empty table gives an empty result; other columns are not read.
 
     Pages are counted per host before anything is joined, so a host with a
     large share of all pages is one row of the graph; the last join meets
@@ -135,7 +148,13 @@ def judge(
         "hosts",
     )
     seeds = hosts.selectExpr("host", "stack(2, 'trust', trust, 'distrust', distrust) as (kind, weight)").filter("weight > 0")
-    ranks = propagate(seeds, host_edges(pages, url, html), damping, iterations)
+    edges = stored(host_edges(pages, url, html), "links")
+    whole = [(said, text) for said, text in rules if text.partition("/")[2] == ""]
+    targets = edges.select(F.col("dst").alias("host")).distinct().join(hosts, "host", "left_anti")
+    kind = F.when(rule_of(F.col("host"), F.lit("/"), whole)[1] == "allow", "trust").otherwise("distrust")
+    linked = targets.filter(rule_of(F.col("host"), F.lit("/"), whole)[1].isNotNull())
+    seeds = seeds.unionByName(linked.select("host", kind.alias("kind"), F.lit(1).cast("long").alias("weight")))
+    ranks = propagate(seeds, edges, damping, tolerance)
     excess = ranks.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(-F.col("score"))).alias("_excess")
     )

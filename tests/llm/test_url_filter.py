@@ -90,3 +90,23 @@ def test_sql_on_linked_pages(spark):
 
 def test_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], SCHEMA), URL_RULES).collect() == []
+
+
+def test_chains_are_followed_to_the_end(spark):
+    n = 40
+    pages = [(i, f"http://c{i}.com/", f'<a href="http://c{i + 1}.com/">', "h", 1, 1) for i in range(1, n + 1)]  # c41 is the last
+    pages += [(1000 + i, "http://c41.com/de/", None, "h", 1, 1) for i in range(100)]
+    pages += [(2000 + i, f"http://r{i}.com/", f'<a href="http://r{(i + 1) % 3}.com/"><a href="http://c1.com/">', "h", 1, 1) for i in range(3)]
+    rules = [("block", "c41.com/de/")]
+    got = rows_of(url_filter.judge(spark.createDataFrame(pages, SCHEMA), rules))
+    assert got == plain(pages, rules, iterations=400)
+    assert sorted(r[0] for r in got if r[4] == "block" and r[0] <= n) == list(range(9, n + 1))  # up to 32 links away
+    assert plain(pages, rules, iterations=url_filter.ITERATIONS) != got
+
+
+def test_targets_without_pages_are_seeds(spark):
+    pages = [(1, "http://a.com/", '<a href="http://x.net/1">', "h", 1, 1), (2, "http://b.com/", '<a href="http://x.example.com/">', "h", 1, 1)]
+    rules = [("block", "net/"), ("block", "example.com/de/"), ("allow", "x.org/")]
+    df = spark.createDataFrame(pages, SCHEMA)
+    assert {r[0]: r[4] for r in rows_of(url_filter.judge(df, rules))} == {1: "block", 2: "allow"}
+    assert {r[0]: r[4] for r in rows_of(url_filter.judge(df, [*rules, ("allow", "x.net/")]))} == {1: "allow", 2: "allow"}
