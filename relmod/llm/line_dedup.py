@@ -90,25 +90,31 @@ def _digests(text: str | None, min_chars: int) -> set[bytes]:
     return {d for line in text.split("\n") if len(line) >= min_chars and (d := line_digest(line, min_chars))}
 
 
-HASHES = "hi long, lo long, id long"
+def _id(key: str):
+    return F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))
+
+
+HASHES = "hi long, lo long, id long, own long"
 
 
 def line_hashes(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(hi, lo, id): each document's distinct line hashes."""
+    """(hi, lo, id, own): each document's distinct line hashes; ``own`` tells documents of one id apart, by their text."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, flat = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids, owns, flat = [], [], []
+            for i, own, t in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 found = _digests(t, min_chars)
                 ids.extend([i] * len(found))
+                owns.extend([own] * len(found))
                 flat.extend(found)
             pair = np.frombuffer(b"".join(flat), "<i8").reshape(-1, 2)
-            columns = [pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])), pa.array(ids, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["hi", "lo", "id"])
+            columns = [pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))]
+            columns += [pa.array(ids, pa.int64()), pa.array(owns, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["hi", "lo", "id", "own"])
             give_back()
 
-    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
+    rows = df.select(_id(key).alias("id"), F.xxhash64(text).alias("own"), F.col(text).alias("text"))
     return rows.mapInArrow(hashes, HASHES)
 
 
@@ -151,23 +157,23 @@ def _shard(shards: int):
     return F.pmod(F.col("hi"), F.lit(shards)).cast("int")
 
 
-DROPS = "id long, digest binary"
+DROPS = "id long, own long, digest binary"
 
 
 def _probe(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     if not len(index) or not len(probes):
-        return pd.DataFrame({"id": np.empty(0, np.int64), "digest": np.empty(0, object)})
+        return pd.DataFrame({"id": np.empty(0, np.int64), "own": np.empty(0, np.int64), "digest": np.empty(0, object)})
     shard = index.iloc[0]
-    hi, lo, ids = (probes[c].to_numpy() for c in ("hi", "lo", "id"))
+    hi, lo, ids, owns = (probes[c].to_numpy() for c in ("hi", "lo", "id", "own"))
     at = numbers(list(shard["levels"]), hi, lo)
     prints, keep = np.frombuffer(shard["prints"], np.int64), np.frombuffer(shard["keep"], np.int64)
     drop = (at >= 0) & (prints[at] == lo) & (keep[at] != ids)
     pair = np.stack([hi[drop], lo[drop]], axis=1).astype("<i8")
-    return pd.DataFrame({"id": ids[drop], "digest": [row.tobytes() for row in pair]})
+    return pd.DataFrame({"id": ids[drop], "own": owns[drop], "digest": [row.tobytes() for row in pair]})
 
 
 def lines_to_drop(df: DataFrame, key: str, text: str, min_docs: int, min_chars: int) -> DataFrame:
-    """(id, digest) of the lines that each document loses."""
+    """(id, own, digest) of the lines that each document loses."""
     spark = df.sparkSession
     hashes = stored(line_hashes(df, key, text, min_chars), "lines")
     n = hashes.count()
@@ -179,10 +185,10 @@ def lines_to_drop(df: DataFrame, key: str, text: str, min_docs: int, min_chars:
     parts = (F.floor(F.col("load") / F.lit(2 * usual)) + 1).cast("int")
     split = index.filter(parts > 1).select("shard", parts.alias("parts"))  # fewer rows than shards
     probes = (
-        hashes.withColumn("shard", _shard(shards))
+        hashes.withColumns({"shard": _shard(shards), "_n": F.monotonically_increasing_id()})
         .join(F.broadcast(split), "shard", "left")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
-        .select("shard", "part", "hi", "lo", "id")
+        .withColumn("part", F.pmod(F.xxhash64("_n"), F.coalesce("parts", F.lit(1))).cast("int"))
+        .select("shard", "part", "hi", "lo", "id", "own")
     )
     arrays = index.select("shard", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "levels", "prints", "keep")
     return (
@@ -190,6 +196,15 @@ def lines_to_drop(df: DataFrame, key: str, text: str, min_docs: int, min_chars:
     )
 
 
+def lists_to_drop(df: DataFrame, key: str, text: str, min_docs: int, min_chars: int) -> DataFrame:
+    """(id, own, gone): the distinct digests that documents of one id and text lose, so no more than one document's lines.
+
+    Whether a line goes depends on the line and the id alone, so texts whose
+    hashes clash would share a list without harm.
+    """
+    return lines_to_drop(df, key, text, min_docs, min_chars).groupBy("id", "own").agg(F.collect_set("digest").alias("gone"))
+
+
 # ---------------------------------------------------------------- documents
 
 
@@ -209,12 +224,11 @@ def drop_repeated_lines(
     """
     kept = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    gone = lines_to_drop(df, key, text, min_docs, min_chars)
-    own, lost_lines = fresh(df, "_id", "_gone")
-    lists = gone.groupBy(F.col("id").alias(own)).agg(F.collect_list("digest").alias(lost_lines))
+    number, own, lost_lines = fresh(df, "_id", "_own", "_gone")
+    lists = lists_to_drop(df, key, text, min_docs, min_chars).toDF(number, own, lost_lines)
     columns_kept = [F.col(f"`{c}`") for c in kept]
-    both = df.select(*columns_kept, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias(own))
-    both = both.join(lists, own, "left").select(*columns_kept, lost_lines)
+    both = df.select(*columns_kept, _id(key).alias(number), F.xxhash64(text).alias(own))
+    both = both.join(lists, [number, own], "left").select(*columns_kept, lost_lines)
     where = kept.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,3 +74,12 @@ def test_hot_line_and_random_lines(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def test_lists_of_one_key_hold_one_documents_lines(spark):
+    lines = [f"line number {i} of a small collection of lines" for i in range(12)]
+    rows = [(None if i % 2 else 7, "\n".join(lines[i % 9 : i % 9 + 3]), "", 1, 1) for i in range(300)]
+    rows += [(9, "\n".join(lines), "", 1, 1)]
+    lists = line_dedup.lists_to_drop(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", 5, 40).collect()
+    assert len(lists) == 18 and all(len(r.gone) == 3 for r in lists)
+    check(spark, rows)
