@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relmod.llm import chat, embed_dedup, exact_dedup, jaccard, langid, line_dedup, packing, pieces, sharding, url_filter
+from relmod.llm import (
+    chat,
+    embed_dedup,
+    exact_dedup,
+    jaccard,
+    langid,
+    line_dedup,
+    packing,
+    pieces,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from relmod.llm.common import table
 
 SHARDS = 40
@@ -96,6 +108,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(table(spark, sf_dir, "documents"), SHARDS)
 
 
+#: A document of more tokens is over the limit.
+TOKEN_LIMIT = 4096
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(PIECES), TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -109,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_chat_format,
         op10_sharding,
+        op13_token_counts,
     )
 }
 
