@@ -14,6 +14,7 @@ from relmod.llm import (
     jaccard,
     langid,
     line_dedup,
+    merkle,
     packing,
     pieces,
     sharding,
@@ -108,6 +109,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(table(spark, sf_dir, "documents"), SHARDS)
 
 
+#: The columns that a leaf covers, in this order.
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    manifest = merkle.build(table(spark, sf_dir, "documents"), LEAF_COLUMNS, altered={"text": lowered})
+    return merkle.proofs(manifest, with_proof=False).withColumnRenamed("key", "doc_id")
+
+
 #: A document of more tokens is over the limit.
 TOKEN_LIMIT = 4096
 
@@ -129,11 +142,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_chat_format,
         op10_sharding,
+        op11_merkle_manifest,
         op13_token_counts,
     )
 }
 
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in (*LEAF_COLUMNS[:-1], text)]
+    return f"sha256({' || '.join(fields)})"
+
+
 SQL: dict[str, str] = {
+    "op11_merkle_manifest": merkle.proofs_sql(
+        f"""SELECT doc_id, lang AS grp, {_leaf_sql("text")} AS leaf,
+                   CASE WHEN {_crc_sql("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 AND doc_id IS NOT NULL
+                        THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS altered
+            FROM documents"""
+    ),
     "op1_line_dedup": rf"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
