@@ -13,6 +13,7 @@ from relmod.llm import (
     exact_dedup,
     jaccard,
     langid,
+    lexical,
     line_dedup,
     merkle,
     packing,
@@ -121,6 +122,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(manifest, with_proof=False).withColumnRenamed("key", "doc_id")
 
 
+#: Results per query.
+RESULTS = 20
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), RESULTS)
+
+
 #: A document of more tokens is over the limit.
 TOKEN_LIMIT = 4096
 
@@ -143,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_format,
         op10_sharding,
         op11_merkle_manifest,
+        op12_lexical_search,
         op13_token_counts,
     )
 }
@@ -154,6 +165,7 @@ def _leaf_sql(text: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "op12_lexical_search": lexical.search_sql(RESULTS, _UPPER, _LOWER),
     "op11_merkle_manifest": merkle.proofs_sql(
         f"""SELECT doc_id, lang AS grp, {_leaf_sql("text")} AS leaf,
                    CASE WHEN {_crc_sql("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 AND doc_id IS NOT NULL
