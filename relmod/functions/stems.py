@@ -1,24 +1,39 @@
-"""Stemming (SCL-4) as a join with a given (word, stem) table."""
+"""Stemming (SCL-4) as a join with a (word, stem) table, a given one or that of the English rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relmod.functions.english import english_stems
 from relmod.functions.text import normalize, split_tokens
 from relmod.params import WHITESPACE_CLASS, TextOptions
 
 
-def stemmed_tokens(df: DataFrame, id_col: str, text_col: str, stems: DataFrame, opts: TextOptions = TextOptions()) -> DataFrame:
+def text_words(df: DataFrame, id_col: str, text_col: str, opts: TextOptions = TextOptions()) -> DataFrame:
+    """(id, pos, word): whitespace words of the normalised text."""
+    return df.select(
+        id_col, F.posexplode(F.split(normalize(text_col, opts), WHITESPACE_CLASS)).alias("pos", "word")
+    ).filter(F.col("word") != "")
+
+
+def stem_lexicon(words: DataFrame) -> DataFrame:
+    """(word, stem) by the English rules, each distinct word stemmed once."""
+    return english_stems(words.select("word").distinct())
+
+
+def stemmed_tokens(
+    df: DataFrame, id_col: str, text_col: str, stems: DataFrame | None = None, opts: TextOptions = TextOptions()
+) -> DataFrame:
     """(id, tokens) with the full chain and stems (SCL-7 with the stemming switch).
 
     normalise -> whitespace words with their positions -> their stems by a join
     (a word that the table lacks is its own stem) -> stop-words -> join by a
-    space per document -> delimiter tokenizer. ``stems`` has one row per word.
+    space per document -> delimiter tokenizer. ``stems`` has one row per word;
+    without it, the words' stems are those of the English rules.
     """
-    words = df.select(
-        id_col, F.posexplode(F.split(normalize(text_col, opts), WHITESPACE_CLASS)).alias("pos", "word")
-    ).filter(F.col("word") != "")
+    words = text_words(df, id_col, text_col, opts)
+    stems = stem_lexicon(words) if stems is None else stems
     stemmed = words.join(stems.select("word", "stem"), "word", "left").withColumn("stem", F.coalesce("stem", "word"))
     if opts.stopwords:
         stemmed = stemmed.filter(~F.col("stem").isin(list(opts.stop_words)))

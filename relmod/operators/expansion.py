@@ -168,11 +168,11 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
     """
     mu = checked_mu(models.params.mu if mu is None else mu)
     copies = len(settings) if settings else 1
-    base = models.cand_len.select("qid", "doc_id", "doc_len")
+    base = models.lengths()
     if settings:
         keys = ["setting_id"]
         grid = F.array(*[F.struct(F.lit(i).alias("setting_id"), F.lit(checked_mu(m)).alias("mu")) for i, m in settings])
-        base = base.select("*", F.explode(grid).alias("_s")).select("_s.setting_id", "_s.mu", "qid", "doc_id", "doc_len")
+        base = base.select("*", F.explode(grid).alias("_s")).select("_s.setting_id", "_s.mu", "bucket", "qid", "doc_id", "doc_len")
     else:
         keys = []
         base = base.withColumn("mu", F.lit(mu))
@@ -180,7 +180,8 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
     pos = rm.filter((F.col("r") > 0) & ~F.isnan("r"))  # FLT-4
     pos = materialize(pos)
     supp = materialize(
-        models.attach_terms(models.bg.select("qid", "term", "p_bg"), pos, ["qid", "term"])
+        models.lookup(pos)
+        .select(*keys, "mu", "qid", "term_id", "r", "p_bg")
         .withColumn("mpb", F.col("mu") * F.col("p_bg"))
         .filter(F.col("mpb") > 0)
     )
@@ -188,13 +189,14 @@ def score_b(rm: DataFrame, models: CandidateModels, mu=None, settings=None) -> D
         F.sum(F.col("r") * F.log10(F.col("r") / F.col("mpb"))).alias("cq"),
         F.sum("r").alias("rq"),
     )
+    pair = [*keys, "bucket", "qid", "doc_id"]
     hits = (
-        models.attach_terms(models.cand_tf.select("qid", "doc_id", "term", "tf"), supp.select(*keys, "qid", "term", "r", "mpb"), ["qid", "term"])
-        .groupBy(*keys, "qid", "doc_id")
+        models.attach_terms(models.exploded(), supp.select(*keys, "qid", "term_id", "r", "mpb"), ["qid", "term_id"])
+        .groupBy(*pair)
         .agg(F.sum(F.col("r") * F.log10((F.col("tf") + F.col("mpb")) / F.col("mpb"))).alias("h"))
     )
     return (
-        models.attach(models.attach(base, per_q, [*keys, "qid"], "left", copies), hits, [*keys, "qid", "doc_id"], "left", copies)
+        models.attach(models.attach(base, per_q, [*keys, "qid"], "left", copies), hits, pair, "left", copies)
         .select(
             *keys,
             "qid",

@@ -30,7 +30,7 @@ def contexts(models: CandidateModels, qtf: DataFrame, window: int = WINDOW) -> D
     counts are partially aggregated before they are shuffled.
     """
     terms = qtf.groupBy("qid").agg(F.collect_set("term").alias("_terms"))  # as many as a query has
-    docs = models.cset.join(models.doc_tokens, "doc_id").join(terms, "qid")
+    docs = models.cset.select("qid", "doc_id").join(models.doc_tokens, "doc_id").join(terms, "qid")
     places = F.filter(F.sequence(F.lit(1), F.size("tokens")), lambda i: F.array_contains("_terms", F.element_at("tokens", i)))
     at = docs.filter(F.size("tokens") > 0).select("qid", "tokens", F.explode(places).alias("i"))
     first = F.greatest(F.col("i") - window, F.lit(1))

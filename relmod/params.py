@@ -82,7 +82,7 @@ class TextOptions:
     stemming: bool = False
     stopwords: bool = True
     stop_words: tuple = STOP_WORDS
-    # With ``stemming``: a DataFrame (word, stem), one row per word.
+    # With ``stemming``: a DataFrame (word, stem), one row per word; None is the English rules.
     stems: object = field(default=None, compare=False)
 
 

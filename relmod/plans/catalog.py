@@ -18,8 +18,10 @@ from relmod.operators import feedback as fb
 from relmod.operators import local_context as lc
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import last_wins
-from relmod.functions.stems import stemmed_tokens
-from relmod.params import WHITESPACE_CLASS, Params, TextOptions
+from relmod.functions.english import english_stems_sql
+from relmod.functions.stems import stem_lexicon as stem_table
+from relmod.functions.stems import stemmed_tokens, text_words
+from relmod.params import Params, TextOptions
 from relmod.plans import oracle as O
 from relmod.plans import pipelines as P
 from relmod.sources import fixtures as X
@@ -804,27 +806,16 @@ def sweep_local(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# stemming (SCL-4): a (word, stem) table is an input; here it is made of the
-# documents' own words, a word's stem being the word without its last s if the
-# documents have that, too
+# stemming (SCL-4): the English rules over the documents' distinct words
 # ---------------------------------------------------------------------------
 _WORDS_SQL = f"(SELECT DISTINCT unnest({O.words_sql('text')}) AS word FROM documents)"
-_STEMS_SQL = (
-    f"SELECT a.word, coalesce(b.word, a.word) AS stem FROM {_WORDS_SQL} a LEFT JOIN {_WORDS_SQL} b"
-    " ON a.word LIKE '%s' AND b.word = left(a.word, length(a.word) - 1)"
-)
+_STEMS_SQL = english_stems_sql(_WORDS_SQL)
 
 
 @register("stem_lexicon", _STEMS_SQL)
 def stem_lexicon(spark, sf_dir):
     """(word, stem) for every distinct normalised whitespace word of the documents."""
-    d = X.table(spark, sf_dir, "documents")
-    words = d.select(F.explode(F.split(T.normalize("text"), WHITESPACE_CLASS)).alias("word")).filter(F.col("word") != "").distinct()
-    shorter = F.when(F.endswith("word", F.lit("s")), F.expr("left(word, length(word) - 1)"))
-    known = words.select(F.col("word").alias("stem"))
-    return words.withColumn("_stem", shorter).join(known, F.col("_stem") == F.col("stem"), "left").select(
-        "word", F.coalesce("stem", "word").alias("stem")
-    )
+    return stem_table(text_words(X.table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
 @register(
@@ -838,5 +829,5 @@ def stem_lexicon(spark, sf_dir):
 def stemmed_documents(spark, sf_dir):
     """SCL-4 in the chain: the documents' tokens with every word's stem."""
     d = X.table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = stemmed_tokens(d, "doc_id", "text", stem_lexicon(spark, sf_dir), TextOptions(stemming=True))
+    out = stemmed_tokens(d, "doc_id", "text", opts=TextOptions(stemming=True))
     return out.select("doc_id", F.array_join("tokens", " ").alias("text"))

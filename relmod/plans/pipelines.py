@@ -48,9 +48,7 @@ def rerank_feedback(
         bad = fb.oov_tokens(qtf, models).limit(1).count()
         if bad:
             raise ValueError("query terms absent from all candidates (oov='error')")
-    lik = fb.query_likelihood(qtf, models)
-    p_rm = fb.feedback_model(lik, models)
-    run = rank_run(fb.score_a(p_rm, models)).select("qid", "doc_id", "rank", "score")
+    run = rank_run(fb.rescore(qtf, models)).select("qid", "doc_id", "rank", "score")
     models.unpersist()
     return run
 
