@@ -138,10 +138,18 @@ def frequent_shingles(df: DataFrame, text: str, words: int) -> tuple[np.ndarray,
         if held + r[1] > FREQUENT:
             break
         held, least = held + r[1], r[0]
-    rows = totals.filter(step >= least).toPandas()  # at most FREQUENT
-    token = rows["token"].to_numpy().astype(np.int64).view(np.uint64)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = [np.asarray(c.to_numpy(zero_copy_only=False), np.int64).tobytes() for c in batch.columns]
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], ["tokens", "counts"])
+
+    # at most FREQUENT, as packed numbers of 16 bytes: 16 MB
+    blobs = totals.filter(step >= least).select("token", "n").mapInArrow(pack, "tokens binary, counts binary").collect()
+    token = np.frombuffer(b"".join(bytes(b[0]) for b in blobs), np.uint64)
+    n = np.frombuffer(b"".join(bytes(b[1]) for b in blobs), np.int64)
     order = np.argsort(token)
-    return token[order], rows["n"].to_numpy().astype(np.int64)[order]
+    return token[order], n[order]
 
 
 def document_sets(rows: DataFrame, words: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
