@@ -15,19 +15,18 @@ from relmod.llm import jaccard, langid, line_dedup, packing
 from relmod.llm.common import stored, table
 from relmod.llm.queries import TOKENIZER, tokenizer_path
 
-#: A document whose likeliest language has a smaller share than this is rejected.
-MIN_LANGUAGE_SCORE = 0.4
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents' own languages; ``lang`` becomes the predicted one.
 
-    Rejected are documents without a letter or without a likely language.
+    Rejected are documents without a letter (or text), whose language stays
+    undetermined. How sure a prediction is decides nothing: a short text of
+    words that languages share, or of new ones, is no worse a document.
     """
     names = docs.columns
     found = langid.predict(docs.withColumnRenamed("lang", "_lang_given"), langid.train(docs), keep=[c if c != "lang" else "_lang_given" for c in names])
-    sure = found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return sure.withColumn("lang", F.col("lang_pred")).select(*names)
+    known = found.filter(F.col("lang_pred") != langid.UNDETERMINED)
+    return known.withColumn("lang", F.col("lang_pred")).select(*names)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document and its place in a sequence."""
-    return packing.pack(docs, tokenizer_path(TOKENIZER))
+    """One row per piece of a document, its place in a sequence and its token ids."""
+    return packing.pack(docs, tokenizer_path(TOKENIZER), with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

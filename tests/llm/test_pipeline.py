@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -54,13 +55,33 @@ def test_stages_against_plain_versions(spark, prose, tmpdir_run):
 
     tokenizer = Tokenizer.from_file(corpus_pipeline.tokenizer_path(corpus_pipeline.TOKENIZER))
     tokens = {r.doc_id: len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in out["ngram_jaccard"]}
-    packed = {}
+    packed, ids = {}, {r.doc_id: tokenizer.encode(r.text, add_special_tokens=False).ids + [1] for r in out["ngram_jaccard"]}
     for r in out["packing"]:
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.doc_id][r.start : r.start + r.length]
         packed[r.doc_id] = packed.get(r.doc_id, 0) + r.length
         assert r.doc_tokens == tokens[r.doc_id]
     assert packed == tokens
 
 
+def test_short_texts_of_several_languages_stay(spark):
+    """Only texts without a letter go, whatever the languages share and however little is known of a text."""
+    texts = {
+        "aa": ["la casa roja la mesa", "la casa es la casa de mesa"],
+        "bb": ["le chat la maison", "la maison de le chat"],
+        "cc": ["das haus la katze", "das haus de katze"],
+        "dd": ["the house the cat", "a cat de house la"],
+    }
+    rows = [(k * 10 + i, t, lang, "s", len(t)) for k, (lang, some) in enumerate(texts.items()) for i, t in enumerate(some)]
+    short = ["la", "de", "xyzzy", "Ω", "日本", "q 1", "la de", "a"]
+    rows += [(100 + i, t, None, "s", len(t)) for i, t in enumerate(short)]
+    rows += [(200, "123", "aa", "s", 3), (201, "", "bb", "s", 0), (202, None, "cc", "s", 0), (203, "?! .", None, "s", 4)]
+    got = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows if r[0] < 200)
+    assert {r.lang for r in got} <= set(texts)
+    right = {r[0]: r[2] for r in rows if r[0] < 100}
+    assert all(r.lang == right[r.doc_id] for r in got if r.doc_id in right)
+
+
 def test_run_equals_its_stages(spark, prose, tmpdir_run):
     spark.createDataFrame(documents(prose), SCHEMA).write.parquet(f"{tmpdir_run}/documents.parquet")
     docs = spark.read.parquet(f"{tmpdir_run}/documents.parquet")
