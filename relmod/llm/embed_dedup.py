@@ -99,7 +99,20 @@ def list_decode(unit: np.ndarray, rotation: np.ndarray, codes: list[np.ndarray],
 LINKS = "a long, b long, n long"
 
 
-def _links_of(rows: pa.Table, kind: str, cosine: float, code: tuple) -> pa.RecordBatch:
+def codes_by_size(counts: dict[int, int], step: int) -> dict[int, tuple[int, tuple]]:
+    """For each vector size in bytes, the number of its first filter and its product code; ``counts`` has the vectors.
+
+    Vectors of different lengths have filters of their own, so they never meet.
+    """
+    out, first = {}, 0
+    for size, n in sorted(counts.items()):
+        code = product_code(size // step, n)
+        out[size] = first, code
+        first += math.prod(len(c) for c in code[1])
+    return out
+
+
+def _links_of(rows: pa.Table, kind: str, cosine: float, codes: dict[int, tuple[int, tuple]]) -> pa.RecordBatch:
     """Of whole groups (filter, left, right, block, uid, weight, vec): link counts (a, null, n) and joining links (a, b, 0)."""
     group = keys_of(rows, 3)
     block, uid, weight = (rows.column(i).to_numpy().astype(np.int64) for i in range(3, 6))
@@ -120,7 +133,8 @@ def _links_of(rows: pa.Table, kind: str, cosine: float, code: tuple) -> pa.Recor
             continue
         near, ids = near[np.ix_(some, some)], uid[start:end][some]
         # a pair is counted in the smallest filter that both are in
-        this = group[start, 0]
+        offset, code = codes[len(raw[start])]
+        this = group[start, 0] - offset
         columns: dict[int, list[int]] = {}
         for k, filters in enumerate(list_decode(x[some], *code)):
             for f in filters[: np.searchsorted(filters, this)].tolist():
@@ -159,8 +173,9 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     Two vectors link when their cosine, in double precision, is at least
     ``cosine``; every link found is a real one, and filters find nearly all
-    (the tests measure the share). Vectors that are null, zero, of another
-    length than most, or hold null or non-finite components link with nothing.
+    (the tests measure the share). Vectors that are null, zero, or hold null or
+    non-finite components link with nothing; vectors of different lengths do not
+    link with one another. There is a product code for every length that occurs.
     n_links counts the other rows linked directly, component_id is the smallest
     key that links reach, and kept marks the rows whose key it is. Equal
     vectors are compared once and all link. Rows that repeat a key are rows of
@@ -185,23 +200,25 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     source = df.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("uid"), F.col(vector).cast("array<double>" if wide else "array<float>").alias("vec"))
     rows = stored(source.mapInArrow(checked, nullable(source.selectExpr("id", "uid", "X'' AS vec").schema)), "vectors")
-    lengths = rows.filter("vec is not null").groupBy(F.length("vec").alias("size")).count()
-    usual = lengths.orderBy(F.desc("count"), F.desc("size")).limit(1).collect()  # one row
-    if not usual:
-        return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    size = usual[0][0]
-    usable = F.length("vec") == size
     classes = stored(
-        rows.filter(usable).groupBy("vec").agg(F.min("uid").alias("uid"), F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")),
+        rows.filter("vec is not null").groupBy("vec").agg(F.min("uid").alias("uid"), F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")),
         "classes",
     )
-    code = product_code(size // step, classes.count())
+    codes = codes_by_size(dict(classes.groupBy(F.length("vec")).count().collect()), step)  # a row per length
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).reshape(batch.num_rows, -1).astype(np.float64)
-            found = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), *code) if len(x) else []
-            filters = pa.array([f.tolist() for f in found], pa.list_(pa.int64()))
+            raw = batch.column(2).to_pylist()
+            found: list[list[int]] = [[] for _ in raw]
+            by_size: dict[int, list[int]] = {}
+            for at, b in enumerate(raw):
+                by_size.setdefault(len(b), []).append(at)
+            for size, some in by_size.items():
+                offset, code = codes[size]
+                x = np.frombuffer(b"".join(raw[at] for at in some), kind).reshape(len(some), -1).astype(np.float64)
+                for at, f in zip(some, list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), *code), strict=True):
+                    found[at] = (f + offset).tolist()
+            filters = pa.array(found, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, filters], ["uid", "weight", "vec", "filters"])
 
     placed = stored(
@@ -216,7 +233,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, 3):
-            yield _links_of(groups, kind, cosine, code)
+            yield _links_of(groups, kind, cosine, codes)
 
     keys = ["filter", "left", "right"]
     links = stored(

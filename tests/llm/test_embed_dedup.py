@@ -6,17 +6,17 @@ SCHEMA = "vec_id long, embedding array<float>, label int, filters string, n_link
 
 
 def plain(rows, cosine=0.95):
-    sizes = {}
     usable = []
     for _, v, *_ in rows:
         ok = bool(v) and None not in v and np.isfinite(np.asarray(v, np.float32)).all() and np.any(v)
         usable.append(np.asarray(v, np.float32).astype(np.float64) if ok else None)
-        if ok:
-            sizes[len(v)] = sizes.get(len(v), 0) + 1
-    size = max(sizes, key=lambda s: (sizes[s], s)) if sizes else 0
-    unit = [u / np.linalg.norm(u) if u is not None and len(u) == size else None for u in usable]
+    unit = [u / np.linalg.norm(u) if u is not None else None for u in usable]
     n = len(rows)
-    near = [[j for j in range(n) if j != i and unit[i] is not None and unit[j] is not None and unit[i] @ unit[j] >= cosine] for i in range(n)]
+
+    def linked(x, y):
+        return x is not None and y is not None and len(x) == len(y) and x @ y >= cosine
+
+    near = [[j for j in range(n) if j != i and linked(unit[i], unit[j])] for i in range(n)]
     out = []
     for i in range(n):
         met, todo = {i}, [i]
@@ -58,6 +58,20 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert got(spark, rows) == plain(rows)
 
 
+def test_vectors_of_several_lengths(spark):
+    """Each length links among its own, also the rarer ones, whatever the most frequent is."""
+    rows, at = [], 0
+    for dim, n, copies in ((24, 120, 40), (16, 60, 50), (3, 9, 5), (1, 2, 2)):
+        for v in vectors(dim, n, dim, copies):
+            rows.append((at, v, dim, "", ""))
+            at += 1
+        rows += [(at + k, rows[-1][1], dim, "", "") for k in range(3)]
+        at += 3
+    found = got(spark, rows)
+    assert found == plain(rows)
+    assert all(any(n for i, n, *_ in found if rows[i][2] == dim) for dim in (24, 16, 3, 1))
+
+
 def test_recall_of_the_filters(spark):
     r = np.random.default_rng(4)
     dim, pairs = 64, 1500
