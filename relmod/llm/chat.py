@@ -22,6 +22,9 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 MARK, BROKEN_MARK = "<|im_", "< |im_"
 SYSTEM = "system"
 UNNAMED = "unknown"
+#: What names cannot hold as it is: white space and the marks' characters, and the percent sign that stands for them.
+ESCAPED = "% \t\n\x0b\f\r<|>"
+_NAMED_UNNAMED = f"%{ord(UNNAMED[0]):02X}{UNNAMED[1:]}"
 ROWS_PER_TASK = 50_000
 
 
@@ -35,7 +38,9 @@ def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     its words and the closing mark; null in other segments).
 
     Turns stand in order of turn, then speaker, then the text's md5; null
-    turns come first. A null or empty role is the speaker 'unknown', a null
+    turns come first. A null or empty role is the speaker 'unknown'; names are
+    told apart one to one, characters that a rendering's head cannot hold being
+    written as % and two hex digits, and a role named 'unknown' as '%75nknown'. A null
     text is empty, a null conv_id is a conversation. Repeated rows are
     repeated turns. A conversation in which only the system speaks has no
     participant and no rendering. An empty table gives an empty result; other
@@ -46,7 +51,10 @@ def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     partition plus the sums of the partitions before it.
     """
     spark = df.sparkSession
-    name = F.regexp_replace(F.coalesce(F.nullif(F.col(role), F.lit("")), F.lit(UNNAMED)), r"[\s<|>]+", "_")
+    name = F.col(role)
+    for c in ESCAPED:
+        name = F.replace(name, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    name = F.when(name == UNNAMED, F.lit(_NAMED_UNNAMED)).otherwise(F.coalesce(F.nullif(name, F.lit("")), F.lit(UNNAMED)))
     turns = df.select(
         F.col(conv).alias("conv_id"),
         F.col(turn).alias("turn"),
@@ -132,9 +140,16 @@ def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     )
 
 
+def _name_sql(role: str) -> str:
+    name = role
+    for c in ESCAPED:
+        name = f"replace({name}, chr({ord(c)}), '%{ord(c):02X}')"
+    return f"CASE WHEN {name} = '{UNNAMED}' THEN '{_NAMED_UNNAMED}' ELSE coalesce(nullif({name}, ''), '{UNNAMED}') END"
+
+
 ROTATE_SQL = f"""
     WITH t AS (
-        SELECT conv_id, turn, regexp_replace(coalesce(nullif(role, ''), '{UNNAMED}'), '[\\s<|>]+', '_', 'g') AS speaker,
+        SELECT conv_id, turn, {_name_sql("role")} AS speaker,
                replace(coalesce(text, ''), '{MARK}', '{BROKEN_MARK}') AS words FROM conversations),
     c AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{SYSTEM}'),
     r AS (

@@ -9,7 +9,8 @@ SCHEMA = "conv_id long, turn long, role string, text string, position int, start
 def plain(rows):
     by = {}
     for conv, turn, role, text, *_ in rows:
-        speaker = re.sub(r"[\s<|>]+", "_", role or "unknown")
+        speaker = re.sub(r"[% \t\n\x0b\f\r<|>]", lambda c: f"%{ord(c[0]):02X}", role or "")
+        speaker = {"": "unknown", "unknown": "%75nknown"}.get(speaker, speaker)
         words = (text or "").replace("<|im_", "< |im_")
         by.setdefault(conv, []).append((turn is not None, turn or 0, speaker, hashlib.md5(words.encode()).hexdigest(), words, turn))
     out = []
@@ -50,6 +51,15 @@ def test_hard_rows(spark):
     assert got(spark, rows) == plain(rows)
 
 
+def test_names_are_told_apart(spark):
+    names = ["ann lee", "ann_lee", "ann  lee", "ann%20lee", "ann|lee", "ann\tlee", "unknown", None, "", "%75nknown", "<|im_end|>"]
+    rows = [(1, i, n, f"words {i}", 1, "", "") for i, n in enumerate(names)]
+    found = got(spark, rows)
+    assert found == plain(rows)
+    assert len({r[1] for r in found}) == len(names) - 1  # null and empty are the same nobody
+    assert not any(c in r[1] for r in found for c in " \t<|>")
+
+
 def test_one_conversation_holds_most_rows(spark):
     rows = [(7 if i % 3 else i, i // 4, ("user", "assistant", "tool")[i % 3], f"t{i}", 1, "", "") for i in range(2000)]
     rows += [(7, 5, "user", "same", 1, "", "")] * 300
