@@ -13,15 +13,13 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relmod.operators.lm import CandidateModels
-from relmod.operators.ordering import top_k
+from relmod.operators.ordering import dense_index, top_k
 from relmod.params import UNK, Params, checked_mu
 from relmod.session import broadcast_if_small, materialize
 
@@ -55,52 +53,123 @@ def best_rows(sims: np.ndarray, terms: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((terms[near], -sims[near]))][:k]
 
 
-def expand(vectors: DataFrame, cents: DataFrame, k: int, slice_bytes: int = 8 << 20) -> DataFrame:
+#: Words of a block of vectors, queries of a block of centroids, and the blocks that every query visits first.
+BLOCK_WORDS = 256
+BLOCK_QUERIES = 64
+FIRST_BLOCKS = 2
+#: What rounding may add to a similarity: that of ranking, and that of floating point sums.
+_SLACK, _RELATIVE = 10.0 ** (1 - SIM_DIGITS), 1e-9
+
+
+def _norm(v: str) -> Column:
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+
+
+def norm_blocks(vectors: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(block, bound, terms, m): the vectors by falling norm, in blocks of ``block_words``.
+
+    ``bound`` is the block's greatest norm, ``m`` its vectors one after another.
+    """
+    rows = vectors.select("term", F.col("vec").cast("array<double>").alias("vec")).withColumn("norm", _norm("vec"))
+    placed = dense_index(rows, [F.desc("norm"), F.asc("term")], "at").withColumn("block", F.floor(F.col("at") / block_words))
+    packed = placed.groupBy("block").agg(F.max("norm").alias("bound"), F.sort_array(F.collect_list(F.struct("at", "term", "vec"))).alias("v"))
+    return materialize(packed.select("block", "bound", F.col("v.term").alias("terms"), F.flatten("v.vec").alias("m")))
+
+
+def query_blocks(cents: DataFrame, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+    """(need, qids, least, c) of (qid, c, least): queries in blocks, those alike in what they need together.
+
+    ``least`` is the similarity that a query's results must reach, ``need`` the
+    least norm of a word that can reach it, for the least demanding query of the block.
+    """
+    need = (F.col("least") - _SLACK) / _norm("c") * (1 - _RELATIVE)
+    rows = cents.withColumn("need", F.when((F.col("least") > _SLACK) & (_norm("c") > 0), need).otherwise(F.lit(float("-inf"))))
+    placed = dense_index(rows, [F.asc("need"), F.asc("qid")], "at").withColumn("part", F.floor(F.col("at") / block_queries))
+    packed = placed.groupBy("part").agg(
+        F.min("need").alias("need"), F.sort_array(F.collect_list(F.struct("at", "qid", "least", "c"))).alias("v")
+    )
+    return materialize(packed.select("need", F.col("v.qid").alias("qids"), F.col("v.least").alias("least"), F.flatten("v.c").alias("c")))
+
+
+def expand(
+    vectors: DataFrame,
+    cents: DataFrame,
+    k: int,
+    block_words: int = BLOCK_WORDS,
+    block_queries: int = BLOCK_QUERIES,
+    first: int = FIRST_BLOCKS,
+    broadcast_bytes: int = Params.broadcast_bytes,
+) -> DataFrame:
     """(qid, rk, term, sim): the k words most similar to each query centroid (ML-2, WIN-5).
 
-    Exact blocked matrix product: the vocabulary stays where it is, in its
-    partitions, and the centroids come to it in slices of at most
-    ``slice_bytes``, each one a broadcast matrix of that size. A partition keeps
-    k words per query of its own batches (same total order as the final pick,
-    so nothing that belongs to the final top k is lost); a final
-    ``row_number() <= k`` picks from these.
+    Exact, for any number of queries in the same few jobs. No word's similarity
+    exceeds its norm times the centroid's. Every query is multiplied with the
+    ``first`` blocks of the largest norms, which gives a similarity that k words
+    reach; then each block of queries meets the other blocks of vectors whose
+    greatest norm can still reach it, and no others (``visited_blocks`` counts
+    them). A pair of blocks is one matrix product that hands on k words per
+    query; a final ``row_number() <= k`` picks from these.
     """
-    spark = vectors.sparkSession
-    cents = materialize(cents)
-    qtype = cents.schema["qid"].dataType.simpleString()
-    n, dim = cents.select(F.count(F.lit(1)), F.max(F.size("c"))).first()
-    slices = max(1, math.ceil((n or 0) * (dim or 1) * 8 / slice_bytes))
-    cut = F.pmod(F.xxhash64("qid"), F.lit(slices))
-    part = None
-    for i in range(slices):
-        rows = cents.filter(cut == i).select("qid", "c").toPandas()  # about slice_bytes
-        shared = spark.sparkContext.broadcast((rows["qid"].to_numpy(), [np.asarray(c, np.float64) for c in rows["c"]]))
-        found = vectors.select("term", "vec").mapInPandas(_slice_topk(shared, k), f"qid {qtype}, term string, sim double")
-        part = found if part is None else part.unionByName(found)
-    return top_k(part, "qid", [F.desc("sim"), F.asc("term")], k, "rk").select(
+    blocks = norm_blocks(vectors, block_words)
+    seen, rest, _ = _visits(blocks, cents, k, block_queries, first, broadcast_bytes)
+    return _best(seen.unionByName(_products(rest, k, cents)), k)
+
+
+def visited_blocks(vectors: DataFrame, cents: DataFrame, k: int, block_words=BLOCK_WORDS, block_queries=BLOCK_QUERIES, first=FIRST_BLOCKS) -> DataFrame:
+    """(pairs, visited): pairs of blocks in all, and those that ``expand`` multiplies."""
+    blocks = norm_blocks(vectors, block_words)
+    _, rest, asked = _visits(blocks, cents, k, block_queries, first, Params.broadcast_bytes)
+    n = blocks.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("block") < first, 1)).alias("n_first"))
+    parts = asked.agg(F.count(F.lit(1)).alias("parts"))
+    more = rest.agg(F.count(F.lit(1)).alias("more"))  # one row each
+    return n.join(F.broadcast(parts)).join(F.broadcast(more)).select(
+        (F.col("n") * F.col("parts")).alias("pairs"), (F.col("n_first") * F.col("parts") + F.col("more")).alias("visited")
+    )
+
+
+def _visits(blocks, cents, k, block_queries, first, broadcast_bytes):
+    """What the first blocks give, the pairs of blocks to multiply after them, and the blocks of queries."""
+    cents = materialize(cents.withColumn("least", F.lit(float("-inf"))))
+    asked = query_blocks(cents, block_queries)
+    start = blocks.filter(F.col("block") < first).join(broadcast_if_small(asked, broadcast_bytes))
+    seen = materialize(_best(_products(start, k, cents), k).drop("rk"))
+    reached = seen.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("reached")).filter(F.col("n") >= k)
+    known = cents.drop("least").join(reached.select("qid", "reached"), "qid", "left")
+    asked = query_blocks(known.select("qid", "c", F.coalesce("reached", F.lit(float("-inf"))).alias("least")), block_queries)
+    rest = blocks.filter(F.col("block") >= first).join(broadcast_if_small(asked, broadcast_bytes), F.col("bound") >= F.col("need"))
+    return seen, rest, asked
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    return top_k(found, "qid", [F.desc("sim"), F.asc("term")], k, "rk").select(
         "qid", F.col("rk").cast("int").alias("rk"), "term", "sim"
     )
 
 
-def _slice_topk(shared, k: int):
+def _products(pairs: DataFrame, k: int, cents: DataFrame) -> DataFrame:
+    """(qid, term, sim): of every pair of blocks, the k most similar words of each query that can be among its results."""
+    qtype = cents.schema["qid"].dataType.simpleString()
+    return pairs.select("terms", "m", "qids", "least", "c").mapInPandas(_multiplied(k), f"qid {qtype}, term string, sim double")
+
+
+def _multiplied(k: int):
     def run(batches):
-        qids, rows = shared.value
-        if not len(qids):
-            return
-        c = np.stack(rows)
         for batch in batches:
-            if batch.empty:
-                continue
-            terms = batch["term"].to_numpy()
-            sims = np.round(np.stack(batch["vec"].to_numpy()).astype(np.float64) @ c.T, SIM_DIGITS)
-            best = [best_rows(sims[:, j], terms, k) for j in range(len(qids))]
-            yield pd.DataFrame(
-                {
-                    "qid": np.repeat(qids, [len(b) for b in best]),
-                    "term": np.concatenate([terms[b] for b in best]),
-                    "sim": np.concatenate([sims[b, j] for j, b in enumerate(best)]),
-                }
-            )
+            for terms, m, qids, least, c in zip(*(batch[x] for x in batch.columns), strict=True):
+                terms, qids = np.asarray(terms, object), np.asarray(qids)
+                m, c = np.asarray(m, np.float64).reshape(len(terms), -1), np.asarray(c, np.float64).reshape(len(qids), -1)
+                sims = np.round(m @ c.T, SIM_DIGITS)
+                best = []
+                for j in range(len(qids)):
+                    near = np.flatnonzero(sims[:, j] >= least[j])
+                    best.append(near[best_rows(sims[near, j], terms[near], k)])
+                yield pd.DataFrame(
+                    {
+                        "qid": np.repeat(qids, [len(b) for b in best]),
+                        "term": np.concatenate([terms[b] for b in best]),
+                        "sim": np.concatenate([sims[b, j] for j, b in enumerate(best)]),
+                    }
+                )
 
     return run
 
@@ -140,18 +209,17 @@ def expansion_model(expansions: DataFrame, qtf: DataFrame, models: CandidateMode
     return ex.join(orig, ["qid", "term"], "full")  # JOIN-10
 
 
-def relevance_model(em: DataFrame, lam) -> DataFrame:
+def relevance_model(em: DataFrame, lam, strict: bool = False) -> DataFrame:
     """(qid, term, r) from expansion_model output and a lambda (literal or column) (SCL-11).
 
-    When a query has no usable expansion mass (D8) the expansion weight is 0.
+    When a query has no usable expansion mass (D8) the expansion weight is 0;
+    with ``strict``, such a query has no mass at all.
     """
     lam = F.lit(float(lam)) if not isinstance(lam, Column) else lam
     has_e = F.max(F.col("e").isNotNull().cast("int")).over(_by_keys(em))
     lam_eff = F.when(has_e == 1, lam).otherwise(F.lit(0.0))
-    return em.withColumn(
-        "r",
-        lam_eff * F.coalesce("e", F.lit(0.0)) + (F.lit(1.0) - lam_eff) * F.coalesce("o", F.lit(0.0)),
-    ).drop("e", "o")
+    r = lam_eff * F.coalesce("e", F.lit(0.0)) + (F.lit(1.0) - lam_eff) * F.coalesce("o", F.lit(0.0))
+    return em.withColumn("r", F.when(has_e == 1, r).otherwise(F.lit(0.0)) if strict else r).drop("e", "o")
 
 
 def _by_keys(df: DataFrame):

@@ -10,6 +10,7 @@ not raise N. Dirichlet smoothing: p(t|d) = (tf + mu * p_bg) / (|d| + mu).
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -31,10 +32,45 @@ def candidate_set(candidates: DataFrame) -> DataFrame:
     return candidates.select("qid", "doc_id").distinct()
 
 
+#: Bits of one bitmap, which takes 4 KB; and bits per candidate id.
+BITMAP_BITS = 32768
+BITS_PER_ID = 32
+
+
+def bitmap_filter(rows: DataFrame, ids: DataFrame, n_ids: int, max_bytes: int) -> DataFrame:
+    """``rows`` whose doc_id may be one of ``ids``, filtered where they are.
+
+    Ids are hashed to places, and the places taken are kept as bitmaps, one row
+    per ``BITMAP_BITS`` places; these are broadcast and take at most
+    ``max_bytes``. No id is missed; of the others about one in ``BITS_PER_ID``
+    passes, more where the bound allows fewer bits. A null doc_id is no candidate's.
+    """
+    bitmaps = max(1, min(-(-n_ids * BITS_PER_ID // BITMAP_BITS), max_bytes // (BITMAP_BITS // 8)))
+    place = F.pmod(F.xxhash64(F.lit("bitmap"), F.col("doc_id")), F.lit(bitmaps * BITMAP_BITS)) + 1
+    taken = ids.select(F.bitmap_bucket_number(place).alias("_map"), F.bitmap_bit_position(place).alias("_bit"))
+    maps = taken.groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    near = rows.filter(F.col("doc_id").isNotNull()).withColumn("_map", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.get(F.array(*[byte.bitwiseAND(1 << b) for b in range(8)]), F.col("_bit").bitwiseAND(7).cast("int")) != 0
+    return near.join(F.broadcast(maps), "_map").filter(hit).drop("_map", "_bit", "_bits")
+
+
 def candidate_documents(candidates: DataFrame, collection: DataFrame, params: Params = Params()) -> DataFrame:
-    """Collection rows whose doc_id is a candidate of any query (JOIN-1, left semi)."""
+    """Collection rows whose doc_id is a candidate of any query (JOIN-1, left semi).
+
+    Few ids are broadcast. Of more, bitmaps filter the collection in place; what
+    passes wrongly is found by ids alone, without the texts, and taken out.
+    """
     ids = materialize(candidates.select("doc_id").distinct())
-    return collection.join(broadcast_if_small(ids, params.broadcast_bytes), "doc_id", "left_semi")
+    if bytes_of(ids) <= params.broadcast_bytes:
+        return collection.join(F.broadcast(ids), "doc_id", "left_semi")
+    if params.broadcast_bytes < BITMAP_BITS // 8:
+        return collection.join(ids, "doc_id", "left_semi")
+    near = bitmap_filter(collection, ids, ids.count(), params.broadcast_bytes)
+    wrong = materialize(near.select("doc_id").distinct().join(ids, "doc_id", "left_anti"))
+    if bytes_of(wrong) <= params.broadcast_bytes:
+        return near.join(F.broadcast(wrong), "doc_id", "left_anti")
+    return near.join(ids, "doc_id", "left_semi")
 
 
 def document_tokens(docs: DataFrame, fields, params: Params = Params()) -> DataFrame:
@@ -119,6 +155,12 @@ def document_vectors(doc_tok: DataFrame, params: Params = Params()) -> tuple[Dat
     return dictionary, vectors
 
 
+def dirichlet(tf: Column, doc_len: Column, p_bg: Column, mu) -> Column:
+    """Dirichlet-smoothed probability (SCL-9)."""
+    mu = F.lit(float(mu)) if not isinstance(mu, Column) else mu
+    return (tf + mu * p_bg) / (doc_len + mu)
+
+
 def _share(cf: str, n: str) -> Column:
     return F.try_divide(F.col(cf).cast("double"), F.col(n).cast("double"))
 
@@ -180,9 +222,13 @@ class CandidateModels:
             .select("bucket", "qid", "large", "term_id", "cf", "n", _share("cf", "n").alias("p_bg"))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        unk = F.floor(F.lit(params.unk_pct / 100.0) * F.col("n")).cast("long").alias("cf")  # AGG-7
+        self.unk = self._unk(n)
+
+    def _unk(self, n: DataFrame) -> DataFrame:
+        """(qid, term_id, cf, n, p_bg) of the <UNK> bucket (AGG-7)."""
+        share = F.floor(F.lit(self.params.unk_pct / 100.0) * F.col("n")).cast("long").alias("cf")
         number = self.dictionary.schema["term_id"].dataType
-        self.unk = n.select("qid", F.lit(UNK_ID).cast(number).alias("term_id"), unk, "n").withColumn("p_bg", _share("cf", "n"))
+        return n.select("qid", F.lit(UNK_ID).cast(number).alias("term_id"), share, "n").withColumn("p_bg", _share("cf", "n"))
 
     @classmethod
     def _partition_count(cls, spark, n_pairs: int) -> int:
@@ -306,7 +352,54 @@ class CandidateModels:
         t = t.withColumn("p", dirichlet(F.col("tf"), F.col("doc_len"), F.col("p_bg"), mu))
         return self.with_terms(t.select("qid", "doc_id", "term_id", "tf", "doc_len", "p_bg", "p"))
 
+    #: Stored tables, and whether they are laid out by bucket.
+    _STORED = {"pairs": True, "bucket_bg": True, "cand_len": True, "cset": True, "n": False, "dictionary": False}
+
+    def save(self, path: str) -> None:
+        """Writes the models to a folder, tables of candidates bucketed by ``bucket`` and sorted, with their layout.
+
+        ``load`` reads them for another method, setting or session; joins within
+        buckets then need no exchange, as with freshly built models. Local
+        contexts need the texts and are not stored.
+        """
+        spark = self.cset.sparkSession
+        for name, bucketed in self._STORED.items():
+            df = getattr(self, name)
+            if not bucketed:
+                df.write.parquet(f"{path}/{name}")
+                continue
+            order = [c for c in ("bucket", "qid", "term_id", "doc_id") if c in df.columns]
+            table = f"relmod_{uuid.uuid4().hex}"
+            placed = df.repartition(self.partitions, "bucket")  # one file a bucket
+            placed.write.bucketBy(self.partitions, "bucket").sortBy(*order).option("path", f"{path}/{name}").saveAsTable(table)
+            spark.sql(f"DROP TABLE {table}")  # the files stay
+        layout = (self.partitions, self.n_pairs, self.has_large, self.params.unk_pct)
+        spark.createDataFrame([layout], "partitions int, n_pairs long, has_large boolean, unk_pct double").write.parquet(f"{path}/layout")
+
+    @classmethod
+    def load(cls, spark, path: str, params: Params = Params()) -> CandidateModels:
+        """Stored models. ``params`` may differ in what scores depend on; the texts' options are those of the build."""
+        layout = spark.read.parquet(f"{path}/layout").first()
+        self = cls.__new__(cls)
+        self.params = params.with_(unk_pct=layout["unk_pct"])
+        self.partitions, self.n_pairs, self.has_large = layout["partitions"], layout["n_pairs"], layout["has_large"]
+        self.collection, self.doc_tokens = None, None
+        for name, bucketed in cls._STORED.items():
+            df = spark.read.parquet(f"{path}/{name}")
+            if bucketed:
+                table = f"relmod_{uuid.uuid4().hex}"
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+                spark.sql(
+                    f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}/{name}'"
+                    f" CLUSTERED BY (bucket) INTO {self.partitions} BUCKETS"
+                )
+                df = spark.table(table)
+            setattr(self, name, df)
+        self.unk = self._unk(self.n)
+        return self
+
     def unpersist(self) -> None:
         """Frees what the models keep; call it once everything computed from them is stored."""
         for df in (self.pairs, self.bucket_bg, self.doc_tokens):
-            df.unpersist()
+            if df is not None:
+                df.unpersist()

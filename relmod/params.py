@@ -100,6 +100,9 @@ class Params:
     # Expansion words outside the candidates share <UNK>: the lowest-ranked one's
     # weight counts ('last', by assignment), or all of them ('sum').
     unk: str = "last"
+    # A query of which no word has a vector: ranked by its own terms, or, strictly,
+    # without any term of positive mass, so that every score is 1 (D8).
+    strict_vectors: bool = False
     # Upper bound on the measured bytes of a side that may be broadcast.
     broadcast_bytes: int = 64 << 20
 

@@ -16,6 +16,7 @@ from relmod.operators import evaluate as ev
 from relmod.operators import expansion as ex
 from relmod.operators import feedback as fb
 from relmod.operators import local_context as lc
+from relmod.operators import local_vectors as lv
 from relmod.operators.lm import CandidateModels, query_term_freq
 from relmod.operators.ordering import last_wins
 from relmod.functions.english import english_stems_sql
@@ -315,11 +316,10 @@ def expansions(spark, sf_dir):
     O.with_ctes("SELECT qid, rk, term, round(sim, 6) AS sim FROM exps", "exps"),
 )
 def expansion_blocked(spark, sf_dir):
-    """ML-2 with many small blocks (8 queries x a seventh of the words): the
-    block-local top-K must give exactly the same expansions as one block."""
+    """ML-2 with many small blocks, most of which are skipped: the same expansions as with a few."""
     qtf = query_term_freq(X.queries(spark, sf_dir))
     vec = X.vectors(spark, sf_dir)
-    e = ex.expand(vec.repartition(7), ex.centroids(qtf, vec), Params().top_k, slice_bytes=4096)
+    e = ex.expand(vec.repartition(7), ex.centroids(qtf, vec), Params().top_k, block_words=7, block_queries=8)
     return e.select("qid", "rk", "term", r6("sim").alias("sim"))
 
 
@@ -446,7 +446,11 @@ def metrics_roundtrip(spark, sf_dir):
 @register(
     "run_diagnostics",
     O.with_ctes(
-        "SELECT q.qid, coalesce(c.n, 0) AS n_candidates, coalesce(d.n, 0) AS n_documents, coalesce(o.n, 0) AS n_oov FROM q"
+        "SELECT q.qid, coalesce(c.n, 0) AS n_candidates, coalesce(d.n, 0) AS n_documents, coalesce(o.n, 0) AS n_oov,"
+        " q.qid NOT IN (SELECT qid FROM qtf) AS empty_query,"
+        " c.n IS NOT NULL AND q.qid IN (SELECT qid FROM qtf) AND q.qid NOT IN (SELECT qid FROM exps) AS no_vectors,"
+        " q.qid IN (SELECT rm.qid FROM rm JOIN bg ON bg.qid = rm.qid AND bg.term = rm.term"
+        "  WHERE rm.term = '<UNK>' AND rm.r > 0 AND bg.cf = 0) AS unk_dropped FROM q"
         " LEFT JOIN (SELECT qid, count(*) AS n FROM cset GROUP BY qid) c ON c.qid = q.qid"
         " LEFT JOIN (SELECT qid, count(*) AS n FROM clen GROUP BY qid) d ON d.qid = q.qid"
         " LEFT JOIN (SELECT qid, count(*) AS n FROM qtf t WHERE NOT EXISTS"
@@ -456,48 +460,50 @@ def metrics_roundtrip(spark, sf_dir):
         "clen",
         "qtf",
         "bg",
+        "exps",
+        "rm",
+        extra=O.EMBEDDING,
     ),
 )
 def run_diagnostics(spark, sf_dir):
-    """AGG-22, D4: what a run finds of every query's inputs."""
+    """AGG-22, D4, D7-D9: what a run met and left out, from the run itself."""
     fx = X.Fixtures(spark, sf_dir)
-    return P.diagnostics(fx.queries(), fx.candidates(), fx.collection())
-
-
-#: Candidates of at least so many shared terms make up a run in which some queries are missing.
-RUN_MIN_SCORE = 12
+    report = P.RunReport()
+    P.rerank_embeddings(fx.queries(), fx.candidates(), fx.collection(), fx.vectors(), report=report)
+    return report.queries
 
 
 @register(
     "skipped_queries",
     O.with_ctes(
-        "SELECT DISTINCT q.qid, q.qid IN (SELECT qid FROM cand WHERE score >= {n}) AS in_run,"
-        " q.qid IN (SELECT qid FROM cand WHERE doc_id % 2 = 0) AS in_candidates FROM qrels q"
-        " WHERE NOT (q.qid IN (SELECT qid FROM cand WHERE score >= {n})"
-        " AND q.qid IN (SELECT qid FROM cand WHERE doc_id % 2 = 0))".format(n=RUN_MIN_SCORE),
+        "SELECT DISTINCT g.qid, g.qid IN (SELECT qid FROM run_a) AS in_run, g.qid IN (SELECT qid FROM cand) AS in_candidates"
+        " FROM (SELECT qid FROM qrels UNION ALL SELECT -1 - qid FROM qrels) g"
+        " WHERE NOT (g.qid IN (SELECT qid FROM run_a) AND g.qid IN (SELECT qid FROM cand))",
         "cand",
         "qrels",
+        "run_a",
     ),
 )
 def skipped_queries(spark, sf_dir):
-    """FLT-5, JOIN-14: gold queries without a run or without candidates, on lists that lack some of both."""
+    """FLT-5, JOIN-14: gold queries without a run or candidates; every judged query has a twin that nobody ran."""
     fx = X.Fixtures(spark, sf_dir)
-    cand = fx.candidates()
-    return ev.skipped_queries(cand.filter(F.col("score") >= RUN_MIN_SCORE), cand.filter("doc_id % 2 = 0"), fx.qrels())
+    gold = fx.qrels().unionByName(fx.qrels().withColumn("qid", -1 - F.col("qid")))
+    return ev.skipped_queries(_feedback_run(spark, sf_dir, fx), fx.candidates(), gold)
 
 
 @register(
     "missing_documents",
     O.with_ctes(
-        "SELECT DISTINCT c.qid, c.doc_id FROM cand c JOIN documents d ON d.doc_id = c.doc_id WHERE d.lang IS NOT DISTINCT FROM 'en'",
+        "SELECT DISTINCT c.qid, c.doc_id FROM (SELECT qid, doc_id FROM cand UNION ALL SELECT qid, -1 - doc_id FROM cand) c"
+        " WHERE c.doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL)",
         "cand",
     ),
 )
 def missing_documents(spark, sf_dir):
-    """JOIN-3, D15: candidates whose document a collection without the English ones lacks."""
+    """JOIN-3, D15: candidates that the collection lacks; every listed document has a twin that is in no collection."""
     fx = X.Fixtures(spark, sf_dir)
-    english = X.table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id")
-    return P.missing_documents(fx.queries(), fx.candidates(), fx.collection().join(english, "doc_id", "left_anti"))
+    listed = fx.candidates().select("qid", "doc_id")
+    return P.missing_documents(fx.queries(), listed.unionByName(listed.withColumn("doc_id", -1 - F.col("doc_id"))), fx.collection())
 
 
 def _sweep(spark, sf_dir, settings):
@@ -655,10 +661,24 @@ def read_queries(spark, sf_dir):
     return TF.read_queries(spark, _messy_queries(spark, sf_dir))
 
 
-@register("malformed_lines", "SELECT * FROM (VALUES ('1' || chr(9) || 'too' || chr(9) || 'many', 3), ('none', 1)) t(line, n_fields)")
+_RAW_SQL = "concat_ws(chr(9), CAST(doc_id AS VARCHAR), coalesce(source, ''), coalesce(lang, ''), coalesce(text, ''))"
+
+
+@register(
+    "malformed_lines",
+    "SELECT line, CAST(len(string_split(s, chr(9))) AS INTEGER) AS n_fields FROM ("
+    f" SELECT line, {_strip_sql('line')} AS s FROM (SELECT unnest(regexp_split_to_array({_RAW_SQL}, '\r\n|\n|\r')) AS line FROM documents))"
+    " WHERE s <> '' AND len(string_split(s, chr(9))) <> 4",
+)
 def malformed_lines(spark, sf_dir):
-    """The lines that the queries' reader leaves out for their number of fields."""
-    return TF.malformed_lines(spark, _messy_queries(spark, sf_dir), "queries")
+    """FLT-2: documents written as they are; lines that their own tabs and line breaks make are left out and listed."""
+    from relmod.session import scratch_dir
+
+    d = X.table(spark, sf_dir, "documents")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "text")]
+    path = scratch_dir(spark, "raw")
+    d.select(F.concat_ws("\t", "doc_id", *fields).alias("value")).write.text(path)
+    return TF.malformed_lines(spark, path, "collection")
 
 
 def _candidate_file(spark, sf_dir: str, sep: str) -> str:
@@ -805,6 +825,30 @@ def sweep_local(spark, sf_dir):
     return m.select("setting_id", "mu", "lam", "stage", "cutoff", r6("ndcg").alias("ndcg"))
 
 
+# vectors of few directions and a narrow window, so that SQL can follow every step
+LOCAL_VECTORS = {"d": 2, "window": 2, "rounds": 2}
+_LOCAL_VECTORS = {**O.EMBEDDING, **O.local_vectors(**LOCAL_VECTORS)}
+
+
+@register("local_vectors", O.with_ctes("SELECT qid, term, round(y_0, 6) AS v_0, round(y_1, 6) AS v_1 FROM lvec", "lvec", extra=_LOCAL_VECTORS))
+def local_vectors(spark, sf_dir):
+    """ML-1: word vectors of every query's own candidates."""
+    _, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS)
+    v = lv.local_vectors(m, **LOCAL_VECTORS)
+    return v.select("qid", "term", *[r6(F.col("vec")[i]).alias(f"v_{i}") for i in range(LOCAL_VECTORS["d"])])
+
+
+@register(
+    "rerank_local_vectors",
+    O.with_ctes("SELECT qid, doc_id, rank, round(score, 6) AS score FROM run_b", "run_b", extra=_LOCAL_VECTORS),
+)
+def rerank_local_vectors(spark, sf_dir):
+    """PIPE-1 with vectors, ML-2 over each query's own words."""
+    fx = X.Fixtures(spark, sf_dir)
+    run, _ = P.rerank_local_vectors(fx.queries(), fx.candidates(), fx.collection(), **LOCAL_VECTORS)
+    return run.select("qid", "doc_id", "rank", r6("score").alias("score"))
+
+
 # ---------------------------------------------------------------------------
 # stemming (SCL-4): the English rules over the documents' distinct words
 # ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ to 6 decimals.
 
 from __future__ import annotations
 
+from relmod.operators import local_vectors as lv
 from relmod.params import (
     DEFAULT_LAMBDA,
     DEFAULT_MU,
@@ -486,3 +487,55 @@ def sweep_of(settings) -> dict:
             ("score_s",),
         ),
     }
+
+
+def local_vectors(d: int, window: int, rounds: int, negatives: int = 1) -> dict:
+    """CTEs up to ``lvec`` (qid, term, y_0, ...): vectors of the queries' own candidates."""
+    ahead = ", ".join(f"lead(term, {k}) OVER d" for k in range(1, window + 1))
+    out = {
+        "lfwd": (
+            f"SELECT qid, t, w, count(*) AS n FROM (SELECT qid, term AS t, unnest([{ahead}]) AS w FROM cpos"
+            " WINDOW d AS (PARTITION BY qid, doc_id ORDER BY i)) WHERE w IS NOT NULL GROUP BY qid, t, w",
+            ("cpos",),
+        ),
+        "lcnt": (
+            "SELECT qid, t, w, sum(n) AS n FROM (SELECT qid, t, w, n FROM lfwd UNION ALL SELECT qid, w, t, n FROM lfwd) GROUP BY qid, t, w",
+            ("lfwd",),
+        ),
+        "lrow": ("SELECT qid, t, sum(n) AS r FROM lcnt GROUP BY qid, t", ("lcnt",)),
+        "ltot": ("SELECT qid, sum(r) AS d FROM lrow GROUP BY qid", ("lrow",)),
+        "lm": (
+            f"SELECT * FROM (SELECT c.qid, c.t, c.w, ln(CAST(c.n AS DOUBLE) * d / (CAST(a.r AS DOUBLE) * b.r * {negatives})) AS m"
+            " FROM lcnt c JOIN lrow a ON a.qid = c.qid AND a.t = c.t JOIN lrow b ON b.qid = c.qid AND b.t = c.w"
+            " JOIN ltot ON ltot.qid = c.qid) WHERE m > 0",
+            ("lcnt", "lrow", "ltot"),
+        ),
+    }
+
+    def number(digits: str) -> str:
+        return f"CAST(CAST('0x' || {digits} AS BIGINT) AS DOUBLE)"
+
+    starts = ", ".join(f"{lv.start_sql(i, number)} AS x_{i}" for i in range(d))
+    out["lx0"] = (f"SELECT qid, term, {starts} FROM (SELECT DISTINCT qid, t AS term FROM lm)", ("lm",))
+    sums = ", ".join(f"sum(m * x_{i}) AS y_{i}" for i in range(d))
+    for r in range(rounds + 1):
+        y = f"ly{r}" if r < rounds else "lvec"
+        out[y] = (f"SELECT lm.qid, lm.t AS term, {sums} FROM lm JOIN lx{r} x ON x.qid = lm.qid AND x.term = lm.w GROUP BY lm.qid, lm.t", ("lm", f"lx{r}"))
+        if r == rounds:
+            break
+        factor = f"(SELECT qid, {', '.join(f'{e} AS {c}' for c, e in lv.gram_sql(d))} FROM {y} GROUP BY qid)"
+        for c, e in lv.cholesky_sql(d):
+            factor = f"(SELECT *, {e} AS {c} FROM {factor})"
+        rows = f"(SELECT y.*, f.* EXCLUDE (qid) FROM {y} y JOIN {factor} f ON f.qid = y.qid)"
+        for c, e in lv.orthonormal_sql(d):
+            rows = f"(SELECT *, {e} AS {c} FROM {rows})"
+        out[f"lx{r + 1}"] = (f"SELECT qid, term, {', '.join(f'x_{i}' for i in range(d))} FROM {rows}", (y,))
+    centre = ", ".join(f"sum(qtf * y_{i}) AS c_{i}" for i in range(d))
+    product = " + ".join(f"y_{i} * c_{i}" for i in range(d))
+    out["exps"] = (
+        "SELECT qid, CAST(rk AS INTEGER) AS rk, term, sim FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, term) AS rk"
+        f" FROM (SELECT v.qid, v.term, round({product}, 9) AS sim FROM lvec v JOIN (SELECT v.qid, {centre} FROM lvec v"
+        f" JOIN qtf q ON q.qid = v.qid AND q.term = v.term GROUP BY v.qid) c ON c.qid = v.qid)) WHERE rk <= {K}",
+        ("lvec", "qtf"),
+    )
+    return out
