@@ -28,8 +28,11 @@ from pyspark.sql import types as T
 
 from relmod.llm.common import give_back, kept_in_worker, stored
 from relmod.llm.words import LONGEST_WORD, ByteHashes, WordTable, gather
+from relmod.session import broadcast_if_small
 
 SEQUENCE = 2048
+#: Counts per length and block of up to so many bytes are broadcast.
+BROADCAST_BYTES = 32 << 20
 END_ID = 1
 
 NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "block", "place")
@@ -253,7 +256,8 @@ def pack(
     Repeated rows are packed once each; null keys pass through. An empty table
     gives an empty result; other columns are not read.
 
-    Ranks come from counts per length and block, so the pieces of a frequent
+    Ranks come from counts per length and block (with ids, broadcast up to
+    ``BROADCAST_BYTES``, so that only counts are moved), so the pieces of a frequent
     length are never gathered; a sequence's pieces may be in several tasks.
     """
     spark = df.sparkSession
@@ -265,6 +269,8 @@ def pack(
     places = spark.createDataFrame(
         pack_histogram(histogram, size), "_length long, _low long, _count long, _sequence long, offset long"
     )
+    if with_ids:  # the ids stay where they are while the counts fit the bound
+        blocks = broadcast_if_small(stored(blocks, "blocks"), BROADCAST_BYTES)
     rank = F.col("place") + F.col("_before")
     placed = pieces.join(blocks, ["length", "block"]).withColumn("_rank", rank)
     # the patterns: as many rows as lengths have places, whatever the number of documents
