@@ -830,12 +830,13 @@ LOCAL_VECTORS = {"d": 2, "window": 2, "rounds": 2}
 _LOCAL_VECTORS = {**O.EMBEDDING, **O.local_vectors(**LOCAL_VECTORS)}
 
 
-@register("local_vectors", O.with_ctes("SELECT qid, term, round(y_0, 6) AS v_0, round(y_1, 6) AS v_1 FROM lvec", "lvec", extra=_LOCAL_VECTORS))
+# sums of products of large numbers: four decimals; + 0.0 makes one zero of two
+@register("local_vectors", O.with_ctes("SELECT qid, term, round(y_0, 4) + 0.0 AS v_0, round(y_1, 4) + 0.0 AS v_1 FROM lvec", "lvec", extra=_LOCAL_VECTORS))
 def local_vectors(spark, sf_dir):
     """ML-1: word vectors of every query's own candidates."""
     _, m = _models(spark, sf_dir, P.EMBEDDING_FIELDS)
     v = lv.local_vectors(m, **LOCAL_VECTORS)
-    return v.select("qid", "term", *[r6(F.col("vec")[i]).alias(f"v_{i}") for i in range(LOCAL_VECTORS["d"])])
+    return v.select("qid", "term", *[(F.round(F.col("vec")[i], 4) + 0.0).alias(f"v_{i}") for i in range(LOCAL_VECTORS["d"])])
 
 
 @register(
