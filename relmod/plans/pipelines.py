@@ -193,14 +193,14 @@ def sweep_from_expansions(
     lambda and are computed once; the setting id is a grouping key next to
     qid everywhere downstream. Returns (setting_id, mu, lam, stage, cutoff, ndcg).
     """
+    settings = [(checked_mu(m), float(l)) for m, l in settings]
     kept = models is not None
     models, qtf = (models, query_term_freq(queries, params)) if kept else _embedding_models(queries, candidates, collection, params)
     return _swept(models, qtf, expansions, candidates, qrels, settings, params, cutoffs, kept)
 
 
 def _swept(models, qtf, expansions, candidates, qrels, settings, params, cutoffs=ev.CUTOFFS, kept: bool = False) -> DataFrame:
-    """A sweep on models that stand; frees them unless they are kept."""
-    settings = [(checked_mu(m), float(l)) for m, l in settings]
+    """A sweep of checked settings on models that stand; frees them unless they are kept."""
     em = ex.expansion_model(expansions, qtf, models)
     grid = F.array(
         *[F.struct(F.lit(i).alias("setting_id"), F.lit(m).alias("mu"), F.lit(l).alias("lam")) for i, (m, l) in enumerate(settings)]
@@ -273,6 +273,7 @@ def rerank_local_vectors(
 
 def sweep_local(queries, candidates, collection, qrels, settings, params: Params = Params(), window: int = lc.WINDOW):
     """PIPE-6 for Task 1: models built and local expansions counted once, then every (mu, lambda) setting."""
+    settings = [(checked_mu(m), float(l)) for m, l in settings]
     models, qtf, exps = _local_expansions(queries, candidates, collection, params, window)
     return _swept(models, qtf, exps, candidates, qrels, settings, params)
 
