@@ -602,7 +602,7 @@ def text_roundtrip(spark, sf_dir):
     base = scratch_dir(spark, "roundtrip")
     clean = lambda c: F.regexp_replace(F.col(c), _SANITIZE, " ")
     qs = X.queries(spark, sf_dir).select("qid", clean("text").alias("text"))
-    cands = X.candidates(spark, sf_dir).persist()
+    cands = X.Fixtures(spark, sf_dir).candidates()
     docs = X.table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("url"), F.lit("").alias("title"), clean("text").alias("body"))
     qrels = X.qrels(spark, sf_dir).withColumn("run", F.lit(0))
     TF.write_tsv(qs, ["qid", "text"], f"{base}/queries.tsv", header="[query_id]\ttext")
@@ -771,7 +771,7 @@ def vector_file_scan(spark, sf_dir):
     from relmod.session import scratch_dir
 
     base = scratch_dir(spark, "vectors")
-    vec = X.vectors(spark, sf_dir).persist()
+    vec = X.Fixtures(spark, sf_dir).vectors()
     body = vec.select(
         F.concat_ws(" ", "term", F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")).alias("value")
     )
