@@ -68,7 +68,8 @@ def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, int,
     return places
 
 
-MARKS = frozenset(".,;:!?")
+#: Words that go to the tokenizer as one text.
+WORDS_AT_ONCE = 100
 #: Words whose ids a Python worker keeps, for all its tasks of one call; about 40 bytes each.
 KNOWN_WORDS = 1_500_000
 
@@ -89,11 +90,12 @@ class Encoder:
     """Texts to ids with the tokenizer of a file.
 
     Byte-level BPE starts anew at a space that follows a character other than
-    white space, so a text is its words, each with the space before it, and
-    distinct words are encoded once. Words are told by 64-bit hashes of their
+    white space, where a run of letters ends, and after a line feed that stands
+    alone, so a text is its words, cut there, each with the space before it,
+    and distinct words are encoded once. Words are told by 64-bit hashes of their
     bytes, computed for a whole batch at once from running sums. Texts with odd
     spaces (between white space, or after one at the end) and long words go to
-    the tokenizer as they are.
+    the tokenizer as they are; texts with an added token are cut at spaces only.
     """
 
     def __init__(self, path: str):
@@ -108,6 +110,19 @@ class Encoder:
         self.before, self.after = np.zeros(256, bool), np.zeros(256, bool)
         self.before[[*white, *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
         self.after[[*white, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+        code = np.arange(256)
+        self.letter = (code >= 0x41) & (code <= 0x5A) | (code >= 0x61) & (code <= 0x7A)
+        self.visible = (code > 0x20) & (code < 0x7F)
+        self.other = (code < 0x80) & (code != 0x20) & ~self.letter
+        # first bytes of U+00C0 to U+023F, letters but for the signs of multiplication and division
+        self.latin = (code >= 0xC3) & (code <= 0xC8)
+        added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = [t.encode() for t in added.values()]
+        # a token of the vocabulary has one character for each of its bytes
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        sizes = {**{i: len(t) for t, i in vocabulary.items()}, **{i: len(t.encode()) for i, t in added.items()}}
+        self.bytes_of = np.zeros(max(sizes) + 1, np.int64)
+        self.bytes_of[list(sizes)] = list(sizes.values())
 
     def _forget(self) -> None:
         self.table = WordTable()
@@ -122,18 +137,41 @@ class Encoder:
             ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
         return np.concatenate([np.empty(0, np.int64), *counts]), np.concatenate([np.empty(0, np.uint32), *ids])
 
-    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words; a mark after a letter is a word of its own to the tokenizer."""
-        cut = [len(w) - 1 if w[-1] in MARKS and w[-2:-1].isalpha() and w[-2] < "\u0250" else len(w) for w in words]
-        parts = list(dict.fromkeys([w[:n] for w, n in zip(words, cut, strict=True)] + sorted(MARKS)))
-        row = dict(zip(parts, range(len(parts)), strict=True))
-        counts, ids = self._ids(parts)
-        starts = np.cumsum(counts) - counts
-        first = np.fromiter((row[w[:n]] for w, n in zip(words, cut, strict=True)), np.int64, len(words))
-        marks = np.fromiter((row[w[n:]] if n < len(w) else -1 for w, n in zip(words, cut, strict=True)), np.int64, len(words))
-        pairs = np.stack([first, marks], axis=1).ravel()
-        pairs_counts = np.where(pairs < 0, 0, counts[pairs])
-        return pairs_counts.reshape(-1, 2).sum(axis=1), gather(ids, starts[pairs], pairs_counts)
+    def _word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words; those that start with a space are encoded many at once and told apart by their tokens' bytes."""
+        spaced = np.fromiter((w[:1] == b" " and len(w) > 1 and not self.after[w[1]] for w in words), bool, len(words))
+        first, rest = np.flatnonzero(spaced), np.flatnonzero(~spaced)
+        joined = [words[i] for i in first.tolist()]
+        _, ids = self._ids([b"".join(joined[i : i + WORDS_AT_ONCE]).decode() for i in range(0, len(joined), WORDS_AT_ONCE)])
+        ends, upto = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined))), np.cumsum(self.bytes_of[ids])
+        at = np.searchsorted(upto, ends)
+        if len(ends) and (len(upto) == 0 or upto[-1] != ends[-1] or (upto[at] != ends).any()):  # not told apart
+            return self._ids([w.decode() for w in words])
+        rest_counts, rest_ids = self._ids([words[i].decode() for i in rest.tolist()])
+        counts = np.empty(len(words), np.int64)
+        counts[first], counts[rest] = np.diff(at, prepend=-1), rest_counts
+        starts = np.empty(len(words), np.int64)
+        for some, before in ((first, 0), (rest, len(ids))):
+            starts[some] = before + np.cumsum(counts[some]) - counts[some]
+        return counts, gather(np.concatenate([ids, rest_ids]), starts, counts)
+
+    def _cuts(self, raw: bytes, data: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Where words start without a space, in texts that are not taken whole and hold no added token."""
+        letter = self.letter[data]
+        before = letter.copy()
+        before[1:] |= self.latin[data[:-1]]
+        cuts = np.flatnonzero(before[:-1] & self.other[data[1:]]) + 1
+        sign = (data[cuts - 2] == 0xC3) & ((data[cuts - 1] == 0x97) | (data[cuts - 1] == 0xB7))
+        feeds = np.flatnonzero(data[1:-1] == 0x0A) + 1
+        feeds = feeds[self.visible[data[feeds - 1]] & letter[feeds + 1]] + 1
+        cuts = np.concatenate([cuts[~sign], feeds])
+        apart = whole.copy()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                apart[np.searchsorted(ends, at, "right")] = True
+                at = raw.find(token, at + 1)
+        return cuts[~apart[np.searchsorted(ends, cuts, "right")]] if apart.any() else cuts
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of UTF-8 texts as little-endian uint32; a few megabytes of text at a time."""
@@ -154,7 +192,8 @@ class Encoder:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(sizes)
         begins = ends - sizes
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, np.uint8)
         spaces = np.flatnonzero(data == 0x20)
         text_of = np.searchsorted(ends, spaces, "right")
         inside = spaces > begins[text_of]
@@ -162,7 +201,8 @@ class Encoder:
         odd = inside & self.before[data[spaces - 1]] & (last | self.after[data[np.minimum(spaces + 1, len(data) - 1)]])
         whole = np.zeros(len(texts), bool)
         whole[text_of[odd]] = True
-        starts = np.sort(np.concatenate([begins[sizes > 0], spaces[inside & ~whole[text_of]]]))
+        starts = np.sort(np.concatenate([begins[sizes > 0], spaces[inside & ~whole[text_of]], self._cuts(raw, data, ends, whole)]))
+        starts = starts[np.append(True, starts[1:] != starts[:-1])] if len(starts) else starts
         lengths = np.diff(np.append(starts, len(data)))
         keys = self.hashes.of(data, starts, lengths)
         rows = self.table.find(keys)
@@ -175,8 +215,7 @@ class Encoder:
                 where = np.flatnonzero(~long)[at]
             else:
                 where = np.flatnonzero((rows < 0) & ~long)[at]
-            raw = data.tobytes()
-            words = [raw[i : i + n].decode() for i, n in zip(starts[where].tolist(), lengths[where].tolist(), strict=True)]
+            words = [raw[i : i + n] for i, n in zip(starts[where].tolist(), lengths[where].tolist(), strict=True)]
             counts, ids = self._word_ids(words)
             self.table.add(new, np.arange(len(self.count), len(self.count) + len(new), dtype=np.int32))
             self.count, self.pool = np.concatenate([self.count, counts]), np.concatenate([self.pool, ids])
@@ -186,7 +225,6 @@ class Encoder:
         counts = np.where(rows < 0, 0, self.count[rows] if len(self.count) else 0)
         pool, places = self.pool, np.where(rows < 0, 0, self.start[rows] if len(self.count) else 0)
         if long.any():
-            raw = data.tobytes()
             some = [raw[i : i + n].decode() for i, n in zip(starts[long].tolist(), lengths[long].tolist(), strict=True)]
             long_counts, long_ids = self._ids(some)
             counts[long] = long_counts

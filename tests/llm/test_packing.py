@@ -49,6 +49,30 @@ def test_words_are_forgotten_and_learned_again(monkeypatch):
         assert encode([x.encode() for x in texts]) == [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
 
 
+def test_words_with_other_endings_are_learned_once():
+    t = tokenizers.Tokenizer.from_file(PATH)
+    encode = packing.Encoder(PATH)
+    ends = ["###", ").", "'s", "'s,", "123", "\n", "\nNext", "...\nNext", "é", "é$$$", "×", "×."]
+    texts = [f"The w{chr(97 + i)}rd{e} ends" for i in range(20) for e in ends]
+    assert encode([x.encode() for x in texts]) == [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
+    assert len(encode.count) < 100  # of 240 between spaces
+
+
+def test_cuts_at_letters_give_the_tokenizers_ids():
+    t = tokenizers.Tokenizer.from_file(PATH)
+    r = random.Random(3)
+    bits = [" ", " ", " ", "\n", "\n\n", "\t", "a", "B", "é", "É", "×", "÷", "ȿ", "ɏ", "'s", "'", "7", "$$$", "x\ny", "\xa0", "\u0301", "²"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 30))) for _ in range(5_000)]
+    texts += ["so<|endoftext|>it is<|endoftext|>", "a<|endoftext", "b|> c<|endoftext|>"]
+    want = [array("I", t.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
+    encode = packing.Encoder(PATH)
+    some = [encode([x.encode() for x in texts[i : i + 50]]) for i in range(0, len(texts), 50)]
+    assert sum(some, []) == want
+    encode = packing.Encoder(PATH)
+    encode.bytes_of = encode.bytes_of + 1  # words that are not told apart are encoded one by one
+    assert encode([x.encode() for x in texts]) == want
+
+
 def check(spark, rows, size):
     t = tokenizers.Tokenizer.from_file(PATH)
     got = packing.pack(spark.createDataFrame(rows, SCHEMA), PATH, size=size, with_ids=True).collect()
