@@ -92,3 +92,64 @@ def test_few_words_and_no_vectors(spark):
     run, exps = P.rerank_local_vectors(q, cand, coll, Params(), d=4, rounds=2)
     assert {r.qid for r in exps.collect()} == {1}
     assert {(r.qid, r.doc_id, r["rank"]) for r in run.collect()} == {(1, 1, 1), (2, 2, 1)}
+
+
+def by_word(vectors):
+    return {(r.qid, r.term): r.vec for r in vectors.collect()}
+
+
+def test_tables_of_pairs_are_not_stored(spark, monkeypatch):
+    """Queries that fit a task are counted and factorised there: no row per query and pair of words is written."""
+    _, _, models = corpus(spark)
+    written = []
+    monkeypatch.setattr(lv, "materialize", lambda df: written.append(df.columns) or df.checkpoint())
+    got = by_word(lv.local_vectors(models, 2, 3, 2))
+    assert {q for q, _ in got} == {1, 2} and not any({"t", "w"} <= set(c) for c in written)
+    models.unpersist()
+
+
+@pytest.mark.parametrize("some", [False, True])
+def test_large_queries_have_the_same_vectors(spark, monkeypatch, some):
+    """By joins: all queries, or the one of more tokens than a task takes."""
+    docs, cands, models = corpus(spark)
+    want = by_word(lv.local_vectors(models, 3, 3, 2, 2))
+    sizes = {q: sum(len(docs[d]) for d in ids) for q, ids in cands.items()}
+    joined = []
+    monkeypatch.setattr(lv, "PAIRS_IN_TASK", sizes[2] * 3 if some else 0)
+    one = lv.context_counts
+    monkeypatch.setattr(lv, "context_counts", lambda m, w, cset: joined.append({r.qid for r in cset.collect()}) or one(m, w, cset))
+    got = by_word(lv.local_vectors(models, 3, 3, 2, 2))
+    assert joined == [{1} if some else {1, 2, 3}]
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-9) for k in want)
+    models.unpersist()
+
+
+def test_pairs_are_counted_by_blocks(monkeypatch):
+    r = np.random.default_rng(5)
+    seq, doc = r.integers(0, 7, 90), np.sort(r.integers(0, 6, 90))
+    want = Counter()
+    for i in range(90):
+        for j in range(i + 1, min(i + 4, 90)):
+            if doc[i] == doc[j]:
+                want[min(seq[i], seq[j]), max(seq[i], seq[j])] += 1
+    for at_once in (1, 20, 1 << 20):
+        monkeypatch.setattr(lv, "PAIRS_AT_ONCE", at_once)
+        blocks = list(lv._counted(seq, doc, 3, 7))
+        assert (len(blocks) == 1) == (at_once > 90 * 3)
+        got = [(u, v, n) for b in blocks for u, v, n in zip(*map(np.ndarray.tolist, b))]
+        assert len(got) == len(want) and all(want[u, v] == n for u, v, n in got)
+    assert not list(lv._counted(seq[:1], doc[:1], 3, 7)) and not list(lv._counted(seq, doc, 0, 7))
+
+
+def test_documents_without_an_own_id_are_one(spark):
+    """Two documents of one id are read as one, place by place; a query without candidates' documents has no vectors."""
+    rows = [(1, "", "", "sun moon star"), (1, "", "", "sea ship sail"), (None, "", "", "salt milk")]
+    coll = spark.createDataFrame(rows, "doc_id long, url string, title string, body string")
+    cand = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 1), ("c", 9)], "qid string, doc_id long")
+    for params in (Params(), Params(broadcast_bytes=0)):
+        models = CandidateModels(cand, coll, P.EMBEDDING_FIELDS, params)
+        got = by_word(lv.local_vectors(models, 2, 20, 2))
+        assert {q for q, _ in got} == {"a"} and {t for _, t in got} <= set("sun moon star sea ship sail".split())
+        by_joins = by_word(lv._by_joins(models, models.cset, 2, 20, 2, 1))
+        assert got.keys() == by_joins.keys() and all(np.allclose(got[k], by_joins[k], atol=1e-9) for k in got)
+        models.unpersist()
